@@ -117,6 +117,15 @@ def current_rows(spark: SparkSession, versions: str, key_types: dict[str, str])
     return last.where("payload is not null").select(*key_types, F.col("seq.commit_ts").alias("commit_ts"), "payload")
 
 
+def stream_files(spark: SparkSession, reader, path: str) -> DataFrame:
+    """A parquet file stream over a folder or over one single file."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(target).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", target.getName()).parquet(target.getParent().toString())
+
+
 def rebuild(spark: SparkSession, path: str, schema, max_files: int | None = None, max_bytes: int | None = 64 << 30) -> DataFrame:
     """Rebuild every table of the redo log stored at ``path``."""
     reader = spark.readStream.schema(schema)
@@ -124,5 +133,5 @@ def rebuild(spark: SparkSession, path: str, schema, max_files: int | None = None
         reader = reader.option("maxFilesPerTrigger", max_files)
     elif max_bytes:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    versions = apply_feed(spark, reader.parquet(path), ["tbl_id", "row_key"])
+    versions = apply_feed(spark, stream_files(spark, reader, path), ["tbl_id", "row_key"])
     return current_rows(spark, versions, {"tbl_id": "bigint", "row_key": "string"})
