@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from changeloom.queries import problems
+from changeloom.queries import problems, transactions
 
-_MODULES = [problems]
+_MODULES = [problems, transactions]
 
 
 def queries() -> dict:
