@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from changeloom.queries import problems, transactions
+from changeloom.queries import problems, rules, transactions
 
-_MODULES = [problems, transactions]
+_MODULES = [problems, transactions, rules]
 
 
 def queries() -> dict:
