@@ -36,7 +36,7 @@ def coverage(spans: DataFrame, keys: list[str]) -> DataFrame:
 
 def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Joins spans that touch or overlap; the merged checkpoint is the smallest."""
-    w = Window.partitionBy(*keys).orderBy("lo", "hi")
+    w = Window.partitionBy(*keys).orderBy("lo", "hi", "ts")
     before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
     grouped = spans.withColumn("new", F.coalesce((F.col("lo") > before).cast("int"), F.lit(1)))
     grouped = grouped.withColumn("grp", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -35,6 +35,13 @@ _PARTS = {
     "bank_log": """SELECT k AS txn, c AS acct, (ms + k) * 262144 AS commit_ts, -(p % 1000) AS delta FROM base
         UNION ALL SELECT k, c + 1, (ms + k) * 262144, p % 1000 FROM base""",
     "regions": """SELECT l_suppkey AS region_id, l_suppkey * 10 AS lo, l_suppkey * 10 + 10 AS hi, MS(l_shipdate) * 262144 AS resolved_ts, l_orderkey % 8 AS node FROM {lineitem}""",
+    "spans": "SELECT l_suppkey AS tbl, l_orderkey AS id, l_partkey * 10 AS lo, l_partkey * 10 + 5 + l_linenumber * 3 AS hi, MS(l_shipdate) * 262144 AS ts FROM {lineitem}",
+    # schema changes: each table is created, changed, sometimes renamed or truncated, and every fourth one dropped at its end
+    "ddl_raw": """SELECT p_partkey % 40 AS table_id, p_partkey * 262144 AS finished_ts, p_partkey AS job, p_size,
+        row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey) AS n, row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey DESC) AS back FROM {part}""",
+    "ddl_log": """SELECT table_id, finished_ts, job, n, CASE WHEN n = 1 THEN 'create table' WHEN back = 1 AND table_id % 4 = 0 THEN 'drop table' WHEN p_size % 6 = 0 THEN 'drop column'
+        WHEN p_size % 6 = 1 THEN 'rename table' WHEN p_size % 6 = 2 THEN 'truncate table' WHEN p_size % 6 = 3 THEN 'modify column' ELSE 'add column' END AS kind FROM ddl_raw""",
+    "ddl_dml": "SELECT event_id, user_id % 40 AS table_id, (event_id % 2500) * 262144 + 7 AS commit_ts FROM {events}",
 }
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from changeloom.queries import problems, rules, transactions
+from changeloom.queries import codecs, problems, progress, rules, transactions
 
-_MODULES = [problems, transactions, rules]
+_MODULES = [problems, transactions, rules, codecs, progress]
 
 
 def queries() -> dict:
