@@ -74,3 +74,37 @@ def ddl_recovery(ddl_ts: Column, finished: Column, is_syncpoint: Column) -> tupl
     """(start ts, skip DML) after a restart from the DDL progress table."""
     start = F.when(finished | is_syncpoint, ddl_ts).otherwise(ddl_ts - 1)
     return start, ~finished & ~is_syncpoint
+
+
+#: Limits and steps of the scan window in milliseconds and percent, fixed values.
+SCAN_MIN_MS, SCAN_MAX_MS = 1_000, 1_800_000
+USAGE_CRITICAL, USAGE_HIGH, USAGE_LOW, USAGE_VERY_LOW = 90, 70, 20, 10
+
+
+def next_interval(now_ms: Column, last: Column, top: Column, may_grow: Column | None = None) -> Column:
+    """Next scan interval by memory use in percent: a quarter when critical, half
+    when high, half as much again when very low, a quarter more when low."""
+    grow = F.lit(True) if may_grow is None else may_grow
+    use = F.greatest(last, top)
+    div = lambda n, num, den: F.floor(n * num / den).cast("bigint")
+    return (
+        F.when(use > USAGE_CRITICAL, F.greatest(div(now_ms, 1, 4), F.lit(SCAN_MIN_MS)))
+        .when(use > USAGE_HIGH, F.greatest(div(now_ms, 1, 2), F.lit(SCAN_MIN_MS)))
+        .when(grow & (use < USAGE_VERY_LOW), F.least(div(now_ms, 3, 2), F.lit(SCAN_MAX_MS)))
+        .when(grow & (use < USAGE_LOW), F.least(div(now_ms, 5, 4), F.lit(SCAN_MAX_MS)))
+        .otherwise(now_ms)
+    )
+
+
+def scan_windows(samples: DataFrame, keys: list[str], order: str, usage: str, start_ms: int = 5_000) -> DataFrame:
+    """The interval after all samples of a key: a fold over its samples in order.
+    The samples of a key are those of its sliding window, a bounded number."""
+    listed = samples.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, usage))).alias("s"))
+    fold = F.aggregate("s", F.lit(start_ms).cast("bigint"), lambda acc, x: next_interval(acc, x[usage], x[usage]).cast("bigint"))
+    return listed.select(*keys, fold.alias("interval_ms"))
+
+
+def should_block(scope: Column, n_tables: Column, split_table: Column, sync_point: Column) -> Column:
+    """A schema change blocks if it concerns a database or everything, several
+    tables or a table that is split; a sync point always does."""
+    return sync_point | scope.isin("db", "all") | (n_tables > 1) | split_table

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from changeloom.queries import codecs, problems, progress, rules, transactions
+from changeloom.queries import codecs, problems, progress, rules, streams, transactions
 
-_MODULES = [problems, transactions, rules, codecs, progress]
+_MODULES = [problems, transactions, rules, codecs, progress, streams]
 
 
 def queries() -> dict:

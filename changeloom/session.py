@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Work folders of this driver process, below one name so that they can go together.
+_RUN = uuid.uuid4().hex[:12]
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -43,8 +45,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/changeloom/{name}-{uuid.uuid4().hex[:12]}"
+    """A path below the shared folder that nothing has used yet. On a local
+    file system the folders of this process go when it ends; elsewhere
+    :func:`release` removes them."""
+    root = f"{shared_dir(spark)}/changeloom-{_RUN}"
+    local = root.removeprefix("file://")
+    if local.startswith("/") and local not in _LOCAL:
+        _LOCAL.add(local)
+        atexit.register(shutil.rmtree, local, True)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_LOCAL: set[str] = set()
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every work folder of this process: results that were read from
+    them can no longer be used."""
+    remove_path(spark, f"{shared_dir(spark)}/changeloom-{_RUN}")
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

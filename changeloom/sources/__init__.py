@@ -1 +1 @@
-
+"""Readers of change logs."""
