@@ -228,3 +228,54 @@ def test_p5_out_of_order_and_repeated(spark, tmp_path):
 def test_p5_empty(spark, tmp_path):
     redo(spark, []).write.parquet(str(tmp_path / "e"))
     assert upsert.rebuild(spark, str(tmp_path / "e"), spark.read.parquet(str(tmp_path / "e")).schema).count() == 0
+
+
+def brute_drift(messages):
+    """The changes by the plain definition, file by file."""
+    files = {}
+    for m in messages:
+        body, fields = json.loads(m["body"]), []
+        if m["codec"] == "debezium":
+            image = next(f for f in body["schema"]["fields"] if f["field"] == "after")
+            fields = [(f["field"], (f["type"], f.get("name"))) for f in image["fields"]]
+        elif m["codec"] == "avro":
+            def plain(t):
+                if isinstance(t, list):
+                    return plain(next(x for x in t if x != "null"))
+                return t["type"] if isinstance(t, dict) else t
+
+            fields = [(f["name"], plain(f["type"])) for f in body["schema"]["fields"]]
+        else:
+            row = body["payload"]["after"] or body["payload"]["before"]
+            kind = {bool: "boolean", int: "integer", float: "double", str: "string"}
+            fields = [(k, kind.get(type(v))) for k, v in row.items()]
+        old = files.setdefault((m["topic"], m["file_seq"]), [])
+        for p, (n, t) in enumerate(fields):
+            if p < len(old) and old[p][0] == n:
+                old[p] = (n, old[p][1] or t)
+            elif p == len(old):
+                old.append((n, t))
+            else:
+                raise AssertionError("messages of one file disagree")
+    out, last = set(), {}
+    for (topic, seq), now in sorted(files.items()):
+        before = last.get(topic)
+        last[topic] = now
+        if before is None:
+            continue
+        a, b = dict(before), dict(now)
+        out |= {(topic, seq, "retyped", n, "") for n in a.keys() & b.keys() if a[n] != b[n]}
+        gone, new = {n for n in a if n not in b}, {n for n in b if n not in a}
+        for (n1, t1), (n2, t2) in zip(before, now):
+            if n1 in gone and n2 in new and t1 == t2:
+                out.add((topic, seq, "renamed", n2, n1))
+                gone.discard(n1)
+                new.discard(n2)
+        out |= {(topic, seq, "added", n, "") for n in new} | {(topic, seq, "removed", n, "") for n in gone}
+    return out
+
+
+def test_p2_against_the_definition(spark, data):
+    got = {tuple(r) for r in Q.p2_found(spark, data).select("topic", "file_seq", "change_kind", "field_name", "old_name").collect()}
+    want = brute_drift(spark.read.parquet(f"{data}/sink_message.parquet").collect())
+    assert got == want and {w[2] for w in want} == {"added", "removed", "renamed", "retyped"}
