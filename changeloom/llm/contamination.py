@@ -38,7 +38,7 @@ WORD = re.compile(r"[a-z0-9]+")
 class LeakPlan:
     min_words: int = 12
     shard_words: int = 1_000_000
-    block_bytes: int = 16 << 20
+    block_bytes: int = 4 << 20
 
 
 class Patterns:
