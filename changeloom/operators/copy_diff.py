@@ -80,7 +80,8 @@ def chunk(fp: DataFrame, plan: DiffPlan) -> DataFrame:
     """Adds the key block and the number of the content-defined chunk in it."""
     by = [*plan.table, "blk"]
     rows = fp.withColumn("blk", F.floor(F.col(plan.key) / F.lit(plan.block)))
-    rows = rows.dropDuplicates([*by, plan.key, "h1", "h2"])
+    # one shuffle serves the removal of repeats and the windows
+    rows = rows.repartition(*by).dropDuplicates([*by, plan.key, "h1", "h2"])
     w = Window.partitionBy(*by).orderBy(plan.key, "h1", "h2")
     rolling = F.col("h1")
     for i in range(1, plan.window):
@@ -134,7 +135,7 @@ def _versions(rows: DataFrame, fp: DataFrame, plan: DiffPlan) -> DataFrame:
     cond = F.lit(True)
     for c in keys:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    got = normalise(rows, plan).join(bad, cond, "left_semi")
+    got = normalise(rows.join(bad, cond, "left_semi"), plan)
     return got.withColumn("__h", F.xxhash64(*[x for f in plan.fields for x in (F.col(f).isNull(), F.col(f))])).dropDuplicates([*keys, "__h"])
 
 
