@@ -40,6 +40,7 @@ class DiffPlan:
     window: int = 4
     chunk_rows: int = 16  # expected rows of a chunk
     block: int = 4096
+    broadcast_keys: int = 1_000_000  # of 8 bytes
 
 
 def canonical_json(text: Column) -> Column:
@@ -47,9 +48,10 @@ def canonical_json(text: Column) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(text)), text)
 
 
-def normalise(df: DataFrame, plan: DiffPlan) -> DataFrame:
-    """Keys and fields, without what does not count as a difference."""
-    cols = [F.col(c) for c in (*plan.table, plan.key)]
+def normalise(df: DataFrame, plan: DiffPlan, *rest: str) -> DataFrame:
+    """Keys and fields, without what does not count as a difference; columns in
+    ``rest`` stay as they are."""
+    cols = [F.col(c) for c in (*plan.table, plan.key, *rest)]
     for f in plan.fields:
         c = F.col(f)
         if f in plan.trim:
@@ -128,15 +130,32 @@ def _differs(f: str, plan: DiffPlan) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def _versions(rows: DataFrame, fp: DataFrame, plan: DiffPlan) -> DataFrame:
-    """Fields of the rows in ``fp``, one per distinct version, numbered per key."""
+def _paired(upstream: DataFrame, downstream: DataFrame, bad: DataFrame, plan: DiffPlan) -> DataFrame:
+    """Versions of the keys in ``bad``, side ``a`` beside side ``b``.
+
+    Keys meet by their hash; a row that only shares the hash is in a matched
+    chunk, so it is equal on both sides and leaves again. Up to
+    ``broadcast_keys`` hashes, counted, are broadcast so that only rows of
+    unmatched chunks are shuffled; beyond, the rows are shuffled by the hash
+    first. All that follows stays in place."""
     keys = [*plan.table, plan.key]
-    bad = fp.select(*[F.col(c).alias(f"__{c}") for c in keys]).distinct()
-    cond = F.lit(True)
-    for c in keys:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    got = normalise(rows.join(bad, cond, "left_semi"), plan)
-    return got.withColumn("__h", F.xxhash64(*[x for f in plan.fields for x in (F.col(f).isNull(), F.col(f))])).dropDuplicates([*keys, "__h"])
+    key_hash = F.xxhash64(*keys).alias("__k")
+    wide = lambda d, side: d.select(*keys, *plan.fields, F.lit(side).alias("__side"), key_hash)
+    sides = wide(upstream, 0).unionByName(wide(downstream, 1))
+    hashes = materialize(bad.select(key_hash).distinct(), "unmatched")
+    if hashes.count() <= plan.broadcast_keys:
+        rows = sides.join(F.broadcast(hashes), "__k", "left_semi").repartition("__k")
+    else:
+        rows = sides.repartition("__k").join(hashes, "__k", "left_semi")
+    vals = normalise(rows, plan, "__k", "__side")
+    vals = vals.withColumn("__h", F.xxhash64(*[x for f in plan.fields for x in (F.col(f).isNull(), F.col(f))]))
+    # repeats go; versions equal on both sides leave; what is left of a key is numbered in hash order
+    version = Window.partitionBy("__k", *keys, "__h")
+    vals = vals.withColumn("__both", F.min("__side").over(version) != F.max("__side").over(version))
+    vals = vals.withColumn("__copy", F.row_number().over(Window.partitionBy("__k", *keys, "__h", "__side").orderBy("__h"))).where("not __both and __copy = 1")
+    vals = vals.withColumn("__n", F.row_number().over(Window.partitionBy("__k", *keys, "__side").orderBy("__h")))
+    image = lambda side: F.first(F.when(F.col("__side") == side, F.struct(*plan.fields)), ignorenulls=True)
+    return vals.groupBy("__k", *keys, "__n").agg(image(0).alias("a"), image(1).alias("b"))
 
 
 def diff(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> DataFrame:
@@ -146,32 +165,12 @@ def diff(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> DataFram
     ca = materialize(chunk(fingerprints(normalise(upstream, plan), plan), plan), "chunks-up")
     cb = materialize(chunk(fingerprints(normalise(downstream, plan), plan), plan), "chunks-down")
     ba, bb = unmatched(ca, cb, plan)
-    both = materialize(ba.select(*keys).unionByName(bb.select(*keys)).distinct(), "unmatched")
-    a, b = _versions(upstream, both, plan), _versions(downstream, both, plan)
-    # equal versions leave first; what is left of a key is numbered in hash order
-    pair = [*keys, "__h"]
-
-    def without(x: DataFrame, y: DataFrame) -> DataFrame:
-        y = y.select(*[F.col(c).alias(f"__y_{c}") for c in pair])
-        cond = F.lit(True)
-        for c in pair:
-            cond = cond & F.col(c).eqNullSafe(F.col(f"__y_{c}"))
-        w = Window.partitionBy(*keys).orderBy("__h")
-        return x.join(y, cond, "left_anti").withColumn("__n", F.row_number().over(w))
-
-    l, r = without(a, b).alias("a"), without(b, a).alias("b")
-    cond = F.lit(True)
-    for c in (*keys, "__n"):
-        cond = cond & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    # the full join needs a plain equality to be hashed: the hash of the keys
-    joined = l.withColumn("__k", F.xxhash64(*keys, "__n")).alias("a").join(
-        r.withColumn("__k", F.xxhash64(*keys, "__n")).alias("b"), (F.col("a.__k") == F.col("b.__k")) & cond, "full_outer"
-    )
+    both = ba.select(*keys).unionByName(bb.select(*keys))
+    pairs = _paired(upstream, downstream, both, plan)
     kinds = [F.when(_differs(f, plan), F.lit(f)) for f in plan.fields]
+    missing = lambda kind: F.array(F.struct(F.lit(kind).alias("kind"), F.lit("").alias("field")))
     found = (
-        F.when(F.col("a.__k").isNull(), F.array(F.struct(F.lit("missing_upstream").alias("kind"), F.lit("").alias("field"))))
-        .when(F.col("b.__k").isNull(), F.array(F.struct(F.lit("missing_downstream").alias("kind"), F.lit("").alias("field"))))
+        F.when(F.col("a").isNull(), missing("missing_upstream")).when(F.col("b").isNull(), missing("missing_downstream"))
         .otherwise(F.transform(F.array_compact(F.array(*kinds)), lambda f: F.struct(F.lit("differs").alias("kind"), f.alias("field"))))
     )
-    out = joined.select(*[F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in keys], F.explode(found).alias("d"))
-    return out.select(*keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))
+    return pairs.select(*keys, F.explode(found).alias("d")).select(*keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))

@@ -1,5 +1,6 @@
 """The five general problem operators against brute force and edge cases."""
 
+import dataclasses
 import json
 import random
 
@@ -150,6 +151,8 @@ def test_p3_edges(spark):
         (1006, "missing_downstream", ""), (1007, "missing_upstream", ""), (None, "differs", "k"), (1008, "differs", "k"), (1008, "differs", "c"),
         (1009, "differs", "attrs"), (1010, "differs", "c"),
     }
+    shuffled = copy_diff.diff(copy(spark, up), copy(spark, down), dataclasses.replace(Q.DIFF, broadcast_keys=0))
+    assert {(r["id"], r["diff_kind"], r["field_name"]) for r in shuffled.collect()} == got
     assert copy_diff.diff(copy(spark, up[:0]), copy(spark, down[:0]), Q.DIFF).count() == 0
     assert copy_diff.diff(copy(spark, many), copy(spark, down[:0]), Q.DIFF).count() == 300
 
