@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.operators.ordering import op_order
+from changeloom.operators.ordering import op_order, row_numbers
+from changeloom.session import materialize
+
+#: Rows of one block of an ordered pass.
+BLOCK_ROWS = 65_536
 
 
 def split_updates(df: DataFrame, changed: Column, pre: list[str], post: list[str]) -> DataFrame:
@@ -26,19 +30,48 @@ def split_updates(df: DataFrame, changed: Column, pre: list[str], post: list[str
     return df.select(*rest, F.explode(out).alias("__row")).select(*rest, "__row.*")
 
 
+def _neighbours(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
+    """Adds ``__prev``, the operation before a row within its key (null for the
+    first), and ``__no``, the row's number in the order of keys and sequence.
+
+    The order is a range sort over all rows, cut into blocks of numbers, and the
+    last row of a block is copied into the next: a key with any share of the rows
+    is spread over many blocks."""
+    rows = row_numbers(df, [*[F.col(k) for k in keys], *[F.col(s) for s in seq]], "__no")
+    own = F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS))
+    rows = rows.withColumn("__own", own).withColumn("__blk", F.explode(F.when(F.col("__no") % BLOCK_ROWS == 0, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy("__blk").orderBy("__no")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.lag(k).over(w).eqNullSafe(F.col(k))
+    first = F.row_number().over(w) == 1
+    return rows.withColumn("__prev", F.when(same & ~first, F.lag("op").over(w))).withColumn("__first", ~(same & ~first)).where("__blk = __own")
+
+
 def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:
     """Compact to one row per run.
 
     lone D: itself. I, U*: insert of the last image. I, U*, D: the delete.
     U+: update with the last row's images. U+, D: delete with the last update's
     old image and the delete's commit_ts. ``bad`` marks I or U followed by I.
+    ``run`` counts the runs of a key from 0.
+
+    A run starts at the first row of a key and after each of its deletes. Run
+    numbers are running counts over blocks of rows, so neither a hot key nor a
+    long run makes a long task.
     """
-    w = Window.partitionBy(*keys).orderBy(*seq)
-    rows = df.withColumn("__after_d", F.coalesce(F.lag("op").over(w) == "D", F.lit(False)).cast("int"))
-    rows = rows.withColumn("run", F.sum("__after_d").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("__bad", (F.col("op") == "I") & F.coalesce(F.lag("op").over(w).isin("I", "U"), F.lit(False)))
+    rows = _neighbours(df, keys, seq)
+    start = F.col("__first") | F.coalesce(F.col("__prev") == "D", F.lit(False))
+    rows = materialize(
+        rows.withColumn("__start", start.cast("bigint"))
+        .withColumn("__bad", (F.col("op") == "I") & F.coalesce(F.col("__prev").isin("I", "U"), F.lit(False))).drop("__blk"), "runs")
+    sums = rows.groupBy("__own").agg(F.sum("__start").alias("__s"))
+    # one row per block
+    base = sums.select("__own", F.coalesce(F.sum("__s").over(Window.orderBy("__own").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__own").orderBy("__no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("__in", F.sum("__start").over(inside)).join(base, "__own").withColumn("__run", F.col("__in") + F.col("__base"))
     at = F.struct(*seq)
-    g = rows.groupBy(*keys, "run").agg(
+    g = rows.groupBy(*keys, "__run").agg(
         F.min_by("op", at).alias("f"), F.max_by("op", at).alias("l"), F.max_by(F.struct(*seq, pre, post), at).alias("last"),
         F.max(F.when(F.col("op") == "U", F.struct(*seq, pre))).alias("last_u"), F.bool_or("__bad").alias("bad"),
     )
@@ -47,7 +80,12 @@ def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: st
         F.when((F.col("l") == "D") & (F.col("f") == "U"), F.col(f"last_u.{pre}"))
         .when(op == "I", F.lit(None).cast(df.schema[pre].dataType)).otherwise(F.col(f"last.{pre}"))
     )
-    return g.select(*keys, "run", op.alias("op"), *[F.col(f"last.{s}").alias(s) for s in seq], pre_image.alias(pre), F.col(f"last.{post}").alias(post), "bad")
+    runs = materialize(g.select(*keys, "__run", op.alias("op"), *[F.col(f"last.{s}").alias(s) for s in seq], pre_image.alias(pre), F.col(f"last.{post}").alias(post), "bad"), "folded")
+    firsts = runs.groupBy(*keys).agg(F.min("__run").alias("__run0")).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return runs.join(firsts, same).select(*keys, (F.col("__run") - F.col("__run0")).alias("run"), "op", *seq, pre, post, "bad")
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:

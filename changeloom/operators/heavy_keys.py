@@ -38,10 +38,10 @@ class Agg:
 
 def heavy_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     """Keys with at least ``share`` of all rows: at most 1 / share rows."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.sum("__n").alias("__total"))
     # one row
-    return counts.join(F.broadcast(total), F.col("n") >= F.col("total") * F.lit(share)).drop("total")
+    return counts.join(F.broadcast(total), F.col("__n") >= F.col("__total") * F.lit(share)).drop("__total")
 
 
 def _partials(aggs: list[Agg]) -> list[Column]:

@@ -206,6 +206,14 @@ def jn_schema_asof(spark, d):
     return S.asof_join(log(spark, d, "ddl_dml"), S.versions(log(spark, d, "ddl_log")), "table_id", "commit_ts")
 
 
+@q(f"""WITH {ctes('ddl_log', 'ddl_dml')}, v AS ({_VER}), m AS (SELECT event_id, ddl_dml.table_id, commit_ts, version FROM ddl_dml JOIN v ON v.table_id = ddl_dml.table_id AND commit_ts >= from_ts AND (to_ts IS NULL OR commit_ts < to_ts) WHERE kind <> 'drop table'),
+c AS (SELECT *, CASE WHEN lag(version) OVER (PARTITION BY table_id ORDER BY commit_ts, event_id) IS NOT DISTINCT FROM version THEN 0 ELSE 1 END AS new FROM m) SELECT event_id, table_id, version, CAST(sum(new) OVER (PARTITION BY table_id ORDER BY commit_ts, event_id) AS BIGINT) AS batch FROM c""")
+def txn_batch(spark, d):
+    rows = S.asof_join(log(spark, d, "ddl_dml"), S.versions(log(spark, d, "ddl_log")), "table_id", "commit_ts")
+    rows = rows.withColumn("start_ts", F.col("commit_ts") - 1).withColumn("ref", F.col("event_id"))
+    return O.schema_batches(rows, "version").select("event_id", "table_id", "version", "batch")
+
+
 @q(f"{DD}, l AS (SELECT table_id, arg_max(kind, finished_ts) AS kind, max(finished_ts) AS schema_ts FROM ddl_log WHERE finished_ts <= 393216000 GROUP BY table_id) SELECT table_id, schema_ts FROM l WHERE kind <> 'drop table'")
 def src_snapshot(spark, d):
     return S.snapshot(log(spark, d, "ddl_log"), 393216000)

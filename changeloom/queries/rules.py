@@ -265,10 +265,18 @@ def fn_sanitize(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), S.record_name(F.col("p_type")).alias("name"))
 
 
-@q("SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'int unsigned' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar(10)' ELSE 'decimal(10,2)' END AS full_type, CASE p_size % 4 WHEN 0 THEN 'int unsigned' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar' ELSE 'decimal' END AS short_type, CASE p_size % 4 WHEN 0 THEN -5 WHEN 1 THEN -5 WHEN 2 THEN 12 ELSE 3 END AS java_type FROM part")
-def fn_types(spark, d):
-    p = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.expr("CASE p_size % 4 WHEN 0 THEN 'int' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar' ELSE 'decimal' END").alias("base"), (F.col("p_size") % 4 == 0).alias("uns"), F.expr("CASE p_size % 4 WHEN 2 THEN '10' WHEN 3 THEN '10,2' END").alias("arg"))
-    return p.select(F.col("p_partkey").alias("id"), S.type_name(F.col("base"), F.col("uns"), F.col("arg")).alias("full_type"), S.type_name(F.col("base"), F.col("uns")).alias("short_type"), S.java_type(F.col("base"), F.col("uns")).alias("java_type"))
+def _typed(spark, d):
+    return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), F.expr("CASE p_size % 4 WHEN 0 THEN 'int' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar' ELSE 'decimal' END").alias("base"), (F.col("p_size") % 4 == 0).alias("uns"), F.expr("CASE p_size % 4 WHEN 2 THEN '10' WHEN 3 THEN '10,2' END").alias("arg"))
+
+
+@q("SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'int unsigned' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar(10)' ELSE 'decimal(10,2)' END AS full_type, CASE p_size % 4 WHEN 0 THEN 'int unsigned' WHEN 1 THEN 'bigint' WHEN 2 THEN 'varchar' ELSE 'decimal' END AS short_type FROM part")
+def fn_mysqltype(spark, d):
+    return _typed(spark, d).select("id", S.type_name(F.col("base"), F.col("uns"), F.col("arg")).alias("full_type"), S.type_name(F.col("base"), F.col("uns")).alias("short_type"))
+
+
+@q("SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN -5 WHEN 1 THEN -5 WHEN 2 THEN 12 ELSE 3 END AS java_type FROM part")
+def fn_javatype(spark, d):
+    return _typed(spark, d).select("id", S.java_type(F.col("base"), F.col("uns")).alias("java_type"))
 
 
 @q("SELECT p_partkey AS id, p_size * 256 + 7 AS bits FROM part")

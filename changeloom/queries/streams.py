@@ -61,6 +61,26 @@ def src_redo(spark, d):
     return SF.read_redo(redo, 464700000000000000, 465100000000000000).select("log_id", "commit_ts", "start_ts")
 
 
+@q("SELECT log_id, commit_ts FROM redo_dml WHERE commit_ts > 464700000000000000")
+def src_raw(spark, d):
+    """Subscription from a start ts: a stream over the stored log."""
+    rows = ST.stream_table(spark, f"{d}/redo_dml.parquet").where("commit_ts > 464700000000000000").select("log_id", "commit_ts")
+    out = work_path(spark, "subscribed")
+    ST.run_available(rows, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/version={i}"))
+    return spark.read.schema("log_id bigint, commit_ts bigint, version bigint").parquet(out).drop("version")
+
+
+@q("SELECT coalesce(len(row_columns), 0) > 0 AS has_new, coalesce(len(pre_columns), 0) > 0 AS has_old, count(*) AS n, CAST(sum(coalesce(len(row_columns), 0) + coalesce(len(pre_columns), 0)) AS BIGINT) AS n_columns FROM redo_dml GROUP BY 1, 2")
+def cd_redo(spark, d):
+    """Redo rows written and read back with all their images."""
+    root = work_path(spark, "redo-codec")
+    W.write_redo(spark.read.parquet(f"{d}/redo_dml.parquet"), root, 0, 1 << 62)
+    back = spark.read.parquet(f"{root}/rows")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    images = back.select(RI.present(F.col("row_columns")).alias("has_new"), RI.present(F.col("pre_columns")).alias("has_old"), (F.greatest(size("row_columns"), F.lit(0)) + F.greatest(size("pre_columns"), F.lit(0))).alias("c"))
+    return images.groupBy("has_new", "has_old").agg(F.count("*").alias("n"), F.sum("c").alias("n_columns"))
+
+
 # sinks
 
 

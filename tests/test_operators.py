@@ -230,3 +230,41 @@ def test_storage_layout(spark):
     paths = ["a/b/12/CDC000001.json", "x/a/b/12/3/2024-01-02/CDC000007.csv", "a/b/12/2024-01/CDC000002.json", "a/b/meta/schema_1.json"]
     got = [tuple(r) for r in spark.createDataFrame([(p,) for p in paths], "p string").select(*SF.path_columns(F.col("p"))).collect()]
     assert got == [("a", "b", 12, None, None, 1, "json"), ("a", "b", 12, 3, "2024-01-02", 7, "csv"), ("a", "b", 12, None, "2024-01", 2, "json"), (None,) * 7]
+
+
+def brute_fold(rows):
+    """The fold of one key's rows by the rules, one run at a time."""
+    out, run = [], []
+    for r in rows:
+        run.append(r)
+        if r[2] == "D":
+            out.append(run)
+            run = []
+    if run:
+        out.append(run)
+    got = []
+    for i, run in enumerate(out):
+        first, last = run[0], run[-1]
+        op = "D" if last[2] == "D" else "I" if first[2] == "I" else "U"
+        updates = [r for r in run if r[2] == "U"]
+        pre = updates[-1][3] if op == "D" and first[2] == "U" else None if op == "I" else last[3]
+        got.append((last[0], i, op, last[1], pre, last[4]))
+    return got
+
+
+@pytest.mark.parametrize("block", [1, 4, 65_536])
+def test_fold_over_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(C, "BLOCK_ROWS", block)
+    rng = random.Random(block)
+    rows, want = [], []
+    for k in [None, 1, 2, 3]:
+        own, alive = [], rng.random() < 0.5
+        for n in range(rng.choice([1, 5, 40])):
+            op = rng.choice("UUD") if alive else "I"
+            alive = op != "D"
+            own.append((k, n, op, None if op == "I" else n * 10, None if op == "D" else n * 10 + 1))
+        rows += own
+        want += brute_fold(own)
+    df = spark.createDataFrame(rows, "k int, n int, op string, pre int, post int").repartition(3)
+    got = [tuple(r)[:6] for r in C.fold_runs(df, ["k"], ["n"], "pre", "post").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
