@@ -16,7 +16,8 @@ Defined results: exact repeats of a row (after normalisation) count once; if a
 key still has several different rows on a side, versions equal on both sides
 match first and the rest are compared in hash order, a surplus counting as
 missing; a null key is a key like any other; null differs from an empty string;
-columns that only one side has are ignored; empty tables give missing rows only.
+NaN equals NaN; columns outside the plan are ignored; empty tables give missing
+rows only.
 """
 
 from __future__ import annotations
@@ -70,8 +71,9 @@ def fingerprints(df: DataFrame, plan: DiffPlan) -> DataFrame:
     for f in plan.fields:
         c = F.col(f)
         if f in plan.tolerance:
-            c = F.round(c / F.lit(plan.tolerance[f]))
-            c = F.when(c == 0, F.lit(0.0)).otherwise(c)
+            cell = F.round(c / F.lit(plan.tolerance[f]))
+            # beyond 2^52 cells the grid is finer than the numbers themselves
+            c = F.when(F.abs(cell) < float(1 << 52), F.when(cell == 0, F.lit(0.0)).otherwise(cell)).otherwise(c)
         # a null must differ from an absent value: xxhash64 skips nulls
         vals += [c.isNull(), c]
     keys = [F.col(c) for c in (*plan.table, plan.key)]

@@ -47,9 +47,9 @@ def agg_global_ckpt(spark, d):
     return n.agg(F.min("ts").alias("checkpoint_ts"), (F.count("*") == 8).alias("all_reported"), F.min(F.when(F.col("node") != 3, F.col("ts"))).alias("without_node"))
 
 
-@q(f"{RG}, x AS (SELECT DISTINCT node, resolved_ts FROM regions WHERE region_id % 50 = 1) SELECT node, resolved_ts, max(resolved_ts) OVER (PARTITION BY node ORDER BY resolved_ts % 1000000007, resolved_ts ROWS UNBOUNDED PRECEDING) AS redo_ts FROM x")
+@q(f"{RG}, x AS (SELECT DISTINCT node, resolved_ts FROM regions) SELECT node, resolved_ts, max(resolved_ts) OVER (PARTITION BY node ORDER BY resolved_ts % 1000000007, resolved_ts ROWS UNBOUNDED PRECEDING) AS redo_ts FROM x")
 def agg_redo_ckpt(spark, d):
-    x = log(spark, d, "regions").where("region_id % 50 = 1").select("node", "resolved_ts").distinct().withColumn("at", F.col("resolved_ts") % 1000000007).withColumn("redo_ts", F.col("resolved_ts"))
+    x = log(spark, d, "regions").select("node", "resolved_ts").distinct().withColumn("at", F.col("resolved_ts") % 1000000007).withColumn("redo_ts", F.col("resolved_ts"))
     return P.monotone(x, ["node"], ["at", "resolved_ts"], "redo_ts").select("node", "resolved_ts", "redo_ts")
 
 
@@ -143,9 +143,9 @@ def srt_kv(spark, d):
     return O.row_numbers(o, [-F.col("commit_ts"), -F.col("k")], "pos")
 
 
-@q(f"WITH {ctes('orders_log', 'history_log')}, x AS (SELECT 'orders' AS src, commit_ts, k FROM orders_log UNION ALL SELECT 'events', commit_ts, event_id FROM history_log) SELECT src, k, commit_ts, row_number() OVER (ORDER BY commit_ts, src, k) AS pos FROM x WHERE src = 'events' OR commit_ts < 900000000000000000 AND k % 2 = 0")
+@q(f"WITH {ctes('orders_log', 'history_log')}, x AS (SELECT 'orders' AS src, commit_ts, k FROM orders_log UNION ALL SELECT 'events', commit_ts, event_id FROM history_log) SELECT src, k, commit_ts, row_number() OVER (ORDER BY commit_ts, src, k) AS pos FROM x")
 def srt_heap(spark, d):
-    a = log(spark, d, "orders_log").where("op = 'I' or op <> 'I'").select(F.lit("orders").alias("src"), "commit_ts", "k").where("k % 2 = 0")
+    a = log(spark, d, "orders_log").select(F.lit("orders").alias("src"), "commit_ts", "k")
     b = log(spark, d, "history_log").select(F.lit("events").alias("src"), "commit_ts", F.col("event_id").alias("k"))
     return O.row_numbers(a.unionByName(b), [F.col("commit_ts"), F.col("src"), F.col("k")], "pos")
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from changeloom.functions import tso
 from changeloom.operators import compaction as C
 from changeloom.operators import matching as M
 from changeloom.operators import ordering as O
@@ -69,7 +68,7 @@ def txn_split(spark, d):
     return O.split_transactions(log(spark, d, "orders_log"), ["k"], 4).select("commit_ts", "start_ts", "k", "op", "part")
 
 
-_DDL = "SELECT DISTINCT (ms // 86400000) * 86400000 * 262144 AS ts, CAST(ms // 86400000 AS VARCHAR) AS ref FROM base WHERE k % 50 = 0"
+_DDL = "SELECT DISTINCT (ms // 86400000) * 86400000 * 262144 AS ts, CAST(ms // 86400000 AS VARCHAR) AS ref FROM base"
 
 
 @R.query(f"""WITH {ctes('orders_log')}, m AS (SELECT commit_ts AS ts, 0 AS kind_no, 'dml' AS kind, CAST(k AS VARCHAR) AS ref FROM orders_log
@@ -77,7 +76,7 @@ UNION ALL SELECT ts, 1, 'ddl', ref FROM ({_DDL}) UNION ALL SELECT ts, 2, 'resolv
 SELECT ts, kind, ref, rank() OVER (ORDER BY ts, kind_no) AS pos FROM m""")
 def txn_merge_ddl(spark, d):
     day = F.expr("ms div 86400000")
-    ddl = log(spark, d, "base").where("k % 50 = 0").select((day * 86400000 * 262144).alias("ts"), day.cast("string").alias("ref")).distinct()
+    ddl = log(spark, d, "base").select((day * 86400000 * 262144).alias("ts"), day.cast("string").alias("ref")).distinct()
     dml = log(spark, d, "orders_log").select(F.col("commit_ts").alias("ts"), F.col("k").alias("ref"))
     merged = O.merge_ddl(dml, ddl, ddl)
     groups = merged.groupBy("ts", "kind_no").agg(F.count("*").alias("n"))
@@ -159,15 +158,15 @@ def cmp_apply(spark, d):
     return C.apply_log(log(spark, d, "orders_log"), ["k"], [F.col("commit_ts"), F.col("start_ts"), O.op_order()], ["post_p", "c", "s"])
 
 
-@R.query(f"""WITH {ctes('history_log')}, t AS (SELECT k, n, post_v AS v, commit_ts, CASE WHEN n % 2 = 0 THEN commit_ts + 1 END AS origin_ts FROM history_log WHERE n % 4 = 1 AND k % 2 = 0 AND n < 50),
-s AS (SELECT k, n, post_v + 1 AS v, commit_ts - CASE WHEN n % 8 = 1 THEN 1 ELSE 0 END AS commit_ts FROM history_log WHERE n % 4 = 1)
+@R.query(f"""WITH {ctes('history_log')}, t AS (SELECT k, n, post_v AS v, commit_ts, CASE WHEN n % 3 = 0 THEN commit_ts + 1 END AS origin_ts FROM history_log WHERE op <> 'D'),
+s AS (SELECT k, n, coalesce(post_v, 0) + 1 AS v, commit_ts - CASE WHEN n % 8 = 1 THEN 1 ELSE 0 END AS commit_ts FROM history_log WHERE op <> 'I')
 SELECT k, n, CASE WHEN w THEN sv ELSE tv END AS v, CASE WHEN w THEN sts ELSE tor END AS origin_ts FROM (
 SELECT coalesce(t.k, s.k) AS k, coalesce(t.n, s.n) AS n, t.v AS tv, s.v AS sv, s.commit_ts AS sts, t.origin_ts AS tor,
   s.commit_ts IS NOT NULL AND (t.k IS NULL OR coalesce(t.origin_ts, t.commit_ts) <= s.commit_ts) AS w FROM t FULL JOIN s ON t.k = s.k AND t.n = s.n)""")
 def cmp_lww(spark, d):
-    h = log(spark, d, "history_log").where("n % 4 = 1")
-    t = h.where("k % 2 = 0 and n < 50").select("k", "n", F.col("post_v").alias("v"), "commit_ts", F.when(F.col("n") % 2 == 0, F.col("commit_ts") + 1).alias("origin_ts"))
-    s = h.select("k", "n", (F.col("post_v") + 1).alias("v"), (F.col("commit_ts") - F.when(F.col("n") % 8 == 1, 1).otherwise(0)).alias("commit_ts"))
+    h = log(spark, d, "history_log")
+    t = h.where("op <> 'D'").select("k", "n", F.col("post_v").alias("v"), "commit_ts", F.when(F.col("n") % 3 == 0, F.col("commit_ts") + 1).alias("origin_ts"))
+    s = h.where("op <> 'I'").select("k", "n", (F.coalesce("post_v", F.lit(0)) + 1).alias("v"), (F.col("commit_ts") - F.when(F.col("n") % 8 == 1, 1).otherwise(0)).alias("commit_ts"))
     return C.last_writer_wins(t, s, ["k", "n"], "v")
 
 

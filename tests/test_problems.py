@@ -106,6 +106,18 @@ def test_p2_changes(spark):
     assert log_of(spark, rows[:0]) == set()
 
 
+def test_p2_odd_bodies(spark):
+    rows = [("t", 1, "bare", '{"payload": {"before": null, "after": {"a": 1, "a": "x", "o": {"k": 1}, "l": [1], "n": 1e400, "s": "%s"}}}' % ("y" * 200_000)),
+            ("t", 2, "bare", '{"payload": {"before": {"a": 1}, "after": null}}'), ("t", 3, "bare", '{"payload": {"after": {}}}'), ("t", 4, None, "{}"), (None, 5, "bare", bare({"z": 1})), ("t", None, "bare", bare({"z": 1})),
+            ("t", 6, "debezium", '{"schema": {"fields": [{"field": "after"}, {"field": "before", "fields": [{"field": "a", "type": "int64"}]}]}}'), ("t", 7, "avro", '{"schema": {"fields": []}}'),
+            ("t", 8, "avro", '{"schema": {"fields": [{"name": "a", "type": {"type": "array", "items": "long"}}]}}')]
+    r = schema_drift.drift_rows(drift(spark, rows))
+    assert {x["file_seq"] for x in r.collect()} >= {2, 6, 8}
+    schema_drift.changes(r).collect()
+    names = schema_drift.column_names(r, schema_drift.changes(r))
+    schema_drift.unified_rows(drift(spark, rows), r, names, schema_drift.unified_schema(r, names)).collect()
+
+
 def test_p2_blocks_and_table(spark):
     rows = [("t", s, "bare", bare({"id": s, ("old" if s < 1500 else "new"): s})) for s in range(1000, 2100)]
     msgs = drift(spark, rows)
@@ -140,16 +152,18 @@ def copy(spark, rows):
 def test_p3_edges(spark):
     many = [dict(id=i, k=i) for i in range(300)]
     up = many + [dict(id=1000, c=None), dict(id=1001, pad="x  "), dict(id=1002, score=2.0), dict(id=1003, score=None), dict(id=1004, attrs='{"b":[1,2],"a":1}'),
-                 dict(id=1005), dict(id=1005), dict(id=1006), dict(id=None), dict(id=1008, k=None, c="1"), dict(id=1009, attrs="no json"), dict(id=1010, c="x" * 100_000), dict(id=1011, score=1e-7)]
+                 dict(id=1005), dict(id=1005), dict(id=1006), dict(id=None), dict(id=1008, k=None, c="1"), dict(id=1009, attrs="no json"), dict(id=1010, c="x" * 100_000), dict(id=1011, score=1e-7),
+                 dict(id=1012, score=float("nan")), dict(id=1013, score=1.1e308), dict(id=1014, score=float("inf")), dict(id=1015, score=1e17), dict(id=1016, schema_name=None)]
     down = many + [dict(id=1000, c=""), dict(id=1001, pad="x"), dict(id=1002, score=2.0000005), dict(id=1003, score=0.0), dict(id=1004),
-                   dict(id=1005), dict(id=1007), dict(id=None, k=2), dict(id=1008, k=1, c=None), dict(id=1009, attrs=None), dict(id=1010, c="x" * 100_000 + "y"), dict(id=1011, score=-1e-7)]
+                   dict(id=1005), dict(id=1007), dict(id=None, k=2), dict(id=1008, k=1, c=None), dict(id=1009, attrs=None), dict(id=1010, c="x" * 100_000 + "y"), dict(id=1011, score=-1e-7),
+                   dict(id=1012, score=float("nan")), dict(id=1013, score=1.2e308), dict(id=1014, score=float("-inf")), dict(id=1015, score=1e17), dict(id=1016, schema_name=None, k=3)]
     down[17] = dict(id=17, k=99, c="other")
     del down[40]
     got = {(r["id"], r["diff_kind"], r["field_name"]) for r in copy_diff.diff(copy(spark, up), copy(spark, down), Q.DIFF).collect()}
     assert got == {
         (17, "differs", "k"), (17, "differs", "c"), (40, "missing_downstream", ""), (1000, "differs", "c"), (1003, "differs", "score"),
         (1006, "missing_downstream", ""), (1007, "missing_upstream", ""), (None, "differs", "k"), (1008, "differs", "k"), (1008, "differs", "c"),
-        (1009, "differs", "attrs"), (1010, "differs", "c"),
+        (1009, "differs", "attrs"), (1010, "differs", "c"), (1013, "differs", "score"), (1014, "differs", "score"), (1016, "differs", "k"),
     }
     shuffled = copy_diff.diff(copy(spark, up), copy(spark, down), dataclasses.replace(Q.DIFF, broadcast_keys=0))
     assert {(r["id"], r["diff_kind"], r["field_name"]) for r in shuffled.collect()} == got
