@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
 from changeloom.functions.codecs.model import TYPE_CODES, Col, Table, flags, image, json
+from changeloom.operators.ordering import place_in_key
 
 
 def _is(op: str) -> Column:
@@ -260,10 +261,8 @@ def batch_messages(df: DataFrame, keys: list[str], order: list[Column], size: Co
     would exceed the limits. The order decides each batch, so it is a fold over a
     key's rows (in Arrow batches), cut into blocks of ``max_rows`` * 64 rows that
     are packed on their own."""
-    from pyspark.sql import Window
-
-    rows = df.withColumn("__size", size).withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    rows = rows.withColumn("__blk", F.floor((F.col("__rn") - 1) / F.lit(max_rows * 64)))
+    rows = place_in_key(df.withColumn("__size", size), keys, order, "__rn")
+    rows = rows.withColumn("__blk", F.floor(F.col("__rn") / F.lit(max_rows * 64)))
 
     def run(pdf):
         pdf = pdf.sort_values("__rn")
@@ -290,7 +289,4 @@ def split_oversize(body: Column, limit: int) -> Column:
 def bootstrap_due(df: DataFrame, keys: list[str], order: list[Column], every: int) -> DataFrame:
     """Adds ``bootstrap``: before the first row of a table and then every
     ``every`` rows its schema is sent."""
-    from pyspark.sql import Window
-
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("bootstrap", (rn - 1) % every == 0)
+    return place_in_key(df, keys, order, "__rn").withColumn("bootstrap", F.col("__rn") % every == 0).drop("__rn")

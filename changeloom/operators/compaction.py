@@ -7,15 +7,12 @@ leaves one row (see the table in its docstring).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.operators.ordering import op_order, row_numbers
+from changeloom.operators.ordering import _minus_first, op_order, place_in_key, running_flags, with_previous
 from changeloom.session import materialize
 
-#: Rows of one block of an ordered pass.
-BLOCK_ROWS = 65_536
-
 
 def split_updates(df: DataFrame, changed: Column, pre: list[str], post: list[str]) -> DataFrame:
     """An update that changes an index column becomes a delete now and an insert
@@ -30,24 +27,6 @@ def split_updates(df: DataFrame, changed: Column, pre: list[str], post: list[str
     return df.select(*rest, F.explode(out).alias("__row")).select(*rest, "__row.*")
 
 
-def _neighbours(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
-    """Adds ``__prev``, the operation before a row within its key (null for the
-    first), and ``__no``, the row's number in the order of keys and sequence.
-
-    The order is a range sort over all rows, cut into blocks of numbers, and the
-    last row of a block is copied into the next: a key with any share of the rows
-    is spread over many blocks."""
-    rows = row_numbers(df, [*[F.col(k) for k in keys], *[F.col(s) for s in seq]], "__no")
-    own = F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS))
-    rows = rows.withColumn("__own", own).withColumn("__blk", F.explode(F.when(F.col("__no") % BLOCK_ROWS == 0, F.array(own, own + 1)).otherwise(F.array(own))))
-    w = Window.partitionBy("__blk").orderBy("__no")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.lag(k).over(w).eqNullSafe(F.col(k))
-    first = F.row_number().over(w) == 1
-    return rows.withColumn("__prev", F.when(same & ~first, F.lag("op").over(w))).withColumn("__first", ~(same & ~first)).where("__blk = __own")
-
-
 def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:
     """Compact to one row per run.
 
@@ -60,16 +39,9 @@ def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: st
     numbers are running counts over blocks of rows, so neither a hot key nor a
     long run makes a long task.
     """
-    rows = _neighbours(df, keys, seq)
-    start = F.col("__first") | F.coalesce(F.col("__prev") == "D", F.lit(False))
-    rows = materialize(
-        rows.withColumn("__start", start.cast("bigint"))
-        .withColumn("__bad", (F.col("op") == "I") & F.coalesce(F.col("__prev").isin("I", "U"), F.lit(False))).drop("__blk"), "runs")
-    sums = rows.groupBy("__own").agg(F.sum("__start").alias("__s"))
-    # one row per block
-    base = sums.select("__own", F.coalesce(F.sum("__s").over(Window.orderBy("__own").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy("__own").orderBy("__no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("__in", F.sum("__start").over(inside)).join(base, "__own").withColumn("__run", F.col("__in") + F.col("__base"))
+    rows = with_previous(df, keys, [F.col(c) for c in seq], ["op"])
+    rows = rows.withColumn("__bad", (F.col("op") == "I") & F.coalesce(F.col("prev_op").isin("I", "U"), F.lit(False)))
+    rows = running_flags(rows, F.col("is_first") | F.coalesce(F.col("prev_op") == "D", F.lit(False)), "__run")
     at = F.struct(*seq)
     g = rows.groupBy(*keys, "__run").agg(
         F.min_by("op", at).alias("f"), F.max_by("op", at).alias("l"), F.max_by(F.struct(*seq, pre, post), at).alias("last"),
@@ -81,11 +53,7 @@ def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: st
         .when(op == "I", F.lit(None).cast(df.schema[pre].dataType)).otherwise(F.col(f"last.{pre}"))
     )
     runs = materialize(g.select(*keys, "__run", op.alias("op"), *[F.col(f"last.{s}").alias(s) for s in seq], pre_image.alias(pre), F.col(f"last.{post}").alias(post), "bad"), "folded")
-    firsts = runs.groupBy(*keys).agg(F.min("__run").alias("__run0")).withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return runs.join(firsts, same).select(*keys, (F.col("__run") - F.col("__run0")).alias("run"), "op", *seq, pre, post, "bad")
+    return _minus_first(runs, keys, "__run", "run").select(*keys, "run", "op", *seq, pre, post, "bad")
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:
@@ -110,8 +78,8 @@ def apply_log(df: DataFrame, keys: list[str], seq: list[Column], values: list[st
 
 def emit_order(df: DataFrame, max_rows: int, keys: list[str]) -> DataFrame:
     """Deletes, then updates, then inserts, in chunks of at most ``max_rows``."""
-    w = Window.partitionBy("op", *keys[:-1]).orderBy(keys[-1])
-    return df.withColumn("op_no", op_order()).withColumn("chunk", F.floor((F.row_number().over(w) - 1) / F.lit(max_rows)))
+    placed = place_in_key(df, ["op", *keys[:-1]], [F.col(keys[-1])], "__place")
+    return placed.withColumn("op_no", op_order()).withColumn("chunk", F.floor(F.col("__place") / F.lit(max_rows))).drop("__place")
 
 
 def last_writer_wins(target: DataFrame, source: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -135,8 +103,8 @@ def conflict_edges(df: DataFrame, indexes: dict[str, list[str]], table_key: Colu
     usable = F.array_compact(F.array(*keys))
     all_keys = F.when(F.size(usable) > 0, usable).otherwise(F.array(table_key))
     rows = df.select("txn", F.explode(all_keys).alias("key")).distinct()
-    w = Window.partitionBy("key").orderBy("txn")
-    return rows.withColumn("depends_on", F.lag("txn").over(w)).where("depends_on is not null").select("txn", "depends_on").distinct()
+    before = with_previous(rows, ["key"], [F.col("txn")], ["txn"]).where("prev_txn is not null")
+    return before.select("txn", F.col("prev_txn").alias("depends_on")).distinct()
 
 
 def diff_rows(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from changeloom.session import materialize
 
 TXN = ["commit_ts", "start_ts"]
+#: Rows of one block of an ordered pass.
+BLOCK_ROWS = 65_536
 
 
 def op_order(op: str = "op") -> Column:
@@ -51,10 +53,63 @@ def transactions(df: DataFrame) -> DataFrame:
     return row_numbers(df.groupBy(*TXN).agg(F.count("*").alias("n_rows")), [F.col(c) for c in TXN], "txn_no")
 
 
+def _same_keys(keys: list[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return same
+
+
+def _minus_first(rows: DataFrame, keys: list[str], number: str, name: str) -> DataFrame:
+    """``name`` = ``number`` less its smallest value within the key."""
+    first = rows.groupBy(*keys).agg(F.min(number).alias("__first_no")).withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    out = rows.join(first, _same_keys(keys, "__k_"))
+    return out.withColumn(name, F.col(number) - F.col("__first_no")).drop("__first_no", *[f"__k_{k}" for k in keys])
+
+
+def place_in_key(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Place of each row within its key, from 0: its number in the whole order
+    less the key's first. Any share of the rows may have one key."""
+    rows = row_numbers(df, [*[F.col(k) for k in keys], *order], "__no")
+    return _minus_first(rows, keys, "__no", name).drop("__no")
+
+
+def with_previous(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
+    """Adds ``prev_<column>`` of the row before within the key (null for the
+    first), ``is_first``, the row's number ``__no`` and its block ``__blk``.
+
+    The order is a range sort over all rows, cut into blocks of numbers, and the
+    last row of a block is copied into the next: a key with any share of the rows
+    is spread over many blocks."""
+    rows = row_numbers(df, [*[F.col(k) for k in keys], *order], "__no")
+    own = F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS))
+    halo = F.when(F.col("__no") % BLOCK_ROWS == 0, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = rows.withColumn("__own", own).withColumn("__blk", F.explode(halo))
+    w = Window.partitionBy("__blk").orderBy("__no")
+    same = F.row_number().over(w) > 1
+    for k in keys:
+        same = same & F.lag(k).over(w).eqNullSafe(F.col(k))
+    rows = rows.withColumn("is_first", ~same)
+    for c in columns:
+        rows = rows.withColumn(f"prev_{c}", F.when(~F.col("is_first"), F.lag(c).over(w)))
+    return rows.where("__blk = __own").drop("__own")
+
+
+def running_flags(rows: DataFrame, flag: Column, name: str) -> DataFrame:
+    """Running count of a flag over rows that :func:`with_previous` numbered."""
+    rows = materialize(rows.withColumn("__flag", flag.cast("bigint")), "flags")
+    sums = rows.groupBy("__blk").agg(F.sum("__flag").alias("__s"))
+    # one row per block
+    before = Window.orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("__blk", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__blk").orderBy("__no").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("__in", F.sum("__flag").over(inside)).join(base, "__blk").withColumn(name, F.col("__in") + F.col("__base")).drop("__in", "__base", "__flag")
+
+
 def split_transactions(df: DataFrame, keys: list[str], limit: int = 256) -> DataFrame:
     """Adds ``part``: the piece of at most ``limit`` rows of a split transaction."""
-    w = Window.partitionBy(*TXN).orderBy(op_order(), *keys)
-    return df.withColumn("part", F.floor((F.row_number().over(w) - 1) / F.lit(limit)))
+    placed = place_in_key(df, TXN, [op_order(), *[F.col(k) for k in keys]], "__place")
+    return placed.withColumn("part", F.floor(F.col("__place") / F.lit(limit))).drop("__place")
 
 
 def merge_ddl(dml: DataFrame, ddl: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -91,7 +146,8 @@ def scan_cut(per_ts: DataFrame, byte_limit: int) -> DataFrame:
 
 
 def schema_batches(df: DataFrame, version: str) -> DataFrame:
-    """Adds ``batch``: changes whenever the schema version of a key's table does."""
-    w = Window.partitionBy("table_id").orderBy("commit_ts", "start_ts", "ref")
-    new = F.coalesce(F.lag(version).over(w) != F.col(version), F.lit(True)).cast("int")
-    return df.withColumn("batch", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """Adds ``batch``: changes whenever the schema version of a table does."""
+    rows = with_previous(df, ["table_id"], [F.col(c) for c in ("commit_ts", "start_ts", "ref")], [version])
+    new = F.col("is_first") | ~F.col(f"prev_{version}").eqNullSafe(F.col(version))
+    counted = _minus_first(running_flags(rows, new, "__run"), ["table_id"], "__run", "batch")
+    return counted.withColumn("batch", F.col("batch") + 1).drop("__run", "__no", "__blk", "is_first", f"prev_{version}")

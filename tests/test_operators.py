@@ -254,7 +254,7 @@ def brute_fold(rows):
 
 @pytest.mark.parametrize("block", [1, 4, 65_536])
 def test_fold_over_blocks(spark, monkeypatch, block):
-    monkeypatch.setattr(C, "BLOCK_ROWS", block)
+    monkeypatch.setattr(O, "BLOCK_ROWS", block)
     rng = random.Random(block)
     rows, want = [], []
     for k in [None, 1, 2, 3]:
@@ -268,3 +268,10 @@ def test_fold_over_blocks(spark, monkeypatch, block):
     df = spark.createDataFrame(rows, "k int, n int, op string, pre int, post int").repartition(3)
     got = [tuple(r)[:6] for r in C.fold_runs(df, ["k"], ["n"], "pre", "post").collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_split_of_a_hot_transaction(spark):
+    rows = [(1, 0, "I", i) for i in range(1000)] + [(2, 0, "D", 5), (None, 0, "U", 1)]
+    df = spark.createDataFrame(rows, "commit_ts bigint, start_ts bigint, op string, k int").repartition(5)
+    got = {(r["commit_ts"], r["k"]): r["part"] for r in O.split_transactions(df, ["k"], 256).collect()}
+    assert got == {(1, i): i // 256 for i in range(1000)} | {(2, 5): 0, (None, 1): 0}
