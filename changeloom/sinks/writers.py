@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Kind of sink by URI scheme, fixed values.
-SCHEMES = {"mysql": "database", "tidb": "database", "mysql+ssl": "database", "tidb+ssl": "database", "kafka": "messages", "kafka+ssl": "messages", "pulsar": "messages", "pulsar+ssl": "messages",
+SCHEMES = {"mysql": "database", "mysql+ssl": "database", "kafka": "messages", "kafka+ssl": "messages", "pulsar": "messages", "pulsar+ssl": "messages",
            "pulsar+http": "messages", "pulsar+https": "messages", "s3": "storage", "file": "storage", "gcs": "storage", "gs": "storage", "azure": "storage", "azblob": "storage", "noop": "storage", "blackhole": "blackhole"}
 
 
