@@ -19,8 +19,59 @@ def _is(op: str) -> Column:
     return F.col("op") == op
 
 
+def _moment(c: Col, v: Column) -> Column:
+    return F.date_format(v, "yyyy-MM-dd HH:mm:ss" + ("." + "S" * c.digits if c.digits else ""))
+
+
 def text(c: Col, v: Column) -> Column:
-    return S.value_string(v, "double") if c.type == "double" else v.cast("string")
+    """Value text of the JSON formats with string values: enums and sets by
+    number, bytes as Latin-1, floats without an exponent."""
+    if c.type == "double":
+        return S.value_string(v, "double")
+    if c.type == "blob":
+        return F.decode(v, "ISO-8859-1")
+    if c.type in ("datetime", "timestamp"):
+        return _moment(c, v)
+    return v.cast("string")
+
+
+def csv_cell(c: Col, v: Column, binary: str = "base64") -> Column:
+    """Value text of a CSV cell: enums and sets by name, bytes in base64 or hex;
+    texts are quoted."""
+    null = F.lit(S.NULL_TEXT)
+    if c.type in ("varchar", "char", "text", "json"):
+        return S.csv_quote(v.cast("string"))
+    if c.type == "enum":
+        return S.csv_quote(F.when(v.isNotNull(), S.enum_name(v, list(c.elements))))
+    if c.type == "set":
+        return S.csv_quote(F.when(v.isNotNull(), S.set_names(v, list(c.elements))))
+    if c.type == "blob":
+        return S.csv_quote(F.base64(v) if binary == "base64" else F.hex(v))
+    if c.type in ("date", "datetime", "timestamp", "time"):
+        return S.csv_quote(_moment(c, v) if c.type in ("datetime", "timestamp") else v.cast("string"))
+    return F.coalesce(text(c, v), null)
+
+
+def debezium_value(c: Col, v: Column) -> Column:
+    """Value of a Debezium image: days for dates, milliseconds (microseconds
+    beyond three digits) for datetimes, ISO text in UTC for timestamps, names for
+    enums and sets, bytes in base64 and decimals as doubles."""
+    if c.type == "date":
+        return F.unix_date(v.cast("date"))
+    if c.type == "datetime":
+        at = v.cast("timestamp")
+        return F.unix_millis(at) if c.digits <= 3 else F.unix_micros(at)
+    if c.type == "timestamp":
+        return F.date_format(v.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss" + ("." + "S" * c.digits if c.digits else "") + "'Z'")
+    if c.type == "enum":
+        return F.when(v.isNotNull(), S.enum_name(v, list(c.elements)))
+    if c.type == "set":
+        return F.when(v.isNotNull(), S.set_names(v, list(c.elements)))
+    if c.type == "bit":
+        return v == 1 if c.bits == 1 else F.base64(F.substring(S.little_endian(v.cast("bigint")), F.lit(1), F.lit((c.bits + 7) // 8)))
+    if c.type == "blob":
+        return F.base64(v)
+    return v.cast("double") if c.type == "decimal" else v
 
 
 def changed_only(t: Table, prefix: str, value) -> Column:
@@ -118,7 +169,7 @@ def open_decode(df: DataFrame, t: Table, key: str, value: str) -> DataFrame:
 
 
 def csv_row(t: Table, prefix: str, op: Column, with_commit_ts: bool = True, is_update: bool | None = None) -> Column:
-    cell = lambda c: S.csv_quote(F.col(f"{prefix}_{c.name}").cast("string")) if c.type in ("varchar", "char", "text") else F.coalesce(F.col(f"{prefix}_{c.name}").cast("string"), F.lit(S.NULL_TEXT))
+    cell = lambda c: csv_cell(c, F.col(f"{prefix}_{c.name}"))
     quoted = lambda s: F.lit('"' + s.replace('"', '""') + '"')
     head = [F.concat(F.lit('"'), op, F.lit('"')), quoted(t.name), quoted(t.schema)]
     if with_commit_ts:
@@ -149,11 +200,12 @@ def csv_decode(df: DataFrame, t: Table, line: str = "line") -> DataFrame:
 
 #: Connect types of source types, fixed values: (type, semantic name).
 CONNECT = {"bigint": ("int64", None), "int": ("int32", None), "smallint": ("int16", None), "varchar": ("string", None), "double": ("double", None),
-           "date": ("int32", "io.debezium.time.Date"), "datetime": ("int64", "io.debezium.time.Timestamp"), "timestamp": ("string", "io.debezium.time.ZonedTimestamp"), "json": ("string", "io.debezium.data.Json")}
+           "date": ("int32", "io.debezium.time.Date"), "datetime": ("int64", "io.debezium.time.Timestamp"), "timestamp": ("string", "io.debezium.time.ZonedTimestamp"), "json": ("string", "io.debezium.data.Json"),
+           "enum": ("string", "io.debezium.data.Enum"), "set": ("string", "io.debezium.data.EnumSet"), "bit": ("bytes", "io.debezium.data.Bits"), "blob": ("bytes", None), "decimal": ("double", None)}
 
 
 def debezium(t: Table, cluster: str = "default", connector: str = "changeloom", with_schema: bool = False) -> Column:
-    img = lambda p: json(image(p, t.columns, lambda c, v: v))
+    img = lambda p: json(image(p, t.columns, debezium_value))
     op = F.when(_is("I"), "c").when(_is("U"), "u").otherwise("d")
     ms = F.shiftright("commit_ts", 18).cast("string")
     source = f'"source":{{"version":"2.4.0.Final","connector":"{connector}","name":"{cluster}","ts_ms":'
@@ -190,7 +242,7 @@ def debezium_decode(df: DataFrame, t: Table, body: str) -> DataFrame:
 
 
 #: Avro types of source types, fixed values.
-AVRO = {"int": "int", "smallint": "int", "bigint": "long", "double": "double", "varchar": "string", "date": "string", "datetime": "string", "timestamp": "string", "decimal": "string"}
+AVRO = {"int": "int", "smallint": "int", "bigint": "long", "double": "double", "varchar": "string", "date": "string", "datetime": "string", "timestamp": "string", "decimal": "string", "enum": "string", "set": "string", "json": "string", "blob": "bytes", "bit": "bytes"}
 
 
 def avro_schema(t: Table, namespace: str = "default", key: bool = False) -> str:

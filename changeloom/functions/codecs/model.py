@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Col:
-    """A column: its type as text and whether it belongs to the handle key."""
+    """A column: its type as text and whether it belongs to the handle key;
+    the names of an enum or set, the fraction digits of a time, the bits of a
+    bit column."""
 
     name: str
     type: str = "bigint"
     key: bool = False
     nullable: bool = True
+    elements: tuple[str, ...] = ()
+    digits: int = 0
+    bits: int = 1
 
 
 @dataclass(frozen=True)

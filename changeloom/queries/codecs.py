@@ -183,6 +183,25 @@ def cd_txnmsg(spark, d):
     return numbered.join(F.broadcast(first), "part").select("part", "k", "op", (F.col("all_pos") - F.col("first") + 1).alias("pos"))
 
 
+_B = "SELECT o_orderkey AS id, o_orderdate AS moment, CAST(1 + o_orderkey % 3 AS INTEGER) AS e, CAST(o_orderkey % 8 AS INTEGER) AS st, o_orderpriority AS pr FROM orders"
+_EN = "CASE e WHEN 1 THEN 'a' WHEN 2 THEN 'b' ELSE 'c' END"
+_SN = "array_to_string(list_filter([CASE WHEN st & 1 > 0 THEN 'a' END, CASE WHEN st & 2 > 0 THEN 'b' END, CASE WHEN st & 4 > 0 THEN 'c' END], lambda x: x IS NOT NULL), ',')"
+
+
+@q(f"""WITH x AS ({_B}) SELECT id, strftime(moment, '%Y-%m-%d') || '|' || strftime(moment, '%Y-%m-%d %H:%M:%S') || '|' || CAST(e AS VARCHAR) || '|' || CAST(st AS VARCHAR) || '|' || pr AS canal,
+'"' || strftime(moment, '%Y-%m-%d') || '"|"' || strftime(moment, '%Y-%m-%d %H:%M:%S') || '"|"' || {_EN} || '"|"' || {_SN} || '"|"' || base64(encode(pr)) || '"' AS csv,
+'{{"d":' || CAST(epoch_us(moment) // 86400000000 AS VARCHAR) || ',"dt":' || CAST(epoch_us(moment) // 1000 AS VARCHAR) || ',"e":"' || {_EN} || '","st":"' || {_SN} || '","b":"' || base64(encode(pr)) || '"}}' AS dbz FROM x""")
+def cd_types(spark, d):
+    """Dates, times, enums, sets and bytes as each format writes them."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("d"), F.col("o_orderdate").cast("timestamp").alias("dt"),
+        (1 + F.col("o_orderkey") % 3).cast("int").alias("e"), (F.col("o_orderkey") % 8).cast("int").alias("st"), F.encode("o_orderpriority", "UTF-8").alias("b"))
+    cols = [Col("d", "date"), Col("dt", "datetime"), Col("e", "enum", elements=("a", "b", "c")), Col("st", "set", elements=("a", "b", "c")), Col("b", "blob")]
+    return o.select(
+        "id", F.concat_ws("|", *[E.text(c, F.col(c.name)) for c in cols]).alias("canal"), F.concat_ws("|", *[E.csv_cell(c, F.col(c.name)) for c in cols]).alias("csv"),
+        F.to_json(F.struct(*[E.debezium_value(c, F.col(c.name)).alias(c.name) for c in cols])).alias("dbz"))
+
+
 @q()
 def cd_tabledef(spark, d):
     """Schema files of the tables with their checksums; CRC32 is pinned in a test."""

@@ -275,3 +275,14 @@ def test_split_of_a_hot_transaction(spark):
     df = spark.createDataFrame(rows, "commit_ts bigint, start_ts bigint, op string, k int").repartition(5)
     got = {(r["commit_ts"], r["k"]): r["part"] for r in O.split_transactions(df, ["k"], 256).collect()}
     assert got == {(1, i): i // 256 for i in range(1000)} | {(2, 5): 0, (None, 1): 0}
+
+
+def test_codec_values_of_odd_types(spark):
+    one_of = lambda kind, value, **kw: one(spark, E.debezium_value(Col("x", kind, **kw), value))
+    assert one_of("bit", F.lit(1), bits=1) is True and one_of("bit", F.lit(258), bits=16) == "AgE="
+    assert one_of("timestamp", F.lit("2024-01-02 03:04:05.678").cast("timestamp"), digits=3) == "2024-01-02T03:04:05.678Z"
+    assert one_of("datetime", F.lit("1970-01-01 00:00:01.000002").cast("timestamp"), digits=6) == 1_000_002
+    assert one_of("date", F.lit("1969-12-31").cast("date")) == -1 and one_of("enum", F.lit(9), elements=("a",)) == ""
+    assert one_of("enum", F.lit(None).cast("int"), elements=("a",)) is None
+    assert one(spark, E.csv_cell(Col("x", "set", elements=("a", "b")), F.lit(None).cast("int"))) == "\\N"
+    assert one(spark, E.text(Col("x", "blob"), F.unhex(F.lit("E9")))) == "é"
