@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HANDLE_KEY = 2  # flag bit of a handle-key column
 
@@ -49,3 +50,17 @@ def image_json(image: Column) -> Column:
 def clean_name(name: Column) -> Column:
     """A table or schema name in lower case, without backticks and outer spaces."""
     return F.lower(F.trim(F.regexp_replace(F.trim(name), "`", "")))
+
+
+def scan_schema(schema: T.StructType, images: tuple[str, ...] = ("row_columns", "pre_columns")) -> T.StructType:
+    """The log's schema with only the parts of an image that are used here, so
+    that the scan does not read types, charsets and collations. (Functions over
+    the elements of an array keep the optimizer from seeing this by itself.)"""
+    used = ("col_name", "col_value", "flag")
+    fields = []
+    for f in schema.fields:
+        if f.name in images and isinstance(f.dataType, T.ArrayType):
+            part = T.StructType([x for x in f.dataType.elementType.fields if x.name in used])
+            f = T.StructField(f.name, T.ArrayType(part, f.dataType.containsNull), f.nullable)
+        fields.append(f)
+    return T.StructType(fields)

@@ -14,6 +14,11 @@ def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{table}.parquet")
 
 
+def _redo(spark: SparkSession, d: str) -> DataFrame:
+    path = f"{d}/redo_dml.parquet"
+    return spark.read.schema(R.scan_schema(spark.read.parquet(path).schema)).parquet(path)
+
+
 def _message_ids() -> dict:
     row, pre = F.col("row_columns"), F.col("pre_columns")
     return {
@@ -26,12 +31,12 @@ _TS_MS = lambda: F.shiftright(F.col("commit_ts"), 18)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return redelivery.repeated_messages(_read(spark, d, "redo_dml"), _message_ids(), _TS_MS()).drop("copies")
+    return redelivery.repeated_messages(_redo(spark, d), _message_ids(), _TS_MS()).drop("copies")
 
 
 def p1_messages(spark: SparkSession, d: str) -> DataFrame:
     """One row per message: the log_id that is kept and the number of copies."""
-    return redelivery.exactly_once(_read(spark, d, "redo_dml"), _message_ids(), _TS_MS(), F.col("log_id"))
+    return redelivery.exactly_once(_redo(spark, d), _message_ids(), _TS_MS(), F.col("log_id"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +110,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
     """The rows that exist at the end, with their last image."""
     path = f"{d}/redo_dml.parquet"
-    return upsert.rebuild(spark, path, spark.read.parquet(path).schema)
+    return upsert.rebuild(spark, path, R.scan_schema(spark.read.parquet(path).schema))
 
 
 QUERIES = {
