@@ -109,6 +109,11 @@ def date_path(ts: Column, unit: str) -> Column:
     return F.date_format(ts, {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}[unit])
 
 
+def default_timestamp(utc: Column, zone: str) -> Column:
+    """Text of a UTC default value in a session's time zone."""
+    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc.cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss")
+
+
 def redact(v: Column, mode: str) -> Column:
     if mode == "off":
         return v

@@ -108,3 +108,11 @@ def should_block(scope: Column, n_tables: Column, split_table: Column, sync_poin
     """A schema change blocks if it concerns a database or everything, several
     tables or a table that is split; a sync point always does."""
     return sync_point | scope.isin("db", "all") | (n_tables > 1) | split_table
+
+
+def paused(df: DataFrame, keys: list[str], order: list[str], usage: str, pause: int, resume: int) -> DataFrame:
+    """Adds ``paused``: true from a usage of ``pause`` percent on until it falls
+    below ``resume``; the last of the two events decides."""
+    flag = F.when(F.col(usage) >= pause, True).when(F.col(usage) < resume, False)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.select(*keys, *order, F.coalesce(F.last(flag, ignorenulls=True).over(w), F.lit(False)).alias("paused"))

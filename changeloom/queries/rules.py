@@ -328,6 +328,12 @@ def fn_compress(spark, d):
     return packed.select("id", F.decode(S.decompress("zstd")(F.col("z")), "UTF-8").alias("restored"))
 
 
+@q("SELECT o_orderkey AS id, strftime(o_orderdate + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS shown FROM orders")
+def fn_defaultts(spark, d):
+    """A default that is stored in UTC, as a session in another zone shows it."""
+    return spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("id"), S.default_timestamp(F.col("o_orderdate"), "Asia/Shanghai").alias("shown"))
+
+
 # routing
 
 

@@ -225,6 +225,13 @@ def st_scanwin(spark, d):
     return u.select("event_id", P.next_interval(F.lit(5000), F.col("usage"), F.col("usage")).alias("next_ms"))
 
 
+@q(f"WITH {ctes('ev')}, f AS (SELECT k, n, CASE WHEN v % 100 >= 80 THEN 1 WHEN v % 100 < 50 THEN 0 END AS flag FROM ev), g AS (SELECT *, count(flag) OVER (PARTITION BY k ORDER BY n) AS grp FROM f) SELECT k, n, coalesce(max(flag) OVER (PARTITION BY k, grp), 0) = 1 AS paused FROM g")
+def st_memctl(spark, d):
+    """A path pauses at 80 % of its quota and goes on below 50 %."""
+    ev = log(spark, d, "ev").select("k", "n", (F.col("v") % 100).alias("usage"))
+    return P.paused(ev, ["k"], ["n"], "usage", 80, 50)
+
+
 @q(f"{HL}, a AS (SELECT k, max(commit_ts) AS applied FROM history_log WHERE n <= 10 GROUP BY k), r AS (SELECT * FROM history_log WHERE n > 5) SELECT DISTINCT r.k, r.n, r.op, r.commit_ts FROM r JOIN a USING (k) WHERE r.commit_ts > a.applied")
 def st_late(spark, d):
     h = log(spark, d, "history_log").select("k", "n", "op", "commit_ts")

@@ -30,7 +30,15 @@ from changeloom.functions import rowimage as R
 from changeloom.session import remove_path, work_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Set for the run: state in RocksDB, with one bound for all stores of an
+#: executor (their number is that of the shuffle partitions at the first run),
+#: and no empty batches.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def row_changes(redo: DataFrame) -> DataFrame:
@@ -80,9 +88,9 @@ def apply_feed(
     """
     root = path or work_path(spark, "upsert")
     out = f"{root}/versions"
-    before = {k: spark.conf.get(k, None) for k in (PROVIDER, "spark.sql.streaming.noDataMicroBatches.enabled")}
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
