@@ -95,6 +95,25 @@ def with_previous(df: DataFrame, keys: list[str], order: list[Column], columns:
     return rows.where("__blk = __own").drop("__own")
 
 
+def numbered_blocks(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Adds the row's number ``__no`` in the order of keys and ``order`` and its
+    block ``__blk``."""
+    rows = row_numbers(df, [*[F.col(k) for k in keys], *order], "__no")
+    return rows.withColumn("__blk", F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS)))
+
+
+def max_before(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Largest value of the key's earlier rows (null for the first), over rows of
+    :func:`numbered_blocks`: the maximum inside the block and, from one row per
+    key and block, that of the blocks before."""
+    blocks = rows.groupBy(*keys, "__blk").agg(F.max(value).alias("__m"))
+    w = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__blk").alias("__b"), F.max("__m").over(w).alias("__carried"))
+    inside = Window.partitionBy(*keys, "__blk").orderBy("__no").rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("__inside", F.max(value).over(inside)).join(carried, _same_keys(keys, "__k_") & (F.col("__blk") == F.col("__b")))
+    return out.withColumn(name, F.greatest("__inside", "__carried")).drop("__inside", "__carried", "__b", *[f"__k_{k}" for k in keys])
+
+
 def running_flags(rows: DataFrame, flag: Column, name: str) -> DataFrame:
     """Running count of a flag over rows that :func:`with_previous` numbered."""
     rows = materialize(rows.withColumn("__flag", flag.cast("bigint")), "flags")

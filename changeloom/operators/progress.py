@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeloom.operators.ordering import max_before, numbered_blocks, running_flags
+
 
 def table_resolved(regions: DataFrame, table: str, region: str, ts: str) -> DataFrame:
     """Per table the smallest of its regions' largest resolved ts."""
@@ -13,8 +15,8 @@ def table_resolved(regions: DataFrame, table: str, region: str, ts: str) -> Data
 
 def monotone(df: DataFrame, keys: list[str], order: list[str], ts: str) -> DataFrame:
     """A watermark that never goes back."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(ts, F.max(ts).over(w))
+    rows = max_before(numbered_blocks(df, keys, [F.col(c) for c in order]), keys, ts, "__before")
+    return rows.withColumn(ts, F.greatest(ts, "__before")).select(*df.columns)
 
 
 def checkpoint(sent: DataFrame, keys: list[str], resolved: DataFrame) -> DataFrame:
@@ -28,18 +30,15 @@ def checkpoint(sent: DataFrame, keys: list[str], resolved: DataFrame) -> DataFra
 
 def coverage(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: first and last bound, whether the spans leave no gap, and holes."""
-    w = Window.partitionBy(*keys).orderBy("lo", "hi")
-    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    gaps = spans.withColumn("gap", F.when(F.col("lo") > before, F.col("lo") - before).otherwise(0))
+    rows = max_before(numbered_blocks(spans, keys, [F.col("lo"), F.col("hi")]), keys, "hi", "before")
+    gaps = rows.withColumn("gap", F.when(F.col("lo") > F.col("before"), F.col("lo") - F.col("before")).otherwise(0))
     return gaps.groupBy(*keys).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(F.col("gap") > 0).alias("holes"), F.sum("gap").alias("missing"))
 
 
 def merge_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Joins spans that touch or overlap; the merged checkpoint is the smallest."""
-    w = Window.partitionBy(*keys).orderBy("lo", "hi", "ts")
-    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    grouped = spans.withColumn("new", F.coalesce((F.col("lo") > before).cast("int"), F.lit(1)))
-    grouped = grouped.withColumn("grp", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = max_before(numbered_blocks(spans, keys, [F.col("lo"), F.col("hi"), F.col("ts")]), keys, "hi", "before")
+    grouped = running_flags(rows, F.coalesce(F.col("lo") > F.col("before"), F.lit(True)), "grp")
     return grouped.groupBy(*keys, "grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("ts").alias("ts"), F.count("*").alias("n_spans")).drop("grp")
 
 

@@ -175,6 +175,30 @@ def test_spans(spark):
     assert sorted((r["lo"], r["hi"], r["ts"], r["n_spans"]) for r in P.merge_spans(s, ["t"]).collect()) == [(0, 20, 1, 2), (500, 900, 3, 1)]
 
 
+@pytest.mark.parametrize("block", [2, 65_536])
+def test_spans_over_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(O, "BLOCK_ROWS", block)
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2]), lo, lo + rng.randint(1, 9), i) for i, lo in enumerate(rng.sample(range(300), 90))]
+    want, holes = [], []
+    for t in (None, 1, 2):
+        own, top = sorted(r[1:] for r in rows if r[0] == t), None
+        n = 0
+        for lo, hi, ts in own:
+            if top is None or lo > top:
+                n += top is not None
+                want.append([t, lo, hi, ts, 1])
+                top = hi
+            else:
+                w = want[-1]
+                top = max(top, hi)
+                w[2], w[3], w[4] = top, min(w[3], ts), w[4] + 1
+        holes.append((t, n))
+    df = spark.createDataFrame(rows, "t int, lo int, hi int, ts int").repartition(3)
+    assert sorted(map(tuple, P.merge_spans(df, ["t"]).collect()), key=repr) == sorted(map(tuple, want), key=repr)
+    assert sorted(((r["t"], r["holes"]) for r in P.coverage(df, ["t"]).collect()), key=repr) == sorted(holes, key=repr)
+
+
 def test_scan_window_fold(spark):
     rows = [(1, i, u) for i, u in enumerate([95, 75, 50, 15, 5])]
     df = spark.createDataFrame(rows, "k int, i int, u int")
