@@ -310,3 +310,12 @@ def test_codec_values_of_odd_types(spark):
     assert one_of("enum", F.lit(None).cast("int"), elements=("a",)) is None
     assert one(spark, E.csv_cell(Col("x", "set", elements=("a", "b")), F.lit(None).cast("int"))) == "\\N"
     assert one(spark, E.text(Col("x", "blob"), F.unhex(F.lit("E9")))) == "é"
+
+
+def test_table_checksums_are_pinned(spark):
+    d = E.table_definition(T, "CREATE TABLE t", 3, 100)
+    text = '{"Table":"t","Schema":"d","Version":1,"TableVersion":0,"Query":"","Type":0,"TableColumns":[{"ColumnName":"id","ColumnType":"BIGINT","ColumnNullable":"false","ColumnIsPk":"true"},{"ColumnName":"s","ColumnType":"VARCHAR"},{"ColumnName":"x","ColumnType":"BIGINT"}],"TableColumnsTotal":3}'
+    assert E.definition_checksum(d) == zlib.crc32(text.encode()) == E.definition_checksum(d | {"TableVersion": 7, "Query": "x"})
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, s string")
+    got = rows.agg(F.bit_xor(F.crc32(F.encode(F.concat_ws(",", "k", F.coalesce("s", F.lit(""))), "UTF-8")))).first()[0]
+    assert got == zlib.crc32(b"1,a") ^ zlib.crc32(b"2,b") ^ zlib.crc32(b"3,")
