@@ -133,6 +133,28 @@ def test_p2_blocks_and_table(spark):
     assert table.where("column = 'new'").count() == 1100 and table.where("value is null").count() == 0
 
 
+def connect(fields):
+    """fields: name, type, semantic name, value."""
+    f = [{"field": n, "type": t} | ({"name": f"io.debezium.time.{s}"} if s else {}) for n, t, s, _ in fields]
+    return json.dumps({"payload": {"after": {n: v for n, _, _, v in fields}}, "schema": {"fields": [{"field": "after", "fields": f}]}})
+
+
+def test_p2_units_are_not_mixed(spark):
+    one = [("a", "int64", "Timestamp", 1772353086139), ("b", "int32", "Date", 20659), ("c", "int32", "Date", 20659), ("d", "int64", "Timestamp", -1), ("e", "int32", "", 3), ("f", "int32", "Date", -1), ("g", "int64", "MicroTime", -3_723_000_004), ("h", "int32", "Year", 2020)]
+    two = [("a", "int64", "MicroTimestamp", 1772353086139541), ("b", "int32", "Year", 2019), ("c", "int64", "Timestamp", 5), ("d", "int64", "", 7), ("e", "int64", "", 4), ("f", "int64", "MicroTimestamp", 6), ("g", "string", "", "x"), ("h", "int64", "Year", 2021)]
+    msgs = drift(spark, [("t", 1, "debezium", connect(one)), ("t", 2, "debezium", connect(two))])
+    r = schema_drift.drift_rows(msgs)
+    names = schema_drift.column_names(r, schema_drift.changes(r))
+    schema = schema_drift.unified_schema(r, names)
+    time = "int64:io.debezium.time."
+    assert {x["column"]: x["type"] for x in schema.collect()} == {
+        "a": time + "MicroTimestamp", "b": "string", "c": time + "Timestamp", "d": "string", "e": "int64", "f": time + "MicroTimestamp", "g": "string", "h": time + "Year"}
+    got = {(x["column"], x["msg_id"]): x["value"] for x in schema_drift.unified_rows(msgs, r, names, schema).collect()}
+    assert got == {
+        ("a", 0): "1772353086139000", ("a", 1): "1772353086139541", ("b", 0): "2026-07-25", ("b", 1): "2019", ("c", 0): "1784937600000", ("c", 1): "5",
+        ("d", 0): "1969-12-31T23:59:59.999", ("d", 1): "7", ("e", 0): "3", ("e", 1): "4", ("f", 0): "-86400000000", ("f", 1): "6", ("g", 0): "-01:02:03.000004", ("g", 1): "x", ("h", 0): "2020", ("h", 1): "2021"}
+
+
 def test_p2_chain_of_names(spark):
     names = ["a", "b", "c", "d", "e", "f"]
     rows = [("t", i, "bare", bare({n: 1})) for i, n in enumerate(names)] + [("t", 6, "bare", bare({"f": 1, "a": "s"}))]
