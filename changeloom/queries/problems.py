@@ -53,11 +53,23 @@ def p2_schema(spark: SparkSession, d: str) -> DataFrame:
     return schema_drift.unified_schema(rows, schema_drift.column_names(rows, schema_drift.changes(rows)))
 
 
-def p2_table(spark: SparkSession, d: str) -> DataFrame:
+def _p2_parts(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     messages = _read(spark, d, "sink_message")
     rows = schema_drift.drift_rows(messages)
     names = schema_drift.column_names(rows, schema_drift.changes(rows))
-    return schema_drift.unified_rows(messages, rows, names, schema_drift.unified_schema(rows, names))
+    return messages, rows, names, schema_drift.unified_schema(rows, names)
+
+
+def p2_table(spark: SparkSession, d: str) -> DataFrame:
+    return schema_drift.unified_rows(*_p2_parts(spark, d))
+
+
+def p2_leftover(spark: SparkSession, d: str) -> DataFrame:
+    """Per topic: fields and values of its messages that p2_table has no room for."""
+    parts = _p2_parts(spark, d)
+    topics = parts[0].select("topic", F.lit(None).cast("string").alias("reason"))
+    every = topics.unionByName(schema_drift.left_over(*parts).select("topic", "reason"))
+    return every.groupBy("topic").agg(F.count_if(F.col("reason") == "undeclared").alias("undeclared"), F.count_if(F.col("reason") == "not cast").alias("not_cast"))
 
 
 DIFF = copy_diff.DiffPlan(
@@ -115,7 +127,7 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
-    "p2_table": p2_table, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
+    "p2_table": p2_table, "p2_leftover": p2_leftover, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
     "p5_found": p5_found, "p5_rows": p5_rows,
 }
 

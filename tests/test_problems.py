@@ -155,6 +155,22 @@ def test_p2_units_are_not_mixed(spark):
         ("d", 0): "1969-12-31T23:59:59.999", ("d", 1): "7", ("e", 0): "3", ("e", 1): "4", ("f", 0): "-86400000000", ("f", 1): "6", ("g", 0): "-01:02:03.000004", ("g", 1): "x", ("h", 0): "2020", ("h", 1): "2021"}
 
 
+def test_p2_every_message_and_column(spark):
+    image = lambda body, row: json.dumps(json.loads(body) | {"payload": {"after": row}})
+    first = connect([("a", "int32", "", 1), ("b", "int32", "", 2)])
+    rows = [("t", 1, "debezium", first), ("t", 1, "debezium", image(first, {"a": 5, "u": "x"})), ("t", 1, "debezium", image(first, None)),
+            ("t", 2, "debezium", connect([("a", "int32", "", "no number"), ("c", "string", "", "y")])), ("t", None, "debezium", first), (None, 1, "debezium", first), ("t", 3, "debezium", "no json")]
+    msgs = drift(spark, rows)
+    r = schema_drift.drift_rows(msgs)
+    names = schema_drift.column_names(r, schema_drift.changes(r))
+    parts = (msgs, r, names, schema_drift.unified_schema(r, names))
+    got = {(x["msg_id"], x["column"]): x["value"] for x in schema_drift.unified_rows(*parts).collect()}
+    set_ = {(0, "a"): "1", (0, "b"): "2", (1, "a"): "5", (3, "c"): "y"}
+    assert got == {(i, c): set_.get((i, c)) for i in (0, 1, 2, 3, 4, 6) for c in "abc"}
+    left = {(x["msg_id"], x["field"], x["value"], x["reason"]) for x in schema_drift.left_over(*parts).collect()}
+    assert left == {(1, "u", "x", "undeclared"), (3, "a", "no number", "not cast")} | {(i, f, v, "undeclared") for i in (4, 5) for f, v in (("a", "1"), ("b", "2"))}
+
+
 def test_p2_chain_of_names(spark):
     names = ["a", "b", "c", "d", "e", "f"]
     rows = [("t", i, "bare", bare({n: 1})) for i, n in enumerate(names)] + [("t", 6, "bare", bare({"f": 1, "a": "s"}))]
