@@ -33,10 +33,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where it is unset (a
-    single machine, as in tests) a temporary folder is made and set."""
+    """The folder named by ``spark.checkpoint.dir``; only where it is unset and
+    the master is this machine (as in tests) a temporary folder is made and set."""
     path = spark.conf.get(_CHECKPOINT_KEY, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="changeloom-")
         atexit.register(shutil.rmtree, local, True)
         path = f"file://{local}"
@@ -67,9 +69,31 @@ def release(spark: SparkSession) -> None:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`work_path`."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _file(spark, path)
+    fs.delete(target, True)
+
+
+def _file(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file below the shared folder, in place of an older one."""
+    fs, target = _file(spark, path)
+    out = fs.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, target = _file(spark, path)
+    if not fs.exists(target):
+        return None
+    source = fs.open(target)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    source.close()
+    return text
 
 
 def materialize(df, name: str):
