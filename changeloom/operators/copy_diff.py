@@ -4,13 +4,19 @@ Method: content-defined chunking. Rows are sorted by key; a rolling hash over
 the last ``window`` row fingerprints cuts a chunk wherever it meets a condition,
 so the cuts depend on the content only and are found again after an insertion
 or a deletion. A chunk's fingerprint covers its key range, number of rows and
-two independent hashes of its rows. An anti-join leaves the chunks that have no
-equal on the other side, and only their rows are compared field by field.
-
-Keys are sorted within fixed key blocks of ``block`` keys, the same on both
-sides, so a large table is cut by many tasks and no window holds more than a
-block. Only keys and hashes are shuffled for the fingerprints; fields are read
-again for the rows of unmatched chunks.
+two combinations of its row hashes. The anti-join of the fingerprints, both ways
+at once, leaves the chunks that have no equal on the other side, and only their
+rows are compared field by field.
+
+Scale: one plan for every size, with one shuffle and no broadcast of keys. Both
+copies are read once; a text field is reduced to a 64-bit hash, the other fields
+stay as they are, and these slim rows go to their key block, the same on both
+sides. Everything after happens where the rows lie. A key block is ``block``
+consecutive numbers of an integer key, or for other and composite keys one of
+``rows / block`` hash classes. An over-full block (a key repeated many times) is
+found by a count over the keys alone; there are at most ``MAX_FULL`` of them by
+their definition. Their exact repeats are removed with map-side combine, and they
+are spread by row hash.
 
 Defined results: exact repeats of a row (after normalisation) count once; if a
 key still has several different rows on a side, versions equal on both sides
@@ -26,14 +32,22 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from changeloom.operators.ordering import place_in_key
 from changeloom.session import materialize
 
+#: Over-full blocks hold at least 1 / MAX_FULL of all rows each.
+MAX_FULL = 10_000
+#: Where a row is compared: the hash of its block, and of the part of an
+#: over-full one. (Two blocks of one hash are sorted and cut together.)
+PLACE = "__blk"
+
 
 @dataclass(frozen=True)
 class DiffPlan:
     table: tuple[str, ...] = ("schema_name", "table_name")
-    key: str = "id"
+    key: tuple[str, ...] = ("id",)
     fields: tuple[str, ...] = ()
     trim: tuple[str, ...] = ()
     json: tuple[str, ...] = ()
@@ -41,7 +55,11 @@ class DiffPlan:
     window: int = 4
     chunk_rows: int = 16  # expected rows of a chunk
     block: int = 4096
-    broadcast_keys: int = 1_000_000  # of 8 bytes
+    full: int = 16  # a block of so many times ``block`` rows is over-full
+
+    @property
+    def keys(self) -> list[str]:
+        return [*self.table, *self.key]
 
 
 def canonical_json(text: Column) -> Column:
@@ -49,10 +67,9 @@ def canonical_json(text: Column) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(text)), text)
 
 
-def normalise(df: DataFrame, plan: DiffPlan, *rest: str) -> DataFrame:
-    """Keys and fields, without what does not count as a difference; columns in
-    ``rest`` stay as they are."""
-    cols = [F.col(c) for c in (*plan.table, plan.key, *rest)]
+def normalise(df: DataFrame, plan: DiffPlan) -> DataFrame:
+    """Keys and fields, without what does not count as a difference."""
+    cols = [F.col(c) for c in plan.keys]
     for f in plan.fields:
         c = F.col(f)
         if f in plan.trim:
@@ -63,10 +80,10 @@ def normalise(df: DataFrame, plan: DiffPlan, *rest: str) -> DataFrame:
     return df.select(*cols)
 
 
-def fingerprints(df: DataFrame, plan: DiffPlan) -> DataFrame:
-    """Keys with two hashes of each row. Values with a tolerance are rounded to
-    its grid: equal hashes then mean equal within it, and a value next to a grid
-    line at worst makes a chunk be compared in full."""
+def _row_hash(plan: DiffPlan) -> Column:
+    """Values with a tolerance are rounded to its grid: equal hashes then mean
+    equal within it, and a value next to a grid line at worst makes a chunk be
+    compared in full."""
     vals = []
     for f in plan.fields:
         c = F.col(f)
@@ -76,52 +93,78 @@ def fingerprints(df: DataFrame, plan: DiffPlan) -> DataFrame:
             c = F.when(F.abs(cell) < float(1 << 52), F.when(cell == 0, F.lit(0.0)).otherwise(cell)).otherwise(c)
         # a null must differ from an absent value: xxhash64 skips nulls
         vals += [c.isNull(), c]
-    keys = [F.col(c) for c in (*plan.table, plan.key)]
-    return df.select(*keys, F.xxhash64(*keys, *vals).alias("h1"), F.xxhash64(F.lit(1), *vals, *keys).alias("h2"))
-
-
-def chunk(fp: DataFrame, plan: DiffPlan) -> DataFrame:
-    """Adds the key block and the number of the content-defined chunk in it."""
-    by = [*plan.table, "blk"]
-    rows = fp.withColumn("blk", F.floor(F.col(plan.key) / F.lit(plan.block)))
-    # one shuffle serves the removal of repeats and the windows
-    rows = rows.repartition(*by).dropDuplicates([*by, plan.key, "h1", "h2"])
-    w = Window.partitionBy(*by).orderBy(plan.key, "h1", "h2")
-    rolling = F.col("h1")
-    for i in range(1, plan.window):
-        rolling = rolling.bitwiseXOR(F.call_function("shiftleft", F.coalesce(F.lag("h1", i).over(w), F.lit(0)), F.lit(i)))
-    rows = rows.withColumn("cut", (F.pmod(rolling, F.lit(plan.chunk_rows)) == 0).cast("int"))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("chunk", F.coalesce(F.sum("cut").over(before), F.lit(0))).drop("cut")
-
+    return F.xxhash64(*plan.keys, *vals)
 
-def chunk_fingerprints(chunks: DataFrame, plan: DiffPlan) -> DataFrame:
-    return chunks.groupBy(*plan.table, "blk", "chunk").agg(
-        F.min(plan.key).alias("first_key"), F.max(plan.key).alias("last_key"), F.count("*").alias("n_rows"),
-        F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"),
-    )
 
+def slim(df: DataFrame, plan: DiffPlan, side: int) -> DataFrame:
+    """Keys, ``__side``, the fields (a text or a nested value as its hash) and
+    the row hash ``__h``."""
+    rows = normalise(df, plan)
+    wide = lambda f: not isinstance(rows.schema[f].dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+    cols = [F.when(F.col(f).isNotNull(), F.xxhash64(f)).alias(f) if wide(f) else F.col(f) for f in plan.fields]
+    return rows.select(*plan.keys, F.lit(side).alias("__side"), *cols).withColumn("__h", _row_hash(plan))
 
-def unmatched(left: DataFrame, right: DataFrame, plan: DiffPlan) -> tuple[DataFrame, DataFrame]:
-    """Chunked rows of each side whose chunk has no equal on the other side."""
-    ids = [*plan.table, "blk"]
-    same = [*ids, "first_key", "last_key", "n_rows", "x1", "x2"]
-    a, b = chunk_fingerprints(left, plan), chunk_fingerprints(right, plan)
 
-    def missing(x: DataFrame, y: DataFrame) -> DataFrame:
-        cond = F.lit(True)
-        for c in same:
-            cond = cond & x[c].eqNullSafe(y[c])
-        return x.join(y, cond, "left_anti").select(*ids, "chunk")
+def _block(plan: DiffPlan, schema: T.StructType, rows: int) -> Column:
+    """Number of the key block, with the table in it."""
+    if len(plan.key) == 1 and isinstance(schema[plan.key[0]].dataType, T.IntegralType):
+        blk = F.floor(F.col(plan.key[0]) / F.lit(plan.block))
+    else:
+        blk = F.pmod(F.xxhash64(*plan.key), F.lit(max(1, rows // plan.block)))
+    return F.xxhash64(*plan.table, blk.isNull(), blk).alias("__blk")
+
+
+def place(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> tuple[DataFrame, bool]:
+    """Slim rows of both sides, each in its block, and whether any is over-full;
+    ``__hot`` marks the rows of such blocks."""
+    if upstream.select(*plan.keys).dtypes != downstream.select(*plan.keys).dtypes:
+        raise ValueError("the copies have different key types")
+    keys = upstream.select(*plan.keys).unionByName(downstream.select(*plan.keys))
+    n = keys.count()
+    blk = _block(plan, keys.schema, n // 2)
+    limit = max(plan.full * plan.block, n // MAX_FULL)
+    # by this limit at most MAX_FULL rows of two numbers
+    full = keys.groupBy(blk).agg(F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("__parts")).where("__parts > 1")
+    full = materialize(full, "full")
+    rows = slim(upstream, plan, 0).unionByName(slim(downstream, plan, 1)).withColumn("__blk", blk)
+    crowded = not full.isEmpty()
+    if crowded:
+        marked = rows.join(F.broadcast(full), "__blk", "left")
+        hot = marked.where("__parts is not null").dropDuplicates()
+        hot = hot.withColumn(PLACE, F.xxhash64(PLACE, F.pmod("__h", F.col("__parts")))).withColumn("__hot", F.lit(True))
+        rows = marked.where("__parts is null").withColumn("__hot", F.lit(False)).unionByName(hot).drop("__parts")
+    else:
+        rows = rows.withColumn("__hot", F.lit(False))
+    return rows.repartition(PLACE), crowded
+
+
+def chunks(rows: DataFrame, plan: DiffPlan) -> DataFrame:
+    """The content-defined chunks of each side: place, ``__side``, fingerprint
+    (first and last key, number of rows, two combined hashes) and rows."""
+    w = Window.partitionBy(PLACE, "__side").orderBy(*plan.keys, "__h")
+    again = F.lit(True)
+    for c in (*plan.keys, "__h"):
+        again = again & F.lag(c).over(w).eqNullSafe(F.col(c))
+    rows = rows.withColumn("__again", again & (F.row_number().over(w) > 1)).where("not __again").drop("__again")
+    rolling = F.col("__h")
+    for i in range(1, plan.window):
+        rolling = rolling.bitwiseXOR(F.call_function("shiftleft", F.coalesce(F.lag("__h", i).over(w), F.lit(0)), F.lit(i)))
+    rows = rows.withColumn("__cut", (F.pmod(rolling, F.lit(plan.chunk_rows)) == 0).cast("int"))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__chunk", F.coalesce(F.sum("__cut").over(before), F.lit(0)))
+    key = F.struct(*plan.keys)
+    return rows.groupBy(PLACE, "__side", "__chunk").agg(
+        F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.count("*").alias("n_rows"),
+        F.bit_xor("__h").alias("x1"), F.bit_xor(F.xxhash64("__h", F.lit(1))).alias("x2"),
+        F.collect_list(F.struct(*plan.keys, *plan.fields, "__h", "__hot")).alias("rows"),
+    )
 
-    def rows(chunks: DataFrame, bad: DataFrame) -> DataFrame:
-        bad = bad.select(*[F.col(c).alias(f"__{c}") for c in bad.columns])
-        cond = F.lit(True)
-        for c in (*ids, "chunk"):
-            cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        return chunks.join(bad, cond, "left_semi")
 
-    return rows(left, missing(a, b)), rows(right, missing(b, a))
+def unmatched(chunked: DataFrame) -> DataFrame:
+    """Chunks whose fingerprint the other side does not have: the anti-join of
+    both sides. A side has a fingerprint once, as its rows are distinct."""
+    same = Window.partitionBy(PLACE, "first_key", "last_key", "n_rows", "x1", "x2")
+    return chunked.withColumn("__sides", F.count("*").over(same)).where("__sides = 1").drop("__sides")
 
 
 def _differs(f: str, plan: DiffPlan) -> Column:
@@ -132,47 +175,35 @@ def _differs(f: str, plan: DiffPlan) -> Column:
     return ~a.eqNullSafe(b)
 
 
-def _paired(upstream: DataFrame, downstream: DataFrame, bad: DataFrame, plan: DiffPlan) -> DataFrame:
-    """Versions of the keys in ``bad``, side ``a`` beside side ``b``.
-
-    Keys meet by their hash; a row that only shares the hash is in a matched
-    chunk, so it is equal on both sides and leaves again. Up to
-    ``broadcast_keys`` hashes, counted, are broadcast so that only rows of
-    unmatched chunks are shuffled; beyond, the rows are shuffled by the hash
-    first. All that follows stays in place."""
-    keys = [*plan.table, plan.key]
-    key_hash = F.xxhash64(*keys).alias("__k")
-    wide = lambda d, side: d.select(*keys, *plan.fields, F.lit(side).alias("__side"), key_hash)
-    sides = wide(upstream, 0).unionByName(wide(downstream, 1))
-    hashes = materialize(bad.select(key_hash).distinct(), "unmatched")
-    if hashes.count() <= plan.broadcast_keys:
-        rows = sides.join(F.broadcast(hashes), "__k", "left_semi").repartition("__k")
-    else:
-        rows = sides.repartition("__k").join(hashes, "__k", "left_semi")
-    vals = normalise(rows, plan, "__k", "__side")
-    vals = vals.withColumn("__h", F.xxhash64(*[x for f in plan.fields for x in (F.col(f).isNull(), F.col(f))]))
-    # repeats go; versions equal on both sides leave; what is left of a key is numbered in hash order
-    version = Window.partitionBy("__k", *keys, "__h")
-    vals = vals.withColumn("__both", F.min("__side").over(version) != F.max("__side").over(version))
-    vals = vals.withColumn("__copy", F.row_number().over(Window.partitionBy("__k", *keys, "__h", "__side").orderBy("__h"))).where("not __both and __copy = 1")
-    vals = vals.withColumn("__n", F.row_number().over(Window.partitionBy("__k", *keys, "__side").orderBy("__h")))
-    image = lambda side: F.first(F.when(F.col("__side") == side, F.struct(*plan.fields)), ignorenulls=True)
-    return vals.groupBy("__k", *keys, "__n").agg(image(0).alias("a"), image(1).alias("b"))
+def _pairs(bad: DataFrame, plan: DiffPlan, crowded: bool) -> DataFrame:
+    """Rows of unmatched chunks, side ``a`` beside side ``b``. The rows of one key
+    are in one block, so normal blocks need no further shuffle; those of an
+    over-full one are few after the versions equal on both sides have left, and
+    are numbered by a range sort."""
+    rows = bad.select(PLACE, "__side", F.inline("rows"))
+    rows = rows.groupBy(PLACE, *plan.keys, *plan.fields, "__h", "__hot").agg(F.min("__side").alias("__side"), F.max("__side").alias("__max")).where("__side = __max").drop("__max")
+
+    def beside(d: DataFrame, *at: str) -> DataFrame:
+        image = lambda side: F.first(F.when(F.col("__side") == side, F.struct(*plan.fields)), ignorenulls=True)
+        return d.groupBy(*at, *plan.keys, "__n").agg(image(0).alias("a"), image(1).alias("b")).select(*plan.keys, "a", "b")
+
+    number = F.row_number().over(Window.partitionBy(PLACE, *plan.keys, "__side").orderBy("__h"))
+    pairs = beside((rows.where("not __hot") if crowded else rows).withColumn("__n", number), PLACE)
+    if crowded:
+        hot = place_in_key(rows.where("__hot"), [*plan.keys, "__side"], [F.col("__h")], "__n")
+        pairs = pairs.unionByName(beside(hot))
+    return pairs
 
 
 def diff(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> DataFrame:
     """``table columns, key, diff_kind, field_name``: missing_upstream and
     missing_downstream with an empty field_name, differs once per field."""
-    keys = [*plan.table, plan.key]
-    ca = materialize(chunk(fingerprints(normalise(upstream, plan), plan), plan), "chunks-up")
-    cb = materialize(chunk(fingerprints(normalise(downstream, plan), plan), plan), "chunks-down")
-    ba, bb = unmatched(ca, cb, plan)
-    both = ba.select(*keys).unionByName(bb.select(*keys))
-    pairs = _paired(upstream, downstream, both, plan)
+    rows, crowded = place(upstream, downstream, plan)
+    pairs = _pairs(unmatched(chunks(rows, plan)), plan, crowded)
     kinds = [F.when(_differs(f, plan), F.lit(f)) for f in plan.fields]
     missing = lambda kind: F.array(F.struct(F.lit(kind).alias("kind"), F.lit("").alias("field")))
     found = (
         F.when(F.col("a").isNull(), missing("missing_upstream")).when(F.col("b").isNull(), missing("missing_downstream"))
         .otherwise(F.transform(F.array_compact(F.array(*kinds)), lambda f: F.struct(F.lit("differs").alias("kind"), f.alias("field"))))
     )
-    return pairs.select(*keys, F.explode(found).alias("d")).select(*keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))
+    return pairs.select(*plan.keys, F.explode(found).alias("d")).select(*plan.keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import rowimage as R
@@ -34,9 +34,35 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return redelivery.repeated_messages(_redo(spark, d), _message_ids(), _TS_MS()).drop("copies")
 
 
+def _image_text(image: str) -> Column:
+    """All fields of an image as one text."""
+    field = lambda v: F.coalesce(v.cast("string"), F.lit("~"))
+    parts = F.transform(image, lambda c: F.concat_ws(" ", *[field(c[f]) for f in ("col_name", "col_type", "charset", "collation_name", "col_value", "flag")]))
+    return F.array_join(parts, ";").alias(image)
+
+
 def p1_messages(spark: SparkSession, d: str) -> DataFrame:
-    """One row per message: the log_id that is kept and the number of copies."""
-    return redelivery.exactly_once(_redo(spark, d), _message_ids(), _TS_MS(), F.col("log_id"))
+    """The messages themselves, the copy of smallest log_id of each, whole."""
+    rows = redelivery.exactly_once(_read(spark, d, "redo_dml"), _message_ids(), _TS_MS(), "log_id")
+    return rows.select("log_id", "log_file", "delivered_at", "start_ts", "commit_ts", "tbl.db_name", "tbl.tbl_name", "tbl.tbl_id", _image_text("row_columns"), _image_text("pre_columns"), "copies")
+
+
+def p1_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The same over batches: log files come in four turns by their number, and
+    each batch is held against the stored identifiers of the batches before."""
+    ids = _message_ids()
+    names = {n: f"__{n}" for n in ids}
+    log = _redo(spark, d).select("log_id", "log_file", *[c.alias(names[n]) for n, c in ids.items()], _TS_MS().alias("ms"), _LOG_NUMBER().alias("turn"))
+    store = redelivery.RedeliveryStore(spark, list(names.values()), "ms", bucket_ms=86_400_000)
+    accepted = [store.process(log.where(F.col("turn") == k), k, "log_id") for k in range(4)]
+    out = accepted[0]
+    for a in accepted[1:]:
+        out = out.unionByName(a)
+    return out.select("log_id", *[F.col(v).alias(k) for k, v in names.items()], "turn")
+
+
+def _LOG_NUMBER() -> Column:
+    return (F.regexp_extract("log_file", r"_(\d+)\.log$", 1).cast("bigint") % 4).cast("int")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +152,7 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_messages": p1_messages, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
+    "p1_found": p1_found, "p1_messages": p1_messages, "p1_batches": p1_batches, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
     "p2_table": p2_table, "p2_leftover": p2_leftover, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
     "p5_found": p5_found, "p5_rows": p5_rows,
 }
@@ -134,7 +160,9 @@ QUERIES = {
 _KEY = """array_to_string(list_transform(list_sort(list_transform(list_filter({0}, lambda c: c.flag & 2 <> 0),
     lambda c: {{'n': c.col_name, 'v': c.col_value}})), lambda p: coalesce(p.v, '')), '|')"""
 _ROW, _PRE = "coalesce(len(row_columns), 0) > 0", "coalesce(len(pre_columns), 0) > 0"
-_MESSAGES = f"""SELECT start_ts, commit_ts, tbl.tbl_id AS tbl_id, log_id,
+_IMAGE = """array_to_string(list_transform({0}, lambda c: array_to_string([coalesce(CAST(c.col_name AS VARCHAR), '~'), coalesce(CAST(c.col_type AS VARCHAR), '~'), coalesce(c.charset, '~'),
+    coalesce(c.collation_name, '~'), coalesce(c.col_value, '~'), coalesce(CAST(c.flag AS VARCHAR), '~')], ' ')), ';') AS {0}"""
+_MESSAGES = f"""SELECT * EXCLUDE (tbl), tbl.db_name AS db_name, tbl.tbl_name AS tbl_name, tbl.tbl_id AS tbl_id,
     CASE WHEN {_ROW} THEN {_KEY.format('row_columns')} ELSE {_KEY.format('pre_columns')} END AS row_key,
     CASE WHEN {_ROW} AND {_PRE} THEN 'U' WHEN {_ROW} THEN 'I' WHEN {_PRE} THEN 'D' END AS op FROM redo_dml"""
 _NAMES = """SELECT lower(trim(replace(trim(tbl.db_name), '`', ''))) AS db_name, lower(trim(replace(trim(tbl.tbl_name), '`', ''))) AS tbl_name,
@@ -162,7 +190,11 @@ SELECT tbl_id, row_key, commit_ts FROM l WHERE rn = 1 AND alive"""
 
 SQL = {
     "p1_found": f"SELECT start_ts, commit_ts, tbl_id, row_key, op FROM ({_MESSAGES}) GROUP BY ALL HAVING count(*) > 1",
-    "p1_messages": f"SELECT start_ts, commit_ts, tbl_id, row_key, op, min(log_id) AS kept, count(*) AS copies FROM ({_MESSAGES}) GROUP BY start_ts, commit_ts, tbl_id, row_key, op",
+    "p1_messages": f"""WITH r AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op) AS copies FROM ({_MESSAGES}) WINDOW w AS (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op ORDER BY log_id))
+SELECT log_id, log_file, delivered_at, start_ts, commit_ts, db_name, tbl_name, tbl_id, {_IMAGE.format("row_columns")}, {_IMAGE.format("pre_columns")}, copies FROM r WHERE rn = 1""",
+    "p1_batches": f"""WITH m AS (SELECT *, CAST(CAST(regexp_extract(log_file, '_(\\d+)\\.log$', 1) AS BIGINT) % 4 AS INTEGER) AS turn FROM ({_MESSAGES})),
+r AS (SELECT *, row_number() OVER (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op ORDER BY turn, log_id) AS rn FROM m)
+SELECT log_id, start_ts, commit_ts, tbl_id, row_key, op, turn FROM r WHERE rn = 1""",
     "p3_found": _P3,
     "p4_found": f"WITH t AS ({_NAMES}) SELECT db_name, tbl_name FROM t WHERE n_rows >= 0.03 * (SELECT sum(n_rows) FROM t)",
     "p4_tables": _NAMES,

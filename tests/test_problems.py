@@ -42,29 +42,64 @@ def test_p1_edges(spark, ids):
     copies = {(r["commit_ts"], r["row_key"], r["op"]): r["copies"] for r in got}
     want = {(ts + 1, str(i), "I"): 3 for i in range(500)} | {(None, "k", "I"): 2, (90_000_000 << 18, None, None): 2}
     assert copies == want
-    once = redelivery.exactly_once(df, ids, F.shiftright("commit_ts", 18), F.col("log_id"), plan).collect()
-    assert len(once) == 500 + 1 + 2 + 1 and sum(r["copies"] for r in once) == len(rows)
-    assert min(r["kept"] for r in once) == 0
-    # the shuffled filter gives the same
-    again = redelivery.repeated_messages(df, ids, F.shiftright("commit_ts", 18), redelivery.BloomPlan(broadcast_bytes=0)).count()
-    assert again == len(want)
-    assert redelivery.repeated_messages(df.limit(0), ids, F.shiftright("commit_ts", 18)).count() == 0
+    ms_of = F.shiftright("commit_ts", 18)
+    once = redelivery.exactly_once(df, ids, ms_of, "log_id", plan)
+    assert once.columns == [*df.columns, "_copies"]  # the kept rows whole, clashing names too
+    kept = once.collect()
+    assert len(kept) == 500 + 1 + 2 + 1 and min(r["log_id"] for r in kept) == 0
+    whole = {r["log_id"]: r for r in df.withColumn("c", F.lit(0)).drop("c").collect()}
+    assert all(r["row_columns"] == whole[r["log_id"]]["row_columns"] for r in kept)
+    assert redelivery.repeated_messages(df.limit(0), ids, ms_of).count() == 0
+    assert redelivery.exactly_once(df.limit(0), ids, ms_of, "log_id").count() == 0
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_p1_one_plan(spark, ids, data):
+    """No filter is broadcast, and a hot identifier is spread over salts."""
+    hot = [(5, 1_700_000_000_000 << 18, 7, "k", "a", None)] * 3000 + [(5, (1_700_000_000_000 << 18) + i, 7, str(i), "a", None) for i in range(300)]
+    df, plan = redo(spark, hot), redelivery.BloomPlan(bits_per_key=1024, full=2)
+    screen = redelivery.Screen(df, ids, F.shiftright("commit_ts", 18), plan)
+    assert screen.full.agg(F.max("__salts")).first()[0] > 10
+    marked = screen.mark(screen.store)
+    assert "SortMergeJoin [__bucket" in physical(marked)
+    assert marked.groupBy("__maybe").count().where("__maybe").first()[1] >= 3000
+    assert [tuple(r) for r in redelivery.repeated_messages(df, ids, F.shiftright("commit_ts", 18), plan).select("row_key", "copies").collect()] == [("k", 3000)]
 
 
 def test_p1_store_over_batches(spark):
     rng = random.Random(5)
-    store = redelivery.RedeliveryStore(spark, ["a", "b"], "ms", blocks=1)
-    seen, out = set(), []
-    for n in range(3):
-        rows = [(rng.randint(0, 300), rng.choice([None, "x", "y"]), 1) for _ in range(400)]
-        rows = [(a, b, None if a == 0 else a * 900_000, p) for a, b, p in rows]
-        kept = store.process(spark.createDataFrame(rows, "a int, b string, ms bigint, batch int"), n).collect()
+    schema = "a int, b string, ms bigint, batch int, bucket int"
+    store = redelivery.RedeliveryStore(spark, ["a", "b"], "ms", plan=redelivery.BloomPlan(bits_per_key=1024))
+    seen, grew = set(), 0
+    for n in range(5):
+        rows = [(rng.randint(0, 60 * (n + 1)), rng.choice([None, "x", "y"]), n) for _ in range(150)]
+        rows = [(a, b, None if a == 0 else a * 100_000, p, 7) for a, b, p in rows]
+        kept = store.process(spark.createDataFrame(rows, schema), n, "batch").collect()
         keys = [(r["a"], r["b"]) for r in kept]
-        assert len(keys) == len(set(keys)) and set(keys) == {(a, b) for a, b, _, _ in rows} - seen
-        if n == 1:  # the same batch once more
-            again = store.process(spark.createDataFrame(rows, "a int, b string, ms bigint, batch int"), n).collect()
+        assert len(keys) == len(set(keys)) and set(keys) == {(a, b) for a, b, *_ in rows} - seen and all(r["checked"] for r in kept)
+        if n == 2:  # the same batch once more
+            again = store.process(spark.createDataFrame(rows, schema), n).collect()
             assert {(r["a"], r["b"]) for r in again} == set(keys)
         seen |= set(keys)
+        grew = max(grew, *(x[2] for x in store._meta(n).values()))
+    assert grew > 1  # a filter was made again with more blocks
+    read = physical(store.stored([0, 3], 50, "a int, b string"))
+    assert "bucket=0" in read or "InMemoryFileIndex(2 paths)" in read  # only these folders are listed
+
+
+def test_p1_store_forgets(spark):
+    store = redelivery.RedeliveryStore(spark, ["a"], "ms", bucket_ms=10, keep_buckets=2)
+    run = lambda rows, n: {tuple(r) for r in store.process(spark.createDataFrame(rows, "a int, ms bigint"), n).collect()}
+    assert run([(1, 5), (1, 5), (2, 15)], 0) == {(1, 5, True), (2, 15, True)}
+    assert run([], 1) == set()
+    assert run([(3, 25), (2, 15)], 2) == {(3, 25, True)}
+    # bucket 0 is two behind: its rows are not held against the store
+    assert run([(1, 5), (2, 15), (4, None)], 3) == {(1, 5, False), (4, None, True)}
+    with pytest.raises(ValueError):
+        redelivery.RedeliveryStore(spark, ["a"], "ms", keep_buckets=5000)
 
 
 def debezium(fields):
@@ -203,19 +238,49 @@ def test_p3_edges(spark):
         (1006, "missing_downstream", ""), (1007, "missing_upstream", ""), (None, "differs", "k"), (1008, "differs", "k"), (1008, "differs", "c"),
         (1009, "differs", "attrs"), (1010, "differs", "c"), (1013, "differs", "score"), (1014, "differs", "score"), (1016, "differs", "k"),
     }
-    shuffled = copy_diff.diff(copy(spark, up), copy(spark, down), dataclasses.replace(Q.DIFF, broadcast_keys=0))
-    assert {(r["id"], r["diff_kind"], r["field_name"]) for r in shuffled.collect()} == got
     assert copy_diff.diff(copy(spark, up[:0]), copy(spark, down[:0]), Q.DIFF).count() == 0
     assert copy_diff.diff(copy(spark, many), copy(spark, down[:0]), Q.DIFF).count() == 300
 
 
+def test_p3_one_shuffle(spark, data):
+    """Without any broadcast the rows are shuffled once."""
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in before:
+            spark.conf.set(k, "-1")
+        plan = physical(Q.p3_found(spark, data))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
+def test_p3_over_full_block(spark):
+    """Many rows of one key: repeats count once, versions are paired in hash order."""
+    plan = dataclasses.replace(Q.DIFF, block=8, full=2)
+    some = [dict(id=i) for i in range(100, 120)]
+    up = some + [dict(id=1)] * 300 + [dict(id=2, k=i) for i in range(60)] + [dict(id=None, k=i) for i in range(40)]
+    down = some + [dict(id=1)] * 2 + [dict(id=2, k=i) for i in range(5, 63)] + [dict(id=None, k=i) for i in range(1, 41)]
+    got = sorted((r["id"] or 0, r["diff_kind"], r["field_name"]) for r in copy_diff.diff(copy(spark, up), copy(spark, down), plan).collect())
+    assert got == [(0, "differs", "k"), *[(2, "differs", "k")] * 3, *[(2, "missing_downstream", "")] * 2]
+
+
+def test_p3_other_keys(spark):
+    """A text key, a composite key."""
+    rows = [("s", "t", f"k{i}", i % 7, f"v{i}") for i in range(500)]
+    schema = "schema_name string, table_name string, name string, no int, c string"
+    a, b = spark.createDataFrame(rows, schema), spark.createDataFrame([r if r[2] != "k77" else (*r[:4], "w") for r in rows if r[2] != "k5"], schema)
+    for key in (("name",), ("no", "name")):
+        got = {tuple(r) for r in copy_diff.diff(a, b, copy_diff.DiffPlan(key=key, fields=("c",), block=64)).select("name", "diff_kind", "field_name").collect()}
+        assert got == {("k77", "differs", "c"), ("k5", "missing_downstream", "")}
+
+
 def test_p3_cuts_follow_the_content(spark):
     rows = [dict(id=i, k=i * 7) for i in range(0, 2000, 2)]
-    a = copy_diff.chunk(copy_diff.fingerprints(copy_diff.normalise(copy(spark, rows), Q.DIFF), Q.DIFF), Q.DIFF)
-    b = copy_diff.chunk(copy_diff.fingerprints(copy_diff.normalise(copy(spark, [dict(id=1), *rows]), Q.DIFF), Q.DIFF), Q.DIFF)
-    bad_a, bad_b = copy_diff.unmatched(a, b, Q.DIFF)
-    n = copy_diff.chunk_fingerprints(a, Q.DIFF).count()
-    assert n > 20 and bad_a.count() < 150 and bad_b.count() == bad_a.count() + 1
+    placed, _ = copy_diff.place(copy(spark, rows), copy(spark, [dict(id=1), *rows]), Q.DIFF)
+    chunked = copy_diff.chunks(placed, Q.DIFF)
+    bad = {r["__side"]: r["n"] for r in copy_diff.unmatched(chunked).groupBy("__side").agg(F.sum("n_rows").alias("n")).collect()}
+    assert chunked.count() > 40 and bad[0] < 150 and bad[1] == bad[0] + 1
 
 
 def test_p4_against_plain(spark):
