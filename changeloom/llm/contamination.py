@@ -10,15 +10,17 @@ A word that no item holds cannot be inside a match, so suffixes that meet such a
 word before the shortest pattern ends are not sorted; that drops no match.
 
 Scale: the documents are read once, where they lie, without a shuffle; a shard
-has at most ``shard_words`` words (one longer document is a shard of its own).
-The items are a stated query set: they are compared in blocks of at most
-``block_bytes`` of text, so what goes to the workers is bounded whatever their
-number.
+has at most ``shard_words`` words (one longer document is a shard of its own) and
+its words are numbered once. The items are a stated query set: they are compared
+in blocks of at most ``block_bytes`` of text, one block at a time in a worker's
+memory, all blocks over the same shard. Up to ``scan_blocks`` blocks (256 MB of
+items) share a scan of the documents; more items take another scan, so what goes
+to the workers is bounded whatever their number.
 
 Defined results: words are maximal runs of a-z and 0-9 in the lower-cased text;
 null and empty texts and items without a word match nothing; an item of fewer
 than ``min_words`` words must occur whole; repeated rows give equal results,
-each pair of ids once per document row.
+each pair of ids once per document row; null ids are ids like any other.
 """
 
 from __future__ import annotations
@@ -39,14 +41,15 @@ class LeakPlan:
     min_words: int = 12
     shard_words: int = 1_000_000
     block_bytes: int = 4 << 20
+    scan_blocks: int = 64
 
 
 class Patterns:
     """All suffixes of a block of items, cut to the length that decides."""
 
-    def __init__(self, ids: list[int], texts: list[str], min_words: int):
+    def __init__(self, ids: list[int | None], texts: list[str], min_words: int):
         words = [WORD.findall((t or "").lower()) for t in texts]
-        self.ids = np.array(ids, np.int64)
+        self.ids = pa.array(ids, pa.int64())
         self.vocab = {w: k + 1 for k, w in enumerate(sorted({w for x in words for w in x}))}
         self.bits = max(1, len(self.vocab).bit_length())
         self.per = max(1, 63 // self.bits)
@@ -190,52 +193,78 @@ def _blocks(items: DataFrame, item_id: str, text: str, limit: int):
     size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = -(-size // limit) or 1
     for k in range(n):
-        block = items if n == 1 else items.where(F.pmod(F.xxhash64(item_id), F.lit(n)) == k)
+        block = items if n == 1 else items.where(F.pmod(F.xxhash64(item_id, text), F.lit(n)) == k)
         rows = block.select(F.col(item_id).cast("bigint"), text).where(F.col(text).isNotNull()).collect()
         if rows:
             yield [r[0] for r in rows], [r[1] for r in rows]
 
 
+def _scans(items: DataFrame, item_id: str, text: str, plan: LeakPlan):
+    """The broadcast blocks of each scan of the documents."""
+    held = []
+    for ids, texts in _blocks(items, item_id, text, plan.block_bytes):
+        held.append(items.sparkSession.sparkContext.broadcast(Patterns(ids, texts, plan.min_words)))
+        if len(held) == plan.scan_blocks:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def _shards(batches, at: int, limit: int):
+    """Record batches, cut at shard ends, with the word numbers of each of their
+    documents and the numbered words."""
+    held, coded, total, numbers = [], [], 0, {}
+    for b in batches:
+        start = 0
+        for i, t in enumerate(b.column(at)):
+            words = WORD.findall(t.as_py().lower()) if t.is_valid else ()
+            if total and total + len(words) > limit:
+                if i > start:
+                    held.append(b.slice(start, i - start))
+                yield held, coded, numbers
+                held, coded, total, numbers, start = [], [], 0, {}, i
+            put = numbers.setdefault
+            coded.append(np.fromiter((put(w, len(numbers)) for w in words), np.int64, len(words)))
+            total += len(words)
+        if b.num_rows > start:
+            held.append(b.slice(start))
+    if held:
+        yield held, coded, numbers
+
+
+def _searched(blocks: list, coded: list[np.ndarray], numbers: dict[str, int]):
+    """The shard under the patterns of each block in turn."""
+    for shared in blocks:
+        p = shared.value
+        known = np.fromiter((p.vocab.get(w, 0) for w in numbers), np.int64, len(numbers))
+        yield p, Shard(p, [known[c] for c in coded])
+        if len(blocks) > 1:  # one block in memory at a time; it is loaded again from the worker's disk
+            shared.__dict__.pop("_value", None)
+
+
 def _scan(documents: DataFrame, items: DataFrame, plan: LeakPlan, doc_id: str, item_id: str, text: str, item_text: str, full: bool) -> DataFrame:
     spark = documents.sparkSession
     names = ["doc_id", "item_id", *(["n_words", "doc_word", "item_word"] if full else [])]
     schema = ", ".join(f"{n} bigint" for n in names)
-    docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("text is not null and doc_id is not null")
-    out = None
-    for ids, texts in _blocks(items, item_id, item_text, plan.block_bytes):
-        shared = spark.sparkContext.broadcast(Patterns(ids, texts, plan.min_words))
-
-        def run(batches, shared=shared):
-            p = shared.value
-            get = p.vocab.get
-
-            def flush(keys, coded):
-                shard = Shard(p, coded)
-                if full:
-                    m = shard.longest()
-                    cols = [np.array(keys, np.int64)[m[:, 0]], p.ids[m[:, 1]], m[:, 2], m[:, 3], m[:, 4]]
-                else:
-                    d, i = shard.leaks()
-                    cols = [np.array(keys, np.int64)[d], p.ids[i]]
-                return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=names)
-
-            keys, coded, total = [], [], 0
-            for b in batches:
-                for k, t in zip(b.column(0).to_pylist(), b.column(1)):
-                    w = WORD.findall(t.as_py().lower())
-                    x = np.fromiter((get(v, 0) for v in w), np.int64, len(w))
-                    if total and total + len(x) > plan.shard_words:
-                        yield flush(keys, coded)
-                        keys, coded, total = [], [], 0
-                    keys.append(k)
-                    coded.append(x)
-                    total += len(x)
-            if keys:
-                yield flush(keys, coded)
+    docs = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
+    out = spark.createDataFrame([], schema)
+    for n, blocks in enumerate(_scans(items, item_id, item_text, plan)):
+
+        def run(batches, blocks=blocks):
+            for held, coded, numbers in _shards(batches, 1, plan.shard_words):
+                keys = pa.chunked_array([b.column(0) for b in held])
+                for p, shard in _searched(blocks, coded, numbers):
+                    if full:
+                        m = shard.longest()
+                        doc, item, rest = m[:, 0], m[:, 1], [pa.array(m[:, k], pa.int64()) for k in (2, 3, 4)]
+                    else:
+                        (doc, item), rest = shard.leaks(), []
+                    yield pa.record_batch([keys.take(pa.array(doc)).combine_chunks(), p.ids.take(pa.array(item)), *rest], names=names)
 
         part = docs.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        out = out.unionByName(part) if n else part
+    return out
 
 
 def leaked(documents: DataFrame, items: DataFrame, plan: LeakPlan = LeakPlan(), doc_id="doc_id", item_id="item_id", text="text", item_text="item_text") -> DataFrame:
@@ -250,7 +279,21 @@ def longest_matches(documents: DataFrame, items: DataFrame, plan: LeakPlan = Lea
     return _scan(documents, items, plan, doc_id, item_id, text, item_text, True)
 
 
-def without_leaks(documents: DataFrame, items: DataFrame, plan: LeakPlan = LeakPlan(), doc_id="doc_id", **names) -> DataFrame:
-    """The documents that hold no passage of any item; null ids stay."""
-    bad = leaked(documents, items, plan, doc_id=doc_id, **names).select(F.col("doc_id").alias("__bad")).distinct()
-    return documents.join(bad, F.col(doc_id) == F.col("__bad"), "left_anti")
+def without_leaks(documents: DataFrame, items: DataFrame, plan: LeakPlan = LeakPlan(), item_id="item_id", text="text", item_text="item_text") -> DataFrame:
+    """The documents that hold no passage of any item, with all their columns.
+    They are searched and passed on in one step, row by row, so neither null nor
+    repeated ids matter and nothing is joined."""
+    at = documents.columns.index(text)
+    for blocks in _scans(items, item_id, item_text, plan):
+
+        def run(batches, blocks=blocks):
+            for held, coded, numbers in _shards(batches, at, plan.shard_words):
+                keep = np.ones(len(coded), bool)
+                for _, shard in _searched(blocks, coded, numbers):
+                    keep[shard.leaks()[0]] = False
+                for b in held:
+                    mask, keep = keep[: b.num_rows], keep[b.num_rows :]
+                    yield b.filter(pa.array(mask))
+
+        documents = documents.mapInArrow(run, documents.schema)
+    return documents

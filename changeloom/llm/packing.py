@@ -19,8 +19,8 @@ then dealt to ``ceil(pieces / group_rows)`` workers by hash, so a worker has
 about ``group_rows`` pieces whatever the input, and no key can be hot. Containers
 left open cost at most ``classes`` per worker.
 
-Defined results: null and empty texts have 0 tokens and take no container (no
-row); repeated ids are separate pieces; a tie in size is broken by id; an empty
+Defined results: null and empty texts have 0 tokens and lie in the first
+container of their worker; repeated ids are separate pieces; a tie in size is broken by id; an empty
 table gives an empty result.
 """
 
@@ -78,16 +78,24 @@ def token_counts(documents: DataFrame, plan: PackPlan, doc_id: str = "doc_id", t
 
 
 def pieces(counts: DataFrame, capacity: int) -> DataFrame:
-    """``doc_id, piece, n_tokens``: only documents above the capacity have more
-    than one piece; all but the last of these are full."""
-    last = F.ceil(F.col("n_tokens") / F.lit(capacity)).cast("int") - 1
-    return counts.where("n_tokens > 0").select(
-        "doc_id", F.explode(F.sequence(F.lit(0), last)).alias("piece"), F.col("n_tokens").alias("total")
-    ).select("doc_id", "piece", F.least(F.lit(capacity).cast("bigint"), F.col("total") - F.col("piece").cast("bigint") * capacity).alias("n_tokens"))
+    """``doc_id, piece, first_token, n_tokens``: only documents above the capacity
+    have more than one piece; all but the last of these are full."""
+    last = F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / F.lit(capacity))).cast("int") - 1
+    each = counts.select("doc_id", F.explode(F.sequence(F.lit(0), last)).alias("piece"), F.col("n_tokens").alias("total"))
+    each = each.withColumn("first_token", F.col("piece").cast("bigint") * capacity)
+    return each.select("doc_id", "piece", "first_token", F.least(F.lit(capacity).cast("bigint"), F.col("total") - F.col("first_token")).alias("n_tokens"))
 
 
 def harmonic_pack(sizes: np.ndarray, capacity: int, classes: int) -> np.ndarray:
-    """Container number of each piece; ``sizes`` between 1 and ``capacity``."""
+    """Container number of each piece; ``sizes`` up to ``capacity``, those of
+    nothing lie in container 0."""
+    bins = np.zeros(len(sizes), np.int64)
+    some = sizes > 0
+    bins[some] = _pack_sizes(sizes[some], capacity, classes)
+    return bins
+
+
+def _pack_sizes(sizes: np.ndarray, capacity: int, classes: int) -> np.ndarray:
     kind = np.minimum(capacity // sizes, classes)
     # within a class the largest first
     order = np.lexsort((-sizes, kind))
@@ -137,8 +145,8 @@ def harmonic_pack(sizes: np.ndarray, capacity: int, classes: int) -> np.ndarray:
 
 
 def pack(documents: DataFrame, plan: PackPlan = PackPlan(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, piece, n_tokens, worker, container``: the container of each
-    piece is named by its worker and its number there."""
+    """``doc_id, piece, first_token, n_tokens, worker, container``: the container
+    of each piece is named by its worker and its number there."""
     parts = materialize(pieces(token_counts(documents, plan, doc_id, text), plan.capacity), "pieces")
     workers = max(1, -(-parts.count() // plan.group_rows))
     dealt = parts.withColumn("worker", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(workers)).cast("int"))
@@ -147,7 +155,7 @@ def pack(documents: DataFrame, plan: PackPlan = PackPlan(), doc_id: str = "doc_i
         pdf = pdf.sort_values(["doc_id", "piece"], ignore_index=True)
         return pdf.assign(container=harmonic_pack(pdf["n_tokens"].to_numpy(np.int64), plan.capacity, plan.classes))
 
-    return dealt.groupBy("worker").applyInPandas(run, "doc_id bigint, piece int, n_tokens bigint, worker int, container bigint")
+    return dealt.groupBy("worker").applyInPandas(run, "doc_id bigint, piece int, first_token bigint, n_tokens bigint, worker int, container bigint")
 
 
 def fill_report(packed: DataFrame, capacity: int) -> DataFrame:

@@ -28,7 +28,7 @@ def p7_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_clean(spark: SparkSession, d: str) -> DataFrame:
-    return contamination.without_leaks(_read(spark, d, "documents"), _read(spark, d, "eval_item")).select("doc_id", "source", "repo")
+    return contamination.without_leaks(_read(spark, d, "documents"), _read(spark, d, "eval_item"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

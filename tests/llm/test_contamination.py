@@ -47,7 +47,13 @@ def test_random_texts(spark):
         for shard in (40, 1_000_000):
             assert pairs(C.leaked(d, i, C.LeakPlan(min_words=n, shard_words=shard))) == brute(docs, items, n)
     assert pairs(C.longest_matches(d, i, C.LeakPlan(min_words=5))) == brute(docs, items, 5)
-    assert pairs(C.leaked(d, i, C.LeakPlan(min_words=5, block_bytes=100))) == brute(docs, items, 5)
+    # many blocks of items: one scan of the documents, or a scan for every two blocks
+    many = C.leaked(d, i, C.LeakPlan(min_words=5, block_bytes=100))
+    assert pairs(many) == brute(docs, items, 5) and many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    few = C.LeakPlan(min_words=5, block_bytes=300, scan_blocks=2, shard_words=50)
+    assert pairs(C.leaked(d, i, few)) == brute(docs, items, 5)
+    bad = {x for x, _ in brute(docs, items, 5)}
+    assert {r["doc_id"] for r in C.without_leaks(d, i, few).collect()} == {x for x, _ in docs} - bad
 
 
 def test_edges(spark):
@@ -56,11 +62,13 @@ def test_edges(spark):
             (None, passage), (6, "deep question here"), (7, "deep question"), (8, ("z " * 200_000) + passage)]
     items = [(1, passage), (2, None), (3, ""), (4, "Deep question, here?"), (1, passage), (5, "...")]
     d, i = frames(spark, docs, items)
-    assert pairs(C.leaked(d, i)) == {(4, 1), (6, 4), (8, 1)}
+    assert pairs(C.leaked(d, i)) == {(4, 1), (6, 4), (8, 1), (None, 1)}
     rows = {(r["doc_id"], r["n_words"], r["doc_word"], r["item_word"]) for r in C.longest_matches(d, i).collect() if r["item_id"] == 1}
-    assert rows == {(4, 15, 1, 0), (4, 15, 0, 0), (8, 15, 200_000, 0)}
+    assert rows == {(4, 15, 1, 0), (4, 15, 0, 0), (8, 15, 200_000, 0), (None, 15, 0, 0)}
     assert C.leaked(d.limit(0), i).count() == 0 and C.leaked(d, i.limit(0)).count() == 0
-    assert {r["doc_id"] for r in C.without_leaks(d, i).collect()} == {1, 2, 3, 5, 7, None}
+    clean = C.without_leaks(d, i)
+    assert clean.schema == d.schema and [tuple(r)[:2] for r in clean.collect()] == [x for x in docs if x[0] in (1, 2, 3, 5, 7)]
+    assert pairs(C.leaked(d, spark.createDataFrame([(None, passage, "x")], ITEM))) == {(4, None), (8, None), (None, None)}
 
 
 def test_longest_match(spark):

@@ -32,7 +32,7 @@ def test_edges(spark):
     plan = P.PackPlan(capacity=64, classes=8, group_rows=3)
     out = P.pack(df, plan).collect()
     enc = P.encoding(plan.tokenizer)
-    want = sorted((d or -1, len(enc.encode_ordinary(t))) for d, t, _ in rows if t)
+    want = sorted((d or -1, len(enc.encode_ordinary(t))) for d, _, t in [(r[0], r[2], r[1] or "") for r in rows])
     ids = [(r["doc_id"] or -1) for r in out if r["piece"] == 0]
     assert sorted(ids) == [d for d, _ in want]
     total = {}
@@ -44,6 +44,8 @@ def test_edges(spark):
     for r in out:
         used[r["worker"], r["container"]] = used.get((r["worker"], r["container"]), 0) + r["n_tokens"]
     assert max(used.values()) <= 64
+    assert all(r["first_token"] == 64 * r["piece"] for r in out)
+    assert {(r["n_tokens"], r["container"]) for r in out if r["doc_id"] in (1, 2)} == {(0, 0)}
     assert P.pack(df.limit(0), plan).count() == 0
 
 
