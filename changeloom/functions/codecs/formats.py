@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
 from changeloom.functions.codecs.model import TYPE_CODES, Col, Table, flags, image, json
-from changeloom.operators.ordering import place_in_key
+from changeloom.operators.ordering import BLOCK_ROWS, place_in_key, same_keys
+from changeloom.session import materialize
 
 
 def _is(op: str) -> Column:
@@ -298,39 +299,106 @@ def table_definition(t: Table, query: str, kind: int, table_version: int) -> dic
 
 
 def definition_checksum(d: dict) -> int:
-    """CRC32 of the definition without query, type and table version."""
+    """CRC32 of table, schema, version 0, the columns by name and their number, as
+    JSON with an indent of four; query, type and table version do not count."""
     import json as j
     import zlib
 
-    return zlib.crc32(j.dumps(d | {"Query": "", "Type": 0, "TableVersion": 0}, separators=(",", ":")).encode())
+    same = {"Table": d["Table"], "Schema": d["Schema"], "Version": 0, "TableColumns": sorted(d["TableColumns"], key=lambda c: c["ColumnName"]), "TableColumnsTotal": d["TableColumnsTotal"]}
+    text = j.dumps(same, indent=4, ensure_ascii=False)
+    for plain, code in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e")):
+        text = text.replace(plain, code)
+    return zlib.crc32(text.encode())
 
 
 # message shapes
 
 
 def batch_messages(df: DataFrame, keys: list[str], order: list[Column], size: Column, max_bytes: int, max_rows: int) -> DataFrame:
-    """Adds ``batch``: greedy packing in order, per key; a batch ends before it
-    would exceed the limits. The order decides each batch, so it is a fold over a
-    key's rows (in Arrow batches), cut into blocks of ``max_rows`` * 64 rows that
-    are packed on their own."""
-    rows = place_in_key(df.withColumn("__size", size), keys, order, "__rn")
-    rows = rows.withColumn("__blk", F.floor(F.col("__rn") / F.lit(max_rows * 64)))
-
-    def run(pdf):
-        pdf = pdf.sort_values("__rn")
-        out, batch, used, n = [], 0, 0, 0
-        for s in pdf["__size"].tolist():
-            if n and (used + s > max_bytes or n == max_rows):
-                batch, used, n = batch + 1, 0, 0
-            used, n = used + s, n + 1
-            out.append(batch)
-        pdf["batch"] = out
-        return pdf
-
+    """Adds ``batch``, from 0 per key: greedy packing in order; a batch ends before
+    it would exceed the limits.
+
+    Where a batch ends depends only on where it started, so every row points to
+    the first row of the batch after one that starts there. Rows are numbered by a
+    range sort and cut into blocks, each with the next ``max_rows`` rows as a halo,
+    in which the pointers are found by binary search over running sizes. From them
+    each block tells, for any start in its first ``max_rows`` rows, at which row
+    the block after it is entered and how many batches that takes: a table of
+    ``max_rows`` rows a block. The tables are followed in order per key (one short
+    step a block), then every block is cut by itself."""
+    import numpy as np
     from pyspark.sql import types as T
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
-    return rows.groupBy(*keys, "__blk").applyInPandas(run, schema).withColumn("block", F.col("__blk")).drop("__size", "__rn", "__blk")
+    block = max(BLOCK_ROWS, 4 * max_rows)
+    rows = place_in_key(df.withColumn("__size", size.cast("bigint")), keys, order, "__rn")
+    rows = materialize(rows.withColumn("__own", F.floor(F.col("__rn") / F.lit(block))), "sized")
+    halo = F.when((F.col("__rn") % block < max_rows) & (F.col("__own") > 0), F.array(F.col("__own"), F.col("__own") - 1)).otherwise(F.array(F.col("__own")))
+    spread = rows.select(*keys, "__rn", "__size", F.explode(halo).alias("__blk"))
+
+    def following(pdf):
+        """Row numbers, sizes and, for each row, the place of the next batch's start."""
+        pdf = pdf.sort_values("__rn")
+        at, sizes = pdf["__rn"].to_numpy(), pdf["__size"].fillna(0).to_numpy(np.int64)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        full = np.searchsorted(total, total[:-1] + max_bytes, "right") - 1
+        start = np.arange(len(at))
+        return pdf, at, np.maximum(start + 1, np.minimum(full, start + max_rows))
+
+    def jumps(pdf):
+        pdf, at, nxt = following(pdf)
+        end = (pdf["__blk"].iloc[0] + 1) * block
+        inside = int((at < end).sum())
+        own = min(max_rows, inside)
+        leave, count = np.arange(len(at)), np.zeros(len(at), np.int64)
+        for i in range(inside - 1, -1, -1):  # from the end: where a start leaves the block
+            j = nxt[i]
+            leave[i], count[i] = (leave[j], count[j] + 1) if j < inside else (j, 1)
+        out = pdf.iloc[:own][[*keys, "__blk"]].copy()
+        out["enter"], out["leave"], out["batches"] = at[:own], at[0] + leave[:own], count[:own]
+        return out
+
+    key_fields = [rows.schema[k] for k in keys]
+    table = T.StructType([*key_fields, *[T.StructField(n, T.LongType()) for n in ("__blk", "enter", "leave", "batches")]])
+    steps = materialize(spread.groupBy(*keys, "__blk").applyInPandas(jumps, table), "jumps")
+
+    def follow(pdf):
+        """The entry row and first batch number of each block of a key."""
+        nxt = {(e, b): (x, n) for e, b, x, n in pdf[["enter", "__blk", "leave", "batches"]].itertuples(index=False)}
+        at, batch, found = 0, 0, []
+        for b in range(int(pdf["__blk"].max()) + 1):
+            found.append((b, at, batch))
+            at, n = nxt.get((at, b), (at, 0))
+            batch += n
+        out = pdf.iloc[[0] * len(found)][keys].reset_index(drop=True)
+        out["__blk"], out["__enter"], out["__first"] = zip(*found)
+        return out
+
+    many = steps.where("__blk > 0").select(*keys).distinct()
+    entry = T.StructType([*key_fields, *[T.StructField(n, T.LongType()) for n in ("__blk", "__enter", "__first")]])
+    same = lambda d: _renamed_keys(d, keys)
+    long_keys = steps.join(same(many), same_keys(keys, "__k_"), "left_semi")
+    entries = long_keys.groupBy(*keys).applyInPandas(follow, entry)
+
+    def cut(pdf):
+        pdf, at, nxt = following(pdf)
+        enter, first = pdf["__enter"].iloc[0], pdf["__first"].iloc[0]
+        batch, i, b = np.full(len(at), first - 1), int(enter - at[0]), int(first)
+        while i < len(at):
+            batch[i : nxt[i]] = b
+            i, b = int(nxt[i]), b + 1
+        pdf["batch"] = batch
+        return pdf.drop(columns=["__size", "__enter", "__first"])
+
+    numbered = rows.withColumnRenamed("__own", "__blk")
+    placed = numbered.join(_renamed_keys(entries.withColumnRenamed("__blk", "__b"), keys), same_keys(keys, "__k_") & (F.col("__blk") == F.col("__b")), "left")
+    placed = placed.withColumn("__enter", F.coalesce("__enter", F.lit(0))).withColumn("__first", F.coalesce("__first", F.lit(0))).drop("__b", *[f"__k_{k}" for k in keys])
+    kept = [f for f in placed.schema.fields if f.name not in ("__size", "__enter", "__first")]
+    out = placed.groupBy(*keys, "__blk").applyInPandas(cut, T.StructType([*kept, T.StructField("batch", T.LongType())]))
+    return out.drop("__rn", "__blk")
+
+
+def _renamed_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"__k_{k}" for k in keys})
 
 
 def split_oversize(body: Column, limit: int) -> Column:

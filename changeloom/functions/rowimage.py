@@ -40,11 +40,9 @@ def row_key(row: Column, pre: Column) -> Column:
 
 
 def image_json(image: Column) -> Column:
-    """The image as a compact JSON list of name and value; null if absent."""
-    return F.when(
-        present(image),
-        F.to_json(F.transform(image, lambda c: F.struct(c["col_name"].alias("n"), c["col_value"].alias("v")))),
-    )
+    """The whole image as a JSON list of its fields, types and flags included,
+    nulls left out; null if absent."""
+    return F.when(present(image), F.to_json(image))
 
 
 def clean_name(name: Column) -> Column:
@@ -54,7 +52,7 @@ def clean_name(name: Column) -> Column:
 
 def scan_schema(schema: T.StructType, images: tuple[str, ...] = ("row_columns", "pre_columns")) -> T.StructType:
     """The log's schema with only the parts of an image that are used here, so
-    that the scan does not read types, charsets and collations. (Functions over
+    that a scan for keys does not read types, charsets and collations. (Functions over
     the elements of an array keep the optimizer from seeing this by itself.)"""
     used = ("col_name", "col_value", "flag")
     fields = []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,12 +40,26 @@ def value_string(v: Column, kind: str) -> Column:
     if kind == "boolean":
         return F.when(v, "1").otherwise("0")
     if kind == "double":
-        # 15 significant decimals are enough for the shortest form below 1e21
-        text = F.regexp_replace(v.cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
-        return F.when(v == 0, "0").otherwise(text)
+        return _plain_double(v)
     return v.cast("string")
 
 
+def _plain_double(v: Column) -> Column:
+    """The shortest digits of a double, written out without an exponent."""
+    text = F.regexp_replace(v.cast("string"), r"\.0$", "")
+    form = r"^-?(\d)\.(\d+)E(-?\d+)$"
+    part = lambda i: F.regexp_extract(text, form, i)
+    tail = F.regexp_replace(part(2), r"^0$", "")
+    power = part(3).try_cast("int")
+    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+    whole = F.concat(part(1), F.substring(tail, F.lit(1), power), zeros(power - F.length(tail)))
+    rest = F.substring(tail, power + 1, F.length(tail))
+    big = F.concat(whole, F.when(F.length(rest) > 0, F.concat(F.lit("."), rest)).otherwise(""))
+    small = F.concat(F.lit("0."), zeros(-power - 1), part(1), tail)
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    return F.when(v == 0, "0").when(power.isNull(), text).otherwise(F.concat(sign, F.when(power >= 0, big).otherwise(small)))
+
+
 def collated_key(value: Column, collation: Column) -> Column:
     """Key text: lower case under a case-insensitive collation."""
     return F.when(collation.endswith("_ci"), F.lower(value)).otherwise(value)
@@ -59,7 +75,7 @@ def type_name(base: Column, unsigned: Column, args: Column | None = None) -> Col
     return F.concat(name, F.when(unsigned, " unsigned").otherwise(""))
 
 
-#: JDBC type codes, fixed values.
+#: JDBC type codes, fixed values of the Java standard.
 JAVA_TYPES = {
     "tinyint": -6, "smallint": 5, "mediumint": 4, "int": 4, "bigint": -5, "float": 7, "double": 8, "decimal": 3, "char": 1,
     "varchar": 12, "binary": 2004, "varbinary": 2004, "blob": 2004, "text": 2005, "date": 91, "datetime": 93, "timestamp": 93,
@@ -75,8 +91,55 @@ def java_type(base: Column, unsigned: Column) -> Column:
 
 
 def bits_to_int(raw: Column) -> Column:
-    """Big-endian bytes as an unsigned number."""
-    return F.conv(F.hex(raw), 16, 10).cast("decimal(20,0)").cast("bigint")
+    """Big-endian bytes, up to 64 bits, as an unsigned number."""
+    return F.conv(F.hex(raw), 16, 10).cast("decimal(20,0)")
+
+
+def _hex_xor(a: Column, b: Column) -> Column:
+    """XOR of two binaries of one length, a multiple of 8 bytes."""
+    word = lambda x, i: F.conv(F.substring(x, i * 16 + 1, F.lit(16)), 16, -10).cast("bigint")
+    ha, hb = F.hex(a), F.hex(b)
+    words = F.transform(F.sequence(F.lit(0), (F.length(a) / 8).cast("int") - 1), lambda i: F.lpad(F.hex(word(ha, i.cast("int")).bitwiseXOR(word(hb, i.cast("int")))), 16, "0"))
+    return F.unhex(F.array_join(words, ""))
+
+
+def _counter_cipher(data: Column, key: Column, iv: Column) -> Column:
+    """AES in counter mode: block i of the key stream is the cipher of the
+    16-byte start value plus i. The same step ciphers and deciphers."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.length(data) / F.lit(16))).cast("int")
+    number = lambda x: F.conv(F.hex(x), 16, 10).cast("decimal(38,0)")
+    low, high = number(F.substring(iv, 9, 8)), F.conv(F.hex(F.substring(iv, 1, 8)), 16, -10).cast("bigint")
+    size = F.lit(Decimal(1 << 64))
+
+    def stream(i: Column) -> Column:
+        total = low + i.cast("decimal(20,0)")
+        carry = total >= size  # goes to the upper half
+        lower = F.conv(F.when(carry, total - size).otherwise(total).cast("string"), 10, 16)
+        upper = F.hex(F.when(carry, high + 1).otherwise(high))
+        block = F.unhex(F.concat(F.lpad(upper, 16, "0"), F.lpad(lower, 16, "0")))
+        # padding adds a block of its own, which is cut off
+        return F.hex(F.substring(F.aes_encrypt(block, key, F.lit("ECB"), F.lit("PKCS")), 1, 16))
+
+    keys = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), blocks - 1), stream), ""))
+    padded = F.unhex(F.rpad(F.hex(data), blocks * 32, F.lit("0")))
+    return F.substring(_hex_xor(padded, keys), F.lit(1), F.length(data))
+
+
+def encrypt(data: Column, key: Column, iv: Column, version: int, key_id: bytes) -> Column:
+    """Frame of an encrypted payload: version, three bytes of key id, the 16-byte
+    start value, AES-256-CTR text. Null stays null."""
+    if version == 0 or len(key_id) != 3:
+        raise ValueError("the version is not 0 and a key id has three bytes")
+    return F.concat(F.lit(bytes([version]) + key_id), iv, _counter_cipher(data, key, iv))
+
+
+def decrypt(frame: Column, key: Column) -> Column:
+    """The payload of a frame; a frame of version 0 holds it as it is after its
+    four bytes, and one that is too short gives null."""
+    body = F.substring(frame, F.lit(5), F.length(frame))
+    iv, text = F.substring(body, 1, 16), F.substring(body, F.lit(17), F.length(body))
+    plain = F.hex(F.substring(frame, 1, 1)) == "00"
+    return F.when(F.length(frame) < 4, None).when(plain, body).when(F.length(body) >= 16, _counter_cipher(text, key, iv))
 
 
 NULL_TEXT = "\\N"

@@ -7,10 +7,11 @@ leaves one row (see the table in its docstring).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from changeloom.operators.ordering import _minus_first, op_order, place_in_key, running_flags, with_previous
+from changeloom.operators.ordering import _minus_first, op_order, place_in_key, runs, with_previous
 from changeloom.session import materialize
 
 
@@ -35,25 +36,32 @@ def fold_runs(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: st
     old image and the delete's commit_ts. ``bad`` marks I or U followed by I.
     ``run`` counts the runs of a key from 0.
 
-    A run starts at the first row of a key and after each of its deletes. Run
-    numbers are running counts over blocks of rows, so neither a hot key nor a
-    long run makes a long task.
+    A run starts at the first row of a key and after each of its deletes. Runs of
+    a hot key are counted over blocks of rows, so neither it nor a long run makes
+    a long task.
     """
-    rows = with_previous(df, keys, [F.col(c) for c in seq], ["op"])
+    starts = F.col("is_first") | F.coalesce(F.col("prev_op") == "D", F.lit(False))
+    first, *hot = runs(df, keys, [F.col(c) for c in seq], ["op"], starts)
+    out = _fold(first, keys, seq, pre, post).withColumnRenamed("__run", "run")
+    for h in hot:
+        folded = materialize(_fold(h, keys, seq, pre, post), "folded")
+        out = out.unionByName(_minus_first(folded, keys, "__run", "run").drop("__run"))
+    return out.select(*keys, "run", "op", *seq, pre, post, "bad")
+
+
+def _fold(rows: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:
     rows = rows.withColumn("__bad", (F.col("op") == "I") & F.coalesce(F.col("prev_op").isin("I", "U"), F.lit(False)))
-    rows = running_flags(rows, F.col("is_first") | F.coalesce(F.col("prev_op") == "D", F.lit(False)), "__run")
     at = F.struct(*seq)
     g = rows.groupBy(*keys, "__run").agg(
         F.min_by("op", at).alias("f"), F.max_by("op", at).alias("l"), F.max_by(F.struct(*seq, pre, post), at).alias("last"),
-        F.max(F.when(F.col("op") == "U", F.struct(*seq, pre))).alias("last_u"), F.bool_or("__bad").alias("bad"),
+        F.max_by(F.when(F.col("op") == "U", F.col(pre)), F.when(F.col("op") == "U", at)).alias("last_u"), F.bool_or("__bad").alias("bad"),
     )
     op = F.when(F.col("l") == "D", "D").when(F.col("f") == "I", "I").otherwise("U")
     pre_image = (
-        F.when((F.col("l") == "D") & (F.col("f") == "U"), F.col(f"last_u.{pre}"))
-        .when(op == "I", F.lit(None).cast(df.schema[pre].dataType)).otherwise(F.col(f"last.{pre}"))
+        F.when((F.col("l") == "D") & (F.col("f") == "U"), F.col("last_u"))
+        .when(op == "I", F.lit(None).cast(rows.schema[pre].dataType)).otherwise(F.col(f"last.{pre}"))
     )
-    runs = materialize(g.select(*keys, "__run", op.alias("op"), *[F.col(f"last.{s}").alias(s) for s in seq], pre_image.alias(pre), F.col(f"last.{post}").alias(post), "bad"), "folded")
-    return _minus_first(runs, keys, "__run", "run").select(*keys, "run", "op", *seq, pre, post, "bad")
+    return g.select(*keys, "__run", op.alias("op"), *[F.col(f"last.{s}").alias(s) for s in seq], pre_image.alias(pre), F.col(f"last.{post}").alias(post), "bad")
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: list[str], pre: str, post: str) -> DataFrame:
@@ -115,3 +123,12 @@ def diff_rows(left: DataFrame, right: DataFrame, keys: list[str], values: list[s
     status = F.when(F.col("b").isNull(), "left_only").when(F.col("a").isNull(), "right_only").when(F.col("a").eqNullSafe(F.col("b")), "equal").otherwise("different")
     fix = F.when(status == "left_only", "insert").when(status == "right_only", "delete").when(status == "different", "replace")
     return j.select(*keys, status.alias("status"), fix.alias("fix"))
+
+
+def compare_structure(spark: SparkSession, left: StructType, right: StructType, ignore: list[str] | None = None) -> DataFrame:
+    """``column, left, right, equal``: the columns of two tables and their types,
+    by name without case; the order of columns does not count."""
+    skip = {c.lower() for c in ignore or ()}
+    a, b = ({f.name.lower(): f.dataType.simpleString() for f in t.fields} for t in (left, right))
+    rows = [(c, a.get(c), b.get(c), a.get(c) == b.get(c)) for c in sorted(a.keys() | b.keys()) if c not in skip]
+    return spark.createDataFrame(rows, "column string, left string, right string, equal boolean")

@@ -16,6 +16,8 @@ from changeloom.session import materialize
 TXN = ["commit_ts", "start_ts"]
 #: Rows of one block of an ordered pass.
 BLOCK_ROWS = 65_536
+#: Rows from which a key is ordered in blocks, and the most keys of which this holds.
+HOT_ROWS, MAX_HOT = 16 * BLOCK_ROWS, 1000
 
 
 def op_order(op: str = "op") -> Column:
@@ -53,7 +55,7 @@ def transactions(df: DataFrame) -> DataFrame:
     return row_numbers(df.groupBy(*TXN).agg(F.count("*").alias("n_rows")), [F.col(c) for c in TXN], "txn_no")
 
 
-def _same_keys(keys: list[str], prefix: str) -> Column:
+def same_keys(keys: list[str], prefix: str) -> Column:
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
@@ -63,24 +65,48 @@ def _same_keys(keys: list[str], prefix: str) -> Column:
 def _minus_first(rows: DataFrame, keys: list[str], number: str, name: str) -> DataFrame:
     """``name`` = ``number`` less its smallest value within the key."""
     first = rows.groupBy(*keys).agg(F.min(number).alias("__first_no")).withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    out = rows.join(first, _same_keys(keys, "__k_"))
+    out = rows.join(first, same_keys(keys, "__k_"))
     return out.withColumn(name, F.col(number) - F.col("__first_no")).drop("__first_no", *[f"__k_{k}" for k in keys])
 
 
-def place_in_key(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """Place of each row within its key, from 0: its number in the whole order
-    less the key's first. Any share of the rows may have one key."""
-    rows = row_numbers(df, [*[F.col(k) for k in keys], *order], "__no")
-    return _minus_first(rows, keys, "__no", name).drop("__no")
+def split_hot(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows of normal keys, rows of hot keys)``, stored once. A key is hot with
+    ``HOT_ROWS`` rows and a ``1 / MAX_HOT`` share of all, so there are at most
+    ``MAX_HOT``; without one the second part is None. A key's rows fit a window of
+    one task below that, and are ordered in blocks over many tasks above it."""
+    rows = materialize(df, "keyed")
+    total = rows.count()
+    if total < HOT_ROWS:
+        return rows, None
+    hot = rows.groupBy(*keys).count().where(F.col("count") >= max(HOT_ROWS, total // MAX_HOT)).select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    hot = materialize(hot, "hot")
+    if hot.isEmpty():
+        return rows, None
+    # at most MAX_HOT keys
+    return rows.join(F.broadcast(hot), same_keys(keys, "__k_"), "left_anti"), rows.join(F.broadcast(hot), same_keys(keys, "__k_"), "left_semi")
 
 
-def with_previous(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
-    """Adds ``prev_<column>`` of the row before within the key (null for the
-    first), ``is_first``, the row's number ``__no`` and its block ``__blk``.
-
-    The order is a range sort over all rows, cut into blocks of numbers, and the
-    last row of a block is copied into the next: a key with any share of the rows
-    is spread over many blocks."""
+def place_in_key(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Place of each row within its key, from 0. For a hot key it is the row's
+    number in the whole order less the key's first."""
+    rows, hot = split_hot(df, keys)
+    out = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint") - 1)
+    if hot is None:
+        return out
+    numbered = row_numbers(hot, [*[F.col(k) for k in keys], *order], "__no")
+    return out.unionByName(_minus_first(numbered, keys, "__no", name).drop("__no"))
+
+
+def _previous_in_window(rows: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    rows = rows.withColumn("is_first", F.row_number().over(w) == 1)
+    return rows.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
+
+
+def _previous_in_blocks(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
+    """The order is a range sort over all rows, cut into blocks of numbers, and
+    the last row of a block is copied into the next. Leaves the row's number
+    ``__no`` and its block ``__blk``."""
     rows = row_numbers(df, [*[F.col(k) for k in keys], *order], "__no")
     own = F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS))
     halo = F.when(F.col("__no") % BLOCK_ROWS == 0, F.array(own, own + 1)).otherwise(F.array(own))
@@ -95,6 +121,26 @@ def with_previous(df: DataFrame, keys: list[str], order: list[Column], columns:
     return rows.where("__blk = __own").drop("__own")
 
 
+def with_previous(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
+    """Adds ``prev_<column>`` of the row before within the key (null for the
+    first) and ``is_first``."""
+    rows, hot = split_hot(df, keys)
+    out = _previous_in_window(rows, keys, order, columns)
+    return out if hot is None else out.unionByName(_previous_in_blocks(hot, keys, order, columns).drop("__no", "__blk"))
+
+
+def runs(df: DataFrame, keys: list[str], order: list[Column], columns: list[str], starts: Column) -> list[DataFrame]:
+    """:func:`with_previous` with ``__run``, the number of the row's run, which
+    begins where ``starts`` is true: counted from 0 in the first frame, over all
+    keys in the second (that of the hot keys, if there are any)."""
+    rows, hot = split_hot(df, keys)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = [_previous_in_window(rows, keys, order, columns).withColumn("__run", F.sum(starts.cast("bigint")).over(w) - 1)]
+    if hot is not None:
+        out.append(running_flags(_previous_in_blocks(hot, keys, order, columns), starts, "__run").drop("__no", "__blk"))
+    return out
+
+
 def numbered_blocks(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Adds the row's number ``__no`` in the order of keys and ``order`` and its
     block ``__blk``."""
@@ -102,20 +148,56 @@ def numbered_blocks(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     return rows.withColumn("__blk", F.floor((F.col("__no") - 1) / F.lit(BLOCK_ROWS)))
 
 
-def max_before(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Largest value of the key's earlier rows (null for the first), over rows of
-    :func:`numbered_blocks`: the maximum inside the block and, from one row per
-    key and block, that of the blocks before."""
-    blocks = rows.groupBy(*keys, "__blk").agg(F.max(value).alias("__m"))
+def _before(rows: DataFrame, keys: list[str], value: str, name: str, total) -> DataFrame:
+    """``total`` (a maximum or a sum) over the key's earlier rows, over rows of
+    :func:`numbered_blocks`: inside the block and, from one row per key and block,
+    over the blocks before. Null where there is nothing."""
+    blocks = rows.groupBy(*keys, "__blk").agg(total(value).alias("__m"))
     w = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__blk").alias("__b"), F.max("__m").over(w).alias("__carried"))
+    carried = blocks.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__blk").alias("__b"), total("__m").over(w).alias("__carried"))
     inside = Window.partitionBy(*keys, "__blk").orderBy("__no").rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.withColumn("__inside", F.max(value).over(inside)).join(carried, _same_keys(keys, "__k_") & (F.col("__blk") == F.col("__b")))
-    return out.withColumn(name, F.greatest("__inside", "__carried")).drop("__inside", "__carried", "__b", *[f"__k_{k}" for k in keys])
+    out = rows.withColumn("__inside", total(value).over(inside)).join(carried, same_keys(keys, "__k_") & (F.col("__blk") == F.col("__b")))
+    both = F.greatest("__inside", "__carried") if total is F.max else F.coalesce(F.col("__inside") + F.col("__carried"), "__inside", "__carried")
+    return out.withColumn(name, both).drop("__inside", "__carried", "__b", *[f"__k_{k}" for k in keys])
+
+
+def max_before(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Largest value of the key's earlier rows (null for the first)."""
+    return _before(rows, keys, value, name, F.max)
+
+
+def _by_key(df: DataFrame, keys: list[str], order: list[Column], cold, hot) -> DataFrame:
+    """``cold(rows, window of the earlier rows)`` for normal keys, ``hot(numbered
+    rows)`` for hot ones."""
+    rows, crowded = split_hot(df, keys)
+    out = cold(rows, Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    if crowded is None:
+        return out
+    numbered = materialize(numbered_blocks(crowded, keys, order), "blocks")
+    return out.unionByName(hot(numbered).drop("__no", "__blk"))
+
+
+def last_known(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Adds the newest value that is not null among the key's earlier rows."""
+
+    def hot(rows: DataFrame) -> DataFrame:
+        known = rows.withColumn("__at", F.when(value.isNotNull(), F.struct("__no", value.alias("v"))))
+        return max_before(known, keys, "__at", "__seen").withColumn(name, F.col("__seen.v")).drop("__at", "__seen")
+
+    return _by_key(df, keys, order, lambda rows, w: rows.withColumn(name, F.last(value, ignorenulls=True).over(w)), hot)
+
+
+def sum_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Adds the sum of a value over the key's earlier rows, 0 for the first."""
+
+    def hot(rows: DataFrame) -> DataFrame:
+        return _before(rows.withColumn("__v", value), keys, "__v", name, F.sum).withColumn(name, F.coalesce(name, F.lit(0))).drop("__v")
+
+    return _by_key(df, keys, order, lambda rows, w: rows.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0))), hot)
 
 
 def running_flags(rows: DataFrame, flag: Column, name: str) -> DataFrame:
-    """Running count of a flag over rows that :func:`with_previous` numbered."""
+    """Running count of a flag over rows in numbered blocks."""
     rows = materialize(rows.withColumn("__flag", flag.cast("bigint")), "flags")
     sums = rows.groupBy("__blk").agg(F.sum("__flag").alias("__s"))
     # one row per block
@@ -166,7 +248,9 @@ def scan_cut(per_ts: DataFrame, byte_limit: int) -> DataFrame:
 
 def schema_batches(df: DataFrame, version: str) -> DataFrame:
     """Adds ``batch``: changes whenever the schema version of a table does."""
-    rows = with_previous(df, ["table_id"], [F.col(c) for c in ("commit_ts", "start_ts", "ref")], [version])
     new = F.col("is_first") | ~F.col(f"prev_{version}").eqNullSafe(F.col(version))
-    counted = _minus_first(running_flags(rows, new, "__run"), ["table_id"], "__run", "batch")
-    return counted.withColumn("batch", F.col("batch") + 1).drop("__run", "__no", "__blk", "is_first", f"prev_{version}")
+    first, *hot = runs(df, ["table_id"], [F.col(c) for c in ("commit_ts", "start_ts", "ref")], [version], new)
+    out = first.withColumnRenamed("__run", "batch")
+    for h in hot:
+        out = out.unionByName(_minus_first(h, ["table_id"], "__run", "batch").drop("__run"))
+    return out.withColumn("batch", F.col("batch") + 1).drop("is_first", f"prev_{version}")

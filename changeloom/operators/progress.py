@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.operators.ordering import max_before, numbered_blocks, running_flags
+from changeloom.operators.ordering import last_known, max_before, numbered_blocks, running_flags
 
 
 def table_resolved(regions: DataFrame, table: str, region: str, ts: str) -> DataFrame:
@@ -113,5 +113,5 @@ def paused(df: DataFrame, keys: list[str], order: list[str], usage: str, pause:
     """Adds ``paused``: true from a usage of ``pause`` percent on until it falls
     below ``resume``; the last of the two events decides."""
     flag = F.when(F.col(usage) >= pause, True).when(F.col(usage) < resume, False)
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(*keys, *order, F.coalesce(F.last(flag, ignorenulls=True).over(w), F.lit(False)).alias("paused"))
+    seen = last_known(df.withColumn("__flag", flag), keys, [F.col(c) for c in order], F.col("__flag"), "__before")
+    return seen.select(*keys, *order, F.coalesce("__flag", "__before", F.lit(False)).alias("paused"))

@@ -139,20 +139,26 @@ TOPIC_BAD = r"[^a-zA-Z0-9\._\-]"
 
 
 def topic(schema: Column, table: Column, template: str) -> Column:
-    """Topic of a table: placeholders filled, forbidden characters to ``_``, at
-    most 249 characters, and the two reserved names replaced."""
-    name = F.replace(F.replace(F.lit(template), F.lit("{schema}"), F.lower(schema)), F.lit("{table}"), F.lower(table))
-    name = F.substring(F.regexp_replace(name, TOPIC_BAD, "_"), 1, TOPIC_MAX)
+    """Topic of a table: the names, with forbidden characters as ``_``, take the
+    places in the template; at most 249 characters; the two reserved names are
+    replaced. Case is kept."""
+    clean = lambda c: F.regexp_replace(c, TOPIC_BAD, "_")
+    name = F.replace(F.replace(F.lit(template), F.lit("{schema}"), clean(schema)), F.lit("{table}"), clean(table))
+    name = F.substring(name, 1, TOPIC_MAX)
     return F.when(name == ".", "_").when(name == "..", "__").otherwise(name)
 
 
-TOPIC_EXPRESSION = re.compile(r"^[A-Za-z0-9\._\-]*(\{schema\})?([A-Za-z0-9\._\-]*\{table\})?[A-Za-z0-9\._\-]*$")
-
-
 def topic_valid(template: str, needs_both: bool = False) -> bool:
-    if needs_both and not ("{schema}" in template and "{table}" in template):
-        return False
-    return bool(TOPIC_EXPRESSION.match(template))
+    """At most one ``{schema}`` and after it one ``{table}``; what stands before,
+    between and after them holds no forbidden character."""
+    rest, places = template, 0
+    for place in ("{schema}", "{table}"):
+        before, found, after = rest.partition(place)
+        if found:
+            if re.search(TOPIC_BAD, before):
+                return False
+            rest, places = after, places + 1
+    return not re.search(TOPIC_BAD, rest) and (places == 2 or not needs_both)
 
 
 def dispatch_topic(schema: Column, table: Column, rules: list[tuple[str, str]], default: str) -> Column:
@@ -163,8 +169,10 @@ def dispatch_topic(schema: Column, table: Column, rules: list[tuple[str, str]],
     return out
 
 
-def select_columns(columns: list[str], rules: list[str], keys: list[str]) -> list[str]:
-    """Columns kept by globs, the last match deciding; keys must stay."""
+def select_columns(columns: list[str], rules: list[str], keys: list[list[str]], used: list[str] | None = None) -> list[str]:
+    """Columns kept by globs, the last match deciding. One of ``keys`` (the
+    primary key or a unique key) must stay whole, and every column that a
+    partition rule uses (``used``) must stay too."""
     kept = []
     for c in columns:
         keep = False
@@ -173,8 +181,10 @@ def select_columns(columns: list[str], rules: list[str], keys: list[str]) -> lis
                 keep = not r.startswith("!")
         if keep:
             kept.append(c)
-    if not set(keys) <= set(kept):
-        raise ValueError(f"the selector drops key columns: {sorted(set(keys) - set(kept))}")
+    if keys and not any(key and set(key) <= set(kept) for key in keys):
+        raise ValueError(f"the selector keeps no key whole: {keys}")
+    if not set(used or ()) <= set(kept):
+        raise ValueError(f"the selector drops columns of the partition rule: {sorted(set(used) - set(kept))}")
     return kept
 
 

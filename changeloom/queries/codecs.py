@@ -8,7 +8,7 @@ from changeloom.functions.codecs import formats as E
 from changeloom.functions.codecs.model import Col, Table
 from changeloom.operators import ordering as O
 from changeloom.plans.logs import ctes, log
-from changeloom.queries.registry import Registry
+from changeloom.queries.registry import Registry, crc32_sql, text_bytes_sql
 
 R = Registry()
 q = R.query
@@ -163,10 +163,14 @@ def cd_claim(spark, d):
     return _rows(spark, d).select("id", "op", large.alias("aside"), F.when(large, F.concat_ws("-", F.lit("file"), "id", "commit_ts")).otherwise("").alias("location"))
 
 
-@q(f"WITH {ctes('lines')}, x AS (SELECT ok, ln, rf || CAST(supp % 50 AS VARCHAR) AS g, row_number() OVER (PARTITION BY rf || CAST(supp % 50 AS VARCHAR) ORDER BY ok, ln) AS rn FROM lines) SELECT ok, ln, (rn - 1) // 640 AS block, (rn - 1) % 640 // 10 AS batch FROM x")
+@q(f"""WITH RECURSIVE {ctes('lines')}, x AS (SELECT ok, ln, rf || CAST(supp % 50 AS VARCHAR) AS g, 60 + price % 90 AS size, row_number() OVER (PARTITION BY rf || CAST(supp % 50 AS VARCHAR) ORDER BY ok, ln) AS rn FROM lines),
+p AS (SELECT g, rn, size, 0 AS batch, size AS used, 1 AS n FROM x WHERE rn = 1 UNION ALL SELECT x.g, x.rn, x.size, CASE WHEN used + x.size > 900 OR n = 10 THEN batch + 1 ELSE batch END,
+CASE WHEN used + x.size > 900 OR n = 10 THEN x.size ELSE used + x.size END, CASE WHEN used + x.size > 900 OR n = 10 THEN 1 ELSE n + 1 END FROM p JOIN x ON x.g = p.g AND x.rn = p.rn + 1)
+SELECT ok, ln, CAST(batch AS BIGINT) AS batch FROM p JOIN x USING (g, rn)""")
 def cd_batchlen(spark, d):
-    rows = log(spark, d, "lines").select("ok", "ln", F.concat("rf", (F.col("supp") % 50).cast("string")).alias("g"))
-    return E.batch_messages(rows, ["g"], [F.col("ok"), F.col("ln")], F.lit(100), 1_000_000, 10).select("ok", "ln", "block", "batch")
+    """Greedy packing of messages of 60 to 149 bytes into at most 900 bytes and ten rows."""
+    rows = log(spark, d, "lines").select("ok", "ln", F.concat("rf", (F.col("supp") % 50).cast("string")).alias("g"), (F.col("price") % 90 + 60).alias("size"))
+    return E.batch_messages(rows, ["g"], [F.col("ok"), F.col("ln")], F.col("size"), 900, 10).select("ok", "ln", "batch")
 
 
 @q(f"WITH {ctes('history_log')} SELECT k, n, (row_number() OVER (PARTITION BY k ORDER BY commit_ts, n) - 1) % 20 = 0 AS bootstrap FROM history_log")
@@ -202,9 +206,24 @@ def cd_types(spark, d):
         F.to_json(F.struct(*[E.debezium_value(c, F.col(c.name)).alias(c.name) for c in cols])).alias("dbz"))
 
 
-@q()
+def _definition_sql(name: str, columns: list[tuple[str, str, bool]]) -> str:
+    """The text that a schema file's checksum covers, with its CRC32."""
+    pad = "\n" + " " * 12
+    each = []
+    for n, t, key in columns:
+        lines = [f'"ColumnName": "{n}"', f'"ColumnType": "{t}"', *(['"ColumnNullable": "false"', '"ColumnIsPk": "true"'] if key else [])]
+        each.append("\n        {" + pad + ("," + pad).join(lines) + "\n        }")
+    text = f'{{\n    "Table": "{name}",\n    "Schema": "shop",\n    "Version": 0,\n    "TableColumns": [{",".join(each)}\n    ],\n    "TableColumnsTotal": {len(columns)}\n}}'
+    literal = "'" + text + "'"
+    return f"SELECT '{name}' AS \"table\", {len(columns)} AS columns, {crc32_sql(text_bytes_sql(literal))} AS checksum"
+
+
+_KEY_COL = ("k", "BIGINT", True)
+
+
+@q(" UNION ALL ".join([_definition_sql("orders", [_KEY_COL, ("p", "BIGINT", False), ("s", "VARCHAR", False)]), _definition_sql("keys", [_KEY_COL])]))
 def cd_tabledef(spark, d):
-    """Schema files of the tables with their checksums; CRC32 is pinned in a test."""
+    """Schema files of the tables with their checksums."""
     rows = []
     for name, cols in {"orders": T.columns, "keys": T.columns[:1]}.items():
         t = E.table_definition(Table("shop", name, tuple(cols)), f"CREATE TABLE {name}", 3, 100)

@@ -146,9 +146,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The rows that exist at the end, with their last image."""
+    """The rows that exist at the end, with their last image, whole."""
     path = f"{d}/redo_dml.parquet"
-    return upsert.rebuild(spark, path, R.scan_schema(spark.read.parquet(path).schema))
+    return upsert.rebuild(spark, path, spark.read.parquet(path).schema)
 
 
 QUERIES = {

@@ -10,7 +10,7 @@ from changeloom.operators import progress as P
 from changeloom.operators import schemas as S
 from changeloom.operators.heavy_keys import Agg, salted_aggregate
 from changeloom.plans.logs import ctes, log
-from changeloom.queries.registry import Registry
+from changeloom.queries.registry import Registry, crc32_sql, text_bytes_sql
 
 R = Registry()
 q = R.query
@@ -97,9 +97,13 @@ def agg_sets(spark, d):
     return o.groupingSets([["op", "s"], ["g"], []], "op", "s", "g").agg(F.count("*").alias("n_rows"))
 
 
-@q()
+_ROW = "concat_ws(',', CAST(k AS VARCHAR), name, CAST(bal AS VARCHAR), coalesce(seg, ''))"
+_SUM = lambda t: f"SELECT k // 1000 AS chunk, bit_xor({crc32_sql(text_bytes_sql(_ROW))}) AS {t}, count(*) AS {t}_rows FROM {t} GROUP BY 1"
+
+
+@q(f"WITH {ctes('pair_left', 'pair_right')}, a AS ({_SUM('pair_left')}), b AS ({_SUM('pair_right')}) SELECT coalesce(a.chunk, b.chunk) AS chunk, pair_left, pair_left_rows, pair_right, pair_right_rows, pair_left IS NOT DISTINCT FROM pair_right AS equal FROM a FULL JOIN b ON a.chunk = b.chunk")
 def agg_checksum(spark, d):
-    """Chunk checksums: XOR of the rows' CRC32, which has no SQL twin here."""
+    """Chunk checksums: XOR of the rows' CRC32."""
     row = F.crc32(F.encode(F.concat_ws(",", "k", "name", "bal", F.coalesce("seg", F.lit(""))), "UTF-8"))
     side = lambda n: log(spark, d, n).groupBy(F.expr("k div 1000").alias("chunk")).agg(F.bit_xor(row).alias(n), F.count("*").alias(f"{n}_rows"))
     return side("pair_left").join(side("pair_right"), "chunk", "full_outer").withColumn("equal", F.col("pair_left").eqNullSafe(F.col("pair_right")))
@@ -321,10 +325,10 @@ def sp_split_count(spark, d):
 
 @q(f"{_SP}, x AS (SELECT tbl, id, lo, hi, sum(hi - lo) OVER (PARTITION BY tbl ORDER BY lo, id, hi ROWS UNBOUNDED PRECEDING) AS run, sum(hi - lo) OVER (PARTITION BY tbl) AS total FROM spans) SELECT tbl, id, lo, hi, least(3, (run - 1) * 4 // total) AS part FROM x")
 def sp_split_bytes(spark, d):
-    w = Window.partitionBy("tbl").orderBy("lo", "id", "hi").rowsBetween(Window.unboundedPreceding, 0)
-    x = log(spark, d, "spans").withColumn("weight", F.col("hi") - F.col("lo"))
-    x = x.withColumn("run", F.sum("weight").over(w)).withColumn("total", F.sum("weight").over(Window.partitionBy("tbl")))
-    return x.select("tbl", "id", "lo", "hi", F.expr("least(3, (run - 1) * 4 div total)").alias("part"))
+    weight = F.col("hi") - F.col("lo")
+    x = O.sum_before(log(spark, d, "spans"), ["tbl"], [F.col("lo"), F.col("id"), F.col("hi")], weight, "before")
+    totals = x.groupBy("tbl").agg(F.sum(weight).alias("total"))
+    return x.join(totals, "tbl").select("tbl", "id", "lo", "hi", F.expr("least(3, (before + hi - lo - 1) * 4 div total)").alias("part"))
 
 
 @q(f"{RG}, n AS (SELECT node, count(*) AS n FROM regions GROUP BY node) SELECT node, n, n - (SELECT min(n) FROM n) AS over_min, n = (SELECT max(n) FROM n) AS busiest FROM n")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
 from changeloom.functions import tso
+from changeloom.operators import ordering as O
 from changeloom.operators import rules as U
 from changeloom.plans.logs import ctes, log
-from changeloom.queries.registry import Registry
+from changeloom.queries.registry import Registry, crc32_sql, text_bytes_sql
 
 R = Registry()
 q = R.query
@@ -48,10 +49,15 @@ def dec_explode(spark, d):
     return rows.groupBy("commit_ts", "start_ts").agg(F.count("*").alias("physical_rows"), (F.count("*") - F.count_if(F.col("op") == "U") / 2).cast("bigint").alias("logical_rows"))
 
 
-@q()
+_LE = "list_transform(range(0, {1}), lambda i: ({0} >> (8 * i)) & 255)"
+_ROW_BYTES = f"list_concat({_LE.format('k', 8)}, {_LE.format('post_p', 8)}, {_LE.format('length(s)', 4)}, {text_bytes_sql('s')})"
+_CRC = lambda text: crc32_sql(text_bytes_sql(text))
+
+
+@q(f"{OL} SELECT k, commit_ts, {crc32_sql(_ROW_BYTES)} AS checksum, k % 97 = 0 AS corrupted FROM orders_log WHERE post_p IS NOT NULL")
 def dec_checksum(spark, d):
     """Row checksums over typed bytes, verified against a stored copy of which
-    every 97th is damaged. CRC32 has no SQL twin here; a test pins its values."""
+    every 97th is damaged."""
     row = S.row_checksum([("bigint", F.col("k")), ("bigint", F.col("post_p")), ("string", F.col("s"))])
     rows = _orders(spark, d).where("post_p is not null").withColumn("stored", row + F.when(F.col("k") % 97 == 0, 1).otherwise(0))
     return rows.select("k", "commit_ts", row.alias("checksum"), (row != F.col("stored")).alias("corrupted"))
@@ -66,7 +72,7 @@ def dec_visible(spark, d):
 @q(f"{OL} SELECT k, op, post_p, pre_p FROM orders_log")
 def prj_cols(spark, d):
     df = _orders(spark, d)
-    return df.select(*U.select_columns(df.columns, ["*", "!c", "!s", "!*_ts"], ["k"]))
+    return df.select(*U.select_columns(df.columns, ["*", "!c", "!s", "!*_ts"], [["c", "s"], ["k"]], ["k"]))
 
 
 @q(f"{OL} SELECT k, commit_ts, post_p, post_p * 2 + 1 AS total, post_p > 10000000 AS big FROM orders_log WHERE op <> 'D' AND NOT (post_p * 2 + 1 > 40000000)")
@@ -204,12 +210,12 @@ def jn_claimcheck(spark, d):
     return large.join(store, "location").select("k", "op", "commit_ts", "body")
 
 
-@q(f"{OL} SELECT o.k, o.commit_ts, arg_max(h.post_p, h.commit_ts) AS filled FROM orders_log o JOIN orders_log h ON h.k = o.k AND h.commit_ts < o.commit_ts WHERE o.op = 'D' GROUP BY o.k, o.commit_ts")
+@q(f"{OL}, w AS (SELECT k, commit_ts, op, last_value(post_p IGNORE NULLS) OVER (PARTITION BY k ORDER BY commit_ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS filled FROM orders_log) SELECT k, commit_ts, filled FROM w WHERE op = 'D'")
 def jn_handlekey(spark, d):
-    # the newest image before each delete, in one pass per key: no pairs
-    w = Window.partitionBy("k").orderBy("commit_ts").rowsBetween(Window.unboundedPreceding, -1)
-    filled = _orders(spark, d).withColumn("filled", F.last("post_p", ignorenulls=True).over(w))
-    return filled.where("op = 'D' and filled is not null").select("k", "commit_ts", "filled")
+    """Deletes that hold their key only get the newest image before them; one
+    without an earlier image comes out with null."""
+    filled = O.last_known(_orders(spark, d).select("k", "commit_ts", "op", "post_p"), ["k"], [F.col("commit_ts")], F.col("post_p"), "filled")
+    return filled.where("op = 'D'").select("k", "commit_ts", "filled")
 
 
 # scalar functions
@@ -221,9 +227,12 @@ def fn_tso(spark, d):
     return _orders(spark, d).select("k", "op", tso.physical_ms(ts).alias("ms"), tso.logical(ts).alias("logical"), tso.compose(tso.physical_ms(ts), 5).alias("composed"))
 
 
-@q()
+_TABLE_CRC, _OK_CRC, _LN_CRC = _CRC("'shoplines'"), _CRC("'ok' || CAST(ok AS VARCHAR)"), _CRC("'ln' || CAST(ln AS VARCHAR)")
+
+
+@q(f"WITH {ctes('lines')} SELECT ok, ln, xor(xor({_TABLE_CRC}, {_OK_CRC}), {_LN_CRC}) AS hash FROM lines")
 def fn_poshash(spark, d):
-    """Hash of the key parts; CRC32 has no SQL twin here, a test pins values."""
+    """Hash of the key parts."""
     return log(spark, d, "lines").select("ok", "ln", U.key_hash(F.lit("shop"), F.lit("lines"), [("ok", F.col("ok")), ("ln", F.col("ln"))]).alias("hash"))
 
 
@@ -243,7 +252,7 @@ def fn_ciLower(spark, d):
     return c.select(F.col("c_custkey").alias("id"), S.collated_key(F.col("c_name"), F.col("coll")).alias("key"))
 
 
-@q("SELECT p_partkey AS id, substr(regexp_replace('cdc_' || lower(p_brand) || '.' || lower(p_type), '[^a-zA-Z0-9._-]', '_', 'g'), 1, 249) AS topic FROM part")
+@q("SELECT p_partkey AS id, substr('cdc_' || regexp_replace(p_brand, '[^a-zA-Z0-9._-]', '_', 'g') || '.' || regexp_replace(p_type, '[^a-zA-Z0-9._-]', '_', 'g'), 1, 249) AS topic FROM part")
 def fn_topic(spark, d):
     return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), U.topic(F.col("p_brand"), F.col("p_type"), "cdc_{schema}.{table}").alias("topic"))
 
@@ -279,9 +288,9 @@ def fn_javatype(spark, d):
     return _typed(spark, d).select("id", S.java_type(F.col("base"), F.col("uns")).alias("java_type"))
 
 
-@q("SELECT p_partkey AS id, p_size * 256 + 7 AS bits FROM part")
+@q("SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN CAST(p_size * 256 + 7 AS DECIMAL(20,0)) ELSE CAST(18446744073709551615 AS DECIMAL(20,0)) END AS bits FROM part")
 def fn_binlit(spark, d):
-    raw = F.unhex(F.concat(F.hex("p_size"), F.lit("07")))
+    raw = F.when(F.col("p_size") % 2 == 0, F.unhex(F.concat(F.hex("p_size"), F.lit("07")))).otherwise(F.unhex(F.repeat(F.lit("F"), 16)))
     return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), S.bits_to_int(raw).alias("bits"))
 
 
@@ -328,6 +337,15 @@ def fn_compress(spark, d):
     return packed.select("id", F.decode(S.decompress("zstd")(F.col("z")), "UTF-8").alias("restored"))
 
 
+@q("SELECT c_custkey AS id, c_name AS restored, 20 + length(c_name) AS n_bytes FROM customer")
+def fn_encrypt(spark, d):
+    """AES-256-CTR payloads in their frame, and their inverse."""
+    key, iv = F.unhex(F.sha2(F.lit("key"), 256)), F.substring(F.unhex(F.sha2(F.col("id").cast("string"), 256)), 1, 16)
+    c = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("id"), F.encode("c_name", "UTF-8").alias("plain"))
+    framed = c.select("id", S.encrypt(F.col("plain"), key, iv, 1, b"k01").alias("frame"))
+    return framed.select("id", F.decode(S.decrypt(F.col("frame"), key), "UTF-8").alias("restored"), F.length("frame").alias("n_bytes"))
+
+
 @q("SELECT o_orderkey AS id, strftime(o_orderdate + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS shown FROM orders")
 def fn_defaultts(spark, d):
     """A default that is stored in UTC, as a session in another zone shows it."""
@@ -350,12 +368,15 @@ def rt_ddl(spark, d):
     return rows.select("k", S.rewrite_ddl(F.col("query"), F.lit("dw"), F.concat("sch", F.lit("_"), "tbl")).alias("query"))
 
 
-@q(f"{OL} SELECT k, op, CASE WHEN sch = 'shop' THEN 'shop_' || lower(tbl) WHEN lower(tbl) = 'orders' THEN 'all_orders' ELSE 'default' END AS topic FROM ({_NAMED})")
+@q(f"{OL} SELECT k, op, CASE WHEN sch = 'shop' THEN 'shop_' || tbl WHEN lower(tbl) = 'orders' THEN 'all_orders' ELSE 'default' END AS topic FROM ({_NAMED})")
 def rt_topic(spark, d):
     return _named(spark, d).select("k", "op", U.dispatch_topic(F.col("sch"), F.col("tbl"), [("shop.*", "{schema}_{table}"), ("*.orders", "all_orders")], "default").alias("topic"))
 
 
-@q()
+_NAME_CRC, _K_CRC, _C_CRC, _S_CRC = _CRC("sch || tbl"), _CRC("'k' || CAST(k AS VARCHAR)"), _CRC("'c' || CAST(c AS VARCHAR)"), _CRC("'s' || s")
+
+
+@q(f"{OL}, h AS (SELECT sch, tbl, {_NAME_CRC} AS h FROM (SELECT DISTINCT sch, tbl FROM ({_NAMED}))) SELECT k, op, CAST(h % 6 AS INTEGER) AS part, '`' || sch || '`.`' || tbl || '`' AS key FROM ({_NAMED}) JOIN h USING (sch, tbl)")
 def rt_part_table(spark, d):
     return _named(spark, d).select("k", "op", F.pmod(U.key_hash(F.col("sch"), F.col("tbl"), []), F.lit(6)).cast("int").alias("part"), F.concat(S.quote_name(F.col("sch")), F.lit("."), S.quote_name(F.col("tbl"))).alias("key"))
 
@@ -365,13 +386,13 @@ def rt_part_ts(spark, d):
     return _orders(spark, d).select("k", "op", (F.col("commit_ts") % 6).alias("part"), F.col("commit_ts").cast("string").alias("key"))
 
 
-@q()
+@q(f"{OL}, h AS (SELECT k, op, xor({_NAME_CRC}, {_K_CRC}) AS h FROM ({_NAMED})) SELECT k, op, CAST(h % 6 AS INTEGER) AS part, CAST(h AS VARCHAR) AS key FROM h")
 def rt_part_index(spark, d):
     h = U.key_hash(F.col("sch"), F.col("tbl"), [("k", F.col("k"))])
     return _named(spark, d).select("k", "op", F.pmod(h, F.lit(6)).cast("int").alias("part"), h.cast("string").alias("key"))
 
 
-@q()
+@q(f"{OL}, h AS (SELECT k, op, xor(xor({_NAME_CRC}, {_C_CRC}), {_S_CRC}) AS h FROM ({_NAMED})) SELECT k, op, CAST(h % 6 AS INTEGER) AS part, CAST(h AS VARCHAR) AS key FROM h")
 def rt_part_cols(spark, d):
     h = U.key_hash(F.col("sch"), F.col("tbl"), [("c", F.col("c")), ("s", F.col("s"))])
     return _named(spark, d).select("k", "op", F.pmod(h, F.lit(6)).cast("int").alias("part"), h.cast("string").alias("key"))

@@ -283,9 +283,8 @@ def st_flushbeforeddl(spark, d):
     one before, counted over the merged order."""
     ddl = log(spark, d, "ddl_log").select("table_id", F.col("finished_ts").alias("ts"), F.lit(1).alias("kind"), "job")
     dml = log(spark, d, "ddl_dml").select("table_id", F.col("commit_ts").alias("ts"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("job"))
-    w = Window.partitionBy("table_id").orderBy("ts", "kind")
-    seen = F.count_if(F.col("kind") == 0).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    marks = dml.unionByName(ddl).withColumn("seen", seen).where("kind = 1")
+    rows = O.sum_before(dml.unionByName(ddl), ["table_id"], [F.col("ts"), F.col("kind")], 1 - F.col("kind"), "seen")
+    marks = rows.where("kind = 1")  # schema changes only: few per table
     return marks.select("job", (F.col("seen") - F.coalesce(F.lag("seen").over(Window.partitionBy("table_id").orderBy("ts")), F.lit(0))).alias("flushed"))
 
 
@@ -357,12 +356,16 @@ def df_fix(spark, d):
     return x.select("k", text.alias("statement"))
 
 
-@q()
+_TYPE = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END"
+_COLS = "SELECT column_name AS c, {0} AS t FROM (DESCRIBE SELECT * {1} FROM {2})"
+
+
+@q(f"WITH a AS ({_COLS.format(_TYPE, '', 'sbtest_upstream')}), b AS ({_COLS.format(_TYPE, 'EXCLUDE (pad), 1 AS extra', 'sbtest_downstream')}) SELECT coalesce(a.c, b.c) AS \"column\", a.t AS \"left\", b.t AS \"right\", a.t IS NOT DISTINCT FROM b.t AS equal FROM a FULL JOIN b ON a.c = b.c WHERE coalesce(a.c, b.c) <> 'attrs'")
 def df_struct(spark, d):
-    """Columns of the two copies whose names or types differ (none here)."""
-    a, b = (dict(spark.read.parquet(f"{d}/sbtest_{s}.parquet").dtypes) for s in ("upstream", "downstream"))
-    rows = [(c, a.get(c), b.get(c), a.get(c) == b.get(c)) for c in sorted(a.keys() | b.keys())]
-    return spark.createDataFrame(rows, "column string, upstream string, downstream string, equal boolean")
+    """Columns and types of the two copies, one of them changed, without an
+    ignored column."""
+    a, b = (spark.read.parquet(f"{d}/sbtest_{s}.parquet") for s in ("upstream", "downstream"))
+    return C.compare_structure(spark, a.schema, b.drop("pad").withColumn("extra", F.lit(1)).schema, ignore=["attrs"])
 
 
 @q("SELECT CAST(count(*) * 2 AS BIGINT) AS n, CAST(0 AS BIGINT) AS total FROM orders")

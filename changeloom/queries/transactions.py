@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeloom.operators import compaction as C
@@ -43,8 +42,8 @@ def src_spanfilter(spark, d):
 
 @R.query(f"WITH {ctes('orders_log')} SELECT k, op, commit_ts, start_ts, row_number() OVER (PARTITION BY commit_ts, start_ts ORDER BY {_ORD}, k) = 1 AS new_txn FROM orders_log")
 def src_newtxn(spark, d):
-    w = Window.partitionBy(*O.TXN).orderBy(O.op_order(), "k")
-    return log(spark, d, "orders_log").select("k", "op", *O.TXN, (F.row_number().over(w) == 1).alias("new_txn"))
+    rows = O.place_in_key(log(spark, d, "orders_log").select("k", "op", *O.TXN), O.TXN, [O.op_order(), F.col("k")], "place")
+    return rows.select("k", "op", *O.TXN, (F.col("place") == 0).alias("new_txn"))
 
 
 @R.query(f"""WITH {ctes('orders_log')}, b AS (SELECT (commit_ts >> 18) // 86400000 AS day, count(*) AS n_rows FROM orders_log WHERE commit_ts <= 230000000000000000 GROUP BY 1),

@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeloom.operators.ordering import place_in_key
+
 #: Kind of sink by URI scheme, fixed values.
 SCHEMES = {"mysql": "database", "mysql+ssl": "database", "kafka": "messages", "kafka+ssl": "messages", "pulsar": "messages", "pulsar+ssl": "messages",
            "pulsar+http": "messages", "pulsar+https": "messages", "s3": "storage", "file": "storage", "gcs": "storage", "gs": "storage", "azure": "storage", "azblob": "storage", "noop": "storage", "blackhole": "blackhole"}
@@ -41,12 +43,9 @@ def statements(table: str, keys: dict[str, str], values: dict[str, str], replace
 def batched_deletes(df: DataFrame, table: str, key: str, group: list[Column], size: int) -> DataFrame:
     """Deletes of a group as ``DELETE ... WHERE (key) IN (...)``, at most ``size``
     keys in a statement."""
-    from pyspark.sql import Window
-
     names = [f"__g{i}" for i in range(len(group))]
     d = df.where("op = 'D'").select(F.col(key).alias("__k"), *[g.alias(n) for g, n in zip(group, names)])
-    rn = F.row_number().over(Window.partitionBy(*names).orderBy("__k"))
-    d = d.withColumn("chunk", F.floor((rn - 1) / F.lit(size)))
+    d = place_in_key(d, names, [F.col("__k")], "__place").withColumn("chunk", F.floor(F.col("__place") / F.lit(size)))
     listed = d.groupBy(*names, "chunk").agg(F.array_sort(F.collect_list("__k")).alias("ks"))
     text = F.concat(F.lit(f"DELETE FROM {table} WHERE (`{key}`) IN ("), F.array_join(F.transform("ks", lambda k: F.concat(F.lit("("), k.cast("string"), F.lit(")"))), ","), F.lit(")"))
     return listed.select(*names, "chunk", text.alias("statement"))

@@ -105,11 +105,16 @@ def test_row_predicates_and_literals(spark):
 
 
 def test_topics_and_selectors(spark):
-    assert one(spark, U.topic(F.lit("A b"), F.lit("ü"), "{schema}_{table}")) == "a_b__"
+    assert one(spark, U.topic(F.lit("A b"), F.lit("ü"), "{schema}_{table}")) == "A_b__"
     assert one(spark, U.topic(F.lit("."), F.lit(""), "{schema}{table}")) == "_" and one(spark, U.topic(F.lit("x" * 300), F.lit(""), "{schema}")) == "x" * 249
-    assert U.select_columns(["id", "a", "b"], ["*", "!b"], ["id"]) == ["id", "a"]
-    with pytest.raises(ValueError):
-        U.select_columns(["id", "a"], ["a"], ["id"])
+    # a placeholder inside a name is not filled again
+    assert one(spark, U.topic(F.lit("{table}"), F.lit("T"), "{schema}.{table}")) == "_table_.T"
+    assert [U.topic_valid(t) for t in ("", "a.{schema}-b_{table}.c", "{table}", "{schema}{schema}", "{table}_{schema}", "a{b")] == [True, True, True, False, False, False]
+    assert U.select_columns(["id", "a", "b"], ["*", "!b"], [["id"]]) == ["id", "a"]
+    assert U.select_columns(["id", "a", "b"], ["*", "!id"], [["id"], ["a", "b"]]) == ["a", "b"]  # a unique key is enough
+    for keys, used in (([["id"]], None), ([["a"]], ["id"])):
+        with pytest.raises(ValueError):
+            U.select_columns(["id", "a"], ["a"], keys, used)
 
 
 def test_hashes_are_pinned(spark):
@@ -121,6 +126,9 @@ def test_hashes_are_pinned(spark):
 
 def test_scalars(spark):
     assert one(spark, S.value_string(F.lit(1.5e-7), "double")) == "0.00000015" and one(spark, S.value_string(F.lit(1e10), "double")) == "10000000000"
+    for v, text in ((1e-20, "0.00000000000000000001"), (1e30, "1" + "0" * 30), (-1.25e-9, "-0.00000000125"), (-0.0, "0"), (12345678.25, "12345678.25"), (1.5, "1.5"), (3.0, "3"), (123456789012345680.0, "123456789012345680")):
+        assert one(spark, S.value_string(F.lit(v), "double")) == text
+    assert one(spark, S.bits_to_int(F.unhex(F.lit("F" * 16)))) == 2**64 - 1
     assert one(spark, S.enum_name(F.lit(9), ["a"])) == "" and one(spark, S.set_names(F.lit(5), ["a", "b", "c"])) == "a,c"
     assert one(spark, S.rewrite_ddl(F.lit("alter table `a`.`t` add column x int"), F.lit("n"), F.lit("m"))) == "alter table `n`.`m` add column x int"
     assert one(spark, S.csv_quote(F.lit(None).cast("string"))) == "\\N"
@@ -314,8 +322,65 @@ def test_codec_values_of_odd_types(spark):
 
 def test_table_checksums_are_pinned(spark):
     d = E.table_definition(T, "CREATE TABLE t", 3, 100)
-    text = '{"Table":"t","Schema":"d","Version":1,"TableVersion":0,"Query":"","Type":0,"TableColumns":[{"ColumnName":"id","ColumnType":"BIGINT","ColumnNullable":"false","ColumnIsPk":"true"},{"ColumnName":"s","ColumnType":"VARCHAR"},{"ColumnName":"x","ColumnType":"BIGINT"}],"TableColumnsTotal":3}'
-    assert E.definition_checksum(d) == zlib.crc32(text.encode()) == E.definition_checksum(d | {"TableVersion": 7, "Query": "x"})
+    text = """{
+    "Table": "t",
+    "Schema": "d",
+    "Version": 0,
+    "TableColumns": [
+        {
+            "ColumnName": "id",
+            "ColumnType": "BIGINT",
+            "ColumnNullable": "false",
+            "ColumnIsPk": "true"
+        },
+        {
+            "ColumnName": "s",
+            "ColumnType": "VARCHAR"
+        },
+        {
+            "ColumnName": "x",
+            "ColumnType": "BIGINT"
+        }
+    ],
+    "TableColumnsTotal": 3
+}"""
+    assert E.definition_checksum(d) == zlib.crc32(text.encode()) == E.definition_checksum(d | {"TableVersion": 7, "Query": "x", "TableColumns": d["TableColumns"][::-1]})
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, s string")
     got = rows.agg(F.bit_xor(F.crc32(F.encode(F.concat_ws(",", "k", F.coalesce("s", F.lit(""))), "UTF-8")))).first()[0]
     assert got == zlib.crc32(b"1,a") ^ zlib.crc32(b"2,b") ^ zlib.crc32(b"3,")
+
+
+def test_counter_mode_known_answer(spark):
+    """The published example of AES-256 in counter mode (SP 800-38A, F.5.5)."""
+    key, iv = "603deb1015ca71be2b73aef0857d77811f352c073b6108d72d9810a30914dff4", "f0f1f2f3f4f5f6f7f8f9fafbfcfdfeff"
+    text = "6bc1bee22e409f96e93d7e117393172aae2d8a571e03ac9c9eb76fac45af8e5130c81c46a35ce411e5fbc1191a0a52eff69f2445df4f9b17ad2b417be66c3710"
+    want = "601ec313775789a5b7a7f504bbf3d228f443e3ca4d62b59aca84e990cacaf5c52b0930daa23de94ce87017ba2d84988ddfc9c58db67aada613c2dd08457941a6"
+    b = lambda h: F.unhex(F.lit(h))
+    frame = S.encrypt(b(text), b(key), b(iv), 1, b"abc")
+    assert bytes(one(spark, frame)).hex() == "01616263" + iv + want
+    assert bytes(one(spark, S.decrypt(frame, b(key)))).hex() == text
+    for n in (0, 1, 15, 16, 17):
+        data = bytes(range(n))
+        assert bytes(one(spark, S.decrypt(S.encrypt(F.lit(data), b(key), b("f" * 32), 2, b"xyz"), b(key)))) == data
+    assert bytes(one(spark, S.decrypt(F.lit(b"\0abcplain"), b(key)))) == b"plain" and one(spark, S.decrypt(F.lit(b"x"), b(key))) is None
+
+
+def test_hot_keys_are_ordered_in_blocks(spark, monkeypatch):
+    """The block form of every ordered pass equals the window form."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3]), i, rng.choice("IUD"), rng.choice([None, 1, 2, 3])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, n int, op string, v int")
+    order = [F.col("n")]
+
+    def results():
+        yield O.place_in_key(df, ["k"], order, "p")
+        yield O.with_previous(df, ["k"], order, ["op"])
+        yield O.last_known(df, ["k"], order, F.col("v"), "p")
+        yield O.sum_before(df, ["k"], order, F.col("v"), "p")
+        yield C.fold_runs(df.withColumn("w", F.col("v") + 1), ["k"], ["n"], "v", "w")
+        yield O.schema_batches(df.select(F.col("k").alias("table_id"), F.col("n").alias("commit_ts"), F.lit(1).alias("start_ts"), F.col("n").alias("ref"), "v"), "v")
+
+    plain = [sorted(map(repr, map(tuple, x.select(*sorted(x.columns)).collect()))) for x in results()]
+    monkeypatch.setattr(O, "HOT_ROWS", 100)
+    monkeypatch.setattr(O, "BLOCK_ROWS", 16)
+    assert [sorted(map(repr, map(tuple, x.select(*sorted(x.columns)).collect()))) for x in results()] == plain

@@ -334,7 +334,7 @@ def test_p5_out_of_order_and_repeated(spark, tmp_path):
     want = brute_rebuild(rows)
     for files in (None, 1):
         got = upsert.rebuild(spark, path, schema, max_files=files).collect()
-        assert {(r["tbl_id"], r["row_key"]): (r["commit_ts"], json.loads(r["payload"])[0]["v"]) for r in got} == want
+        assert {(r["tbl_id"], r["row_key"]): (r["commit_ts"], json.loads(r["payload"])[0]["col_value"]) for r in got} == want
     # a second run goes on from the stored state
     stream = lambda: upsert.stream_files(spark, spark.readStream.schema(schema), path)
     out = upsert.apply_feed(spark, stream(), ["tbl_id", "row_key"], path=str(tmp_path / "job"))
