@@ -7,8 +7,10 @@ back. All are built-in expressions, so a codec is one projection.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from changeloom.functions import scalars as S
 from changeloom.functions.codecs.model import TYPE_CODES, Col, Table, flags, image, json
@@ -265,9 +267,90 @@ def avro_record(t: Table, extension: bool = False) -> Column:
     return F.when(_is("D"), F.lit(None).cast("string")).otherwise(build("post"))
 
 
+def _varint(v: Column) -> Column:
+    """Hexadecimal text of a zigzag number in groups of seven bits."""
+    zigzag = F.shiftleft(v, 1).bitwiseXOR(F.shiftright(v, 63))
+    rest = lambda i: F.call_function("shiftrightunsigned", zigzag, (i * 7).cast("int"))
+    used = F.filter(F.sequence(F.lit(0), F.lit(9)), lambda i: (i == 0) | (rest(i) != 0))
+    more = lambda i: F.when((i < 9) & (rest(i + 1) != 0), 128).otherwise(0)
+    return F.array_join(F.transform(used, lambda i: F.lpad(F.hex(rest(i).bitwiseAND(127) + more(i)), 2, "0")), "")
+
+
+def _avro_bytes(kind: str, v: Column) -> Column:
+    if kind in ("int", "long"):
+        return _varint(v.cast("bigint"))
+    if kind == "boolean":
+        return F.when(v, "01").otherwise("00")
+    if kind in ("string", "bytes"):
+        raw = F.encode(v, "UTF-8") if kind == "string" else v
+        return F.concat(_varint(F.length(raw).cast("bigint")), F.hex(raw))
+    raise ValueError(f"no binary form of {kind}")
+
+
+def avro_binary(t: Table, extension: bool = False) -> Column:
+    """Binary encoding of the value record; null for a delete."""
+    parts = []
+    for c in t.columns:
+        v, kind = F.col(f"post_{c.name}"), AVRO[c.type]
+        parts.append(_avro_bytes(kind, v) if c.key or not c.nullable else F.when(v.isNull(), "00").otherwise(F.concat(F.lit("02"), _avro_bytes(kind, v))))
+    if extension:
+        op = F.when(_is("I"), "c").otherwise("u")
+        parts += [_avro_bytes("string", op), _varint(F.col("commit_ts")), _varint(F.shiftright("commit_ts", 18))]
+    return F.when(~_is("D"), F.unhex(F.concat(*parts)))
+
+
 def avro_frame(schema_id: Column, record: Column) -> Column:
-    """Magic byte 0 and the 4-byte schema id before the record."""
-    return F.concat(F.unhex(F.lit("00")), F.unhex(F.lpad(F.hex(schema_id), 8, "0")), F.encode(record, "UTF-8"))
+    """Magic byte 0 and the 4-byte schema id before the binary record."""
+    return F.concat(F.unhex(F.lit("00")), F.unhex(F.lpad(F.hex(schema_id), 8, "0")), record)
+
+
+def avro_decode(schema: str, extension: bool = False):
+    """``(schema id, JSON of the record)`` of frames, in Arrow batches; null for
+    null and for frames that are cut off or of another magic."""
+    import json as j
+
+    fields = [(f["name"], f["type"]) for f in j.loads(schema)["fields"]]
+    fields += [("_op", "string"), ("_commit_ts", "long"), ("_commit_physical_time", "long")] if extension else []
+
+    def number(b: bytes, at: int) -> tuple[int, int]:
+        shift = value = 0
+        while True:
+            value |= (b[at] & 127) << shift
+            at, shift = at + 1, shift + 7
+            if b[at - 1] < 128:
+                return (value >> 1) ^ -(value & 1), at
+
+    def read(kind, b: bytes, at: int):
+        if isinstance(kind, list):
+            n, at = number(b, at)
+            return read(kind[n], b, at)
+        if kind == "null":
+            return None, at
+        if kind in ("int", "long"):
+            return number(b, at)
+        if kind == "boolean":
+            return b[at] == 1, at + 1
+        n, at = number(b, at)
+        if at + n > len(b):
+            raise IndexError
+        return b[at : at + n].decode("utf-8" if kind == "string" else "latin-1"), at + n
+
+    def one(b) -> tuple[int | None, str | None]:
+        if b is None or len(b) < 5 or b[0]:
+            return None, None
+        at, row = 5, {}
+        try:
+            for name, kind in fields:
+                row[name], at = read(kind, b, at)
+        except IndexError:
+            return None, None
+        return int.from_bytes(b[1:5], "big"), j.dumps(row, separators=(",", ":"), ensure_ascii=False)
+
+    @pandas_udf("schema_id int, record string")
+    def run(v: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(b) for b in v], columns=["schema_id", "record"]).astype({"schema_id": "Int32"})
+
+    return run
 
 
 # simple JSON

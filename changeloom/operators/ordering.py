@@ -187,6 +187,15 @@ def last_known(df: DataFrame, keys: list[str], order: list[Column], value: Colum
     return _by_key(df, keys, order, lambda rows, w: rows.withColumn(name, F.last(value, ignorenulls=True).over(w)), hot)
 
 
+def largest_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
+    """Adds the largest value among the key's earlier rows, null for the first."""
+
+    def hot(rows: DataFrame) -> DataFrame:
+        return max_before(rows.withColumn("__v", value), keys, "__v", name).drop("__v")
+
+    return _by_key(df, keys, order, lambda rows, w: rows.withColumn(name, F.max(value).over(w)), hot)
+
+
 def sum_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
     """Adds the sum of a value over the key's earlier rows, 0 for the first."""
 

@@ -95,14 +95,6 @@ def next_interval(now_ms: Column, last: Column, top: Column, may_grow: Column |
     )
 
 
-def scan_windows(samples: DataFrame, keys: list[str], order: str, usage: str, start_ms: int = 5_000) -> DataFrame:
-    """The interval after all samples of a key: a fold over its samples in order.
-    The samples of a key are those of its sliding window, a bounded number."""
-    listed = samples.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, usage))).alias("s"))
-    fold = F.aggregate("s", F.lit(start_ms).cast("bigint"), lambda acc, x: next_interval(acc, x[usage], x[usage]).cast("bigint"))
-    return listed.select(*keys, fold.alias("interval_ms"))
-
-
 def should_block(scope: Column, n_tables: Column, split_table: Column, sync_point: Column) -> Column:
     """A schema change blocks if it concerns a database or everything, several
     tables or a table that is split; a sync point always does."""

@@ -7,12 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Schema changes whose history goes to the trigger as well as to the table.
-GLOBAL_KINDS = ["create schema", "drop schema", "create table", "drop table", "recover table", "truncate table", "rename table", "add partition", "drop partition", "truncate partition", "exchange partition"]
-#: Schema changes after which a table's columns or keys differ.
-VERSION_KINDS = ["create table", "add column", "drop column", "modify column", "truncate table", "rename table"]
-
-
 def versions(ddl: DataFrame) -> DataFrame:
     """``table_id, from_ts, to_ts, version``: half-open lifetimes; a drop ends the
     last one and starts none."""
@@ -48,40 +42,16 @@ def snapshot(ddl: DataFrame, ts: int) -> DataFrame:
     return last.where("kind <> 'drop table'").select("table_id", "schema_ts")
 
 
-def history(ddl: DataFrame) -> DataFrame:
-    """``target, finished_ts, job``: the histories a change is written to; table
-    -1 is the trigger."""
-    targets = F.when(F.col("kind").isin(GLOBAL_KINDS), F.array(F.lit(-1).cast("bigint"), F.col("table_id"))).otherwise(F.array(F.col("table_id")))
-    return ddl.select(F.explode(targets).alias("target"), "finished_ts", "job")
-
-
 def gc_versions(vers: DataFrame, ts: int) -> DataFrame:
     """Versions to keep: those alive at or after ``ts``."""
     return vers.where(F.col("to_ts").isNull() | (F.col("to_ts") > ts))
 
 
-def rename_outcome(old_kept: Column, new_kept: Column) -> Column:
-    """What a rename does under a filter on the old and the new name."""
-    return (
-        F.when(old_kept & new_kept, "rename").when(old_kept & ~new_kept, "rename and drop").when(~old_kept & new_kept, "error").otherwise("ignored")
-    )
-
-
 def partition_changes(before: Column, after: Column) -> tuple[Column, Column]:
     """(dropped ids, created ids) of a change of partitions."""
     return F.array_except(before, after), F.array_except(after, before)
 
 
-def table_counts(ddl: DataFrame) -> DataFrame:
-    """Per table the number of physical ids it used (a truncate takes a new one)
-    and its column count, from a base of five columns."""
-    return ddl.groupBy("table_id").agg(
-        (F.count_if(F.col("kind").isin("create table", "truncate table"))).alias("physical_ids"),
-        (F.lit(5) + F.count_if(F.col("kind") == "add column") - F.count_if(F.col("kind") == "drop column")).alias("columns"),
-        F.max_by("kind", "finished_ts").alias("last_kind"),
-    )
-
-
 def unsorted_cache(jobs: DataFrame, ts: int) -> DataFrame:
     """Finished jobs up to ``ts`` in order, equal ones once."""
     return jobs.where(F.col("finished_ts") <= ts).dropDuplicates(["finished_ts", "job"])

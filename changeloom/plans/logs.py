@@ -41,6 +41,15 @@ _PARTS = {
         row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey) AS n, row_number() OVER (PARTITION BY p_partkey % 40 ORDER BY p_partkey DESC) AS back FROM {part}""",
     "ddl_log": """SELECT table_id, finished_ts, job, n, CASE WHEN n = 1 THEN 'create table' WHEN back = 1 AND table_id % 4 = 0 THEN 'drop table' WHEN p_size % 6 = 0 THEN 'drop column'
         WHEN p_size % 6 = 1 THEN 'rename table' WHEN p_size % 6 = 2 THEN 'truncate table' WHEN p_size % 6 = 3 THEN 'modify column' ELSE 'add column' END AS kind FROM ddl_raw""",
+    # jobs with physical ids: every third table is partitioned and its partitions lo..hi move with the changes of partitions
+    "ddl_kinds": """SELECT table_id, finished_ts, job, n, p_size, CASE WHEN n = 1 THEN 'create table' WHEN back = 1 AND table_id % 4 = 0 THEN 'drop table' WHEN n = 3 AND table_id % 10 = 1 THEN 'modify schema charset'
+        WHEN n = 4 AND table_id = 12 THEN 'create view' WHEN n = 2 AND table_id % 9 = 5 THEN 'lock table' WHEN table_id % 3 = 0 AND p_size % 6 = 0 THEN 'add partition' WHEN table_id % 3 = 0 AND p_size % 6 = 1 THEN 'truncate partition'
+        WHEN table_id % 3 = 0 AND p_size % 6 = 2 THEN 'reorganize partition' WHEN table_id % 3 = 0 AND p_size % 6 = 3 THEN 'exchange partition' WHEN p_size % 6 = 0 THEN 'truncate table' WHEN p_size % 6 = 1 THEN 'drop column'
+        WHEN p_size % 6 = 2 THEN 'modify column' WHEN p_size % 6 = 3 THEN 'add index' WHEN p_size % 6 = 4 THEN 'rename table' ELSE 'add column' END AS kind FROM ddl_raw""",
+    "ddl_ids": """SELECT *, CASE WHEN table_id % 3 = 0 THEN 1 + sum(CASE WHEN kind IN ('truncate partition', 'exchange partition', 'reorganize partition') THEN 1 ELSE 0 END) OVER w ELSE sum(CASE WHEN kind = 'truncate table' THEN 1 ELSE 0 END) OVER w END AS lo,
+        CASE WHEN table_id % 3 = 0 THEN 4 + sum(CASE WHEN kind IN ('add partition', 'reorganize partition') THEN 2 WHEN kind IN ('truncate partition', 'exchange partition') THEN 1 ELSE 0 END) OVER w ELSE sum(CASE WHEN kind = 'truncate table' THEN 1 ELSE 0 END) OVER w END AS hi,
+        sum(CASE WHEN kind = 'rename table' THEN 1 ELSE 0 END) OVER w AS renames FROM ddl_kinds WINDOW w AS (PARTITION BY table_id ORDER BY n ROWS UNBOUNDED PRECEDING)""",
+    "ddl_jobs": """SELECT job, finished_ts, job AS schema_version, kind, table_id % 5 AS schema_id, table_id, CASE WHEN kind <> 'drop table' THEN SEQ(table_id * 100000 + lo, table_id * 100000 + hi) END AS ids, 't' || CAST(table_id AS VARCHAR(10)) || '_' || CAST(renames AS VARCHAR(10)) AS name, renames FROM ddl_ids""",
     "ddl_dml": "SELECT event_id, user_id % 40 AS table_id, (event_id % 2500) * 262144 + 7 AS commit_ts FROM {events}",
 }
 
@@ -60,12 +69,14 @@ def ctes(*names: str) -> str:
     for n in names:
         _needed(n, order)
     text = ",\n".join(f"{n} AS ({_PARTS[n]})" for n in order)
+    text = re.sub(r"\bSEQ\((.+?), (.+?)\) END", r"CAST(generate_series(CAST(\1 AS BIGINT), CAST(\2 AS BIGINT)) AS BIGINT[]) END", text)
     return re.sub(r"\bMS\((\w+)\)", r"(epoch_us(\1) // 1000)", re.sub(r"\{(\w+)\}", r"\1", text))
 
 
 def log(spark: SparkSession, d: str, name: str) -> DataFrame:
     """The log as a DataFrame over the tables in ``d``."""
     text = ",\n".join(f"{n} AS ({_PARTS[n]})" for n in _needed(name, []))
+    text = re.sub(r"\bSEQ\((.+?), (.+?)\) END", r"sequence(CAST(\1 AS BIGINT), CAST(\2 AS BIGINT)) END", text)
     text = re.sub(r"\bMS\((\w+)\)", r"unix_millis(CAST(\1 AS TIMESTAMP))", text)
     text = re.sub(r"\{(\w+)\}", lambda m: f"parquet.`{d}/{m[1]}.parquet`", text)
     return spark.sql(f"WITH {text} SELECT * FROM {name}")

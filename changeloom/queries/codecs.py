@@ -133,6 +133,13 @@ def cd_avro(spark, d):
     return _rows(spark, d).select("id", "op", E.avro_record(T, extension=True).alias("record"))
 
 
+@q(f"""{_IMG} SELECT id, op, CASE WHEN op <> 'D' THEN 77 END AS schema_id, CASE WHEN op <> 'D' THEN '{{"k":' || post_k || ',"p":' || coalesce(CAST(post_p AS VARCHAR), 'null') || ',"s":' || coalesce('"' || post_s || '"', 'null') || ',"_op":"' || CASE op WHEN 'I' THEN 'c' ELSE 'u' END || '","_commit_ts":' || CAST(commit_ts AS VARCHAR) || ',"_commit_physical_time":' || CAST(commit_ts >> 18 AS VARCHAR) || '}}' END AS record FROM r""")
+def cd_avro_binary(spark, d):
+    """Binary records in their frames, and back."""
+    framed = _rows(spark, d).select("id", "op", E.avro_frame(F.lit(77), E.avro_binary(T, extension=True)).alias("frame"))
+    return framed.withColumn("x", E.avro_decode(E.avro_schema(T), extension=True)(F.col("frame"))).select("id", "op", "x.schema_id", "x.record")
+
+
 _SIMPLE = f"""'{{"version":1,"database":"shop","table":"orders","tableID":7,"type":"' || {_KIND} || '","commitTs":' || CAST(commit_ts AS VARCHAR) || ',"buildTs":{NOW},"schemaVersion":3' || CASE WHEN op <> 'D' THEN ',"data":' || {_obj('post', _qs)} ELSE '' END || CASE WHEN op <> 'I' THEN ',"old":' || {_obj('pre', _qs)} ELSE '' END || '}}'"""
 
 

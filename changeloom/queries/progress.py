@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from changeloom.operators import ddl as D
 from changeloom.operators import ordering as O
 from changeloom.operators import progress as P
+from changeloom.operators import rules as U
 from changeloom.operators import schemas as S
 from changeloom.operators.heavy_keys import Agg, salted_aggregate
 from changeloom.plans.logs import ctes, log
@@ -197,12 +198,34 @@ def set_union(spark, d):
 # schema changes
 
 
+_J = f"WITH {ctes('ddl_jobs')}"
+_WIDE = "('drop schema', 'modify schema charset', 'create view')"
+# every job with the ids of its table before and after it
+_STATE = "b AS (SELECT *, coalesce(lag(ids) OVER (PARTITION BY table_id ORDER BY finished_ts, job), []) AS before, coalesce(ids, []) AS after FROM ddl_jobs)"
+_EFFECT = f"{_STATE}, f AS (SELECT *, list_filter(after, lambda x: NOT list_contains(before, x)) AS created, list_filter(before, lambda x: NOT list_contains(after, x)) AS dropped FROM b)"
+_TEXT = "array_to_string(list_sort({0}), ',')"
+
+
+def _text(ids):
+    return F.array_join(F.transform(F.array_sort(ids), lambda x: x.cast("string")), ",")
+
+
+@q(f"""{_J}, {_EFFECT}, h AS (SELECT unnest(after) AS target, finished_ts, job, false AS e FROM f WHERE kind NOT IN {_WIDE} AND kind <> 'lock table' UNION ALL SELECT unnest(dropped), finished_ts, job, true FROM f WHERE kind NOT IN {_WIDE} AND kind <> 'lock table'),
+l AS (SELECT *, lead(finished_ts) OVER (PARTITION BY target ORDER BY finished_ts, job) AS to_ts FROM h) SELECT target, finished_ts AS from_ts, to_ts, row_number() OVER (PARTITION BY target ORDER BY finished_ts, job) AS version FROM l WHERE NOT e""")
+def ddl_versions(spark, d):
+    """Lifetimes of the schema versions of every physical table."""
+    return D.versions(log(spark, d, "ddl_jobs"))
+
+
 _VER = "SELECT table_id, finished_ts AS from_ts, lead(finished_ts) OVER (PARTITION BY table_id ORDER BY finished_ts) AS to_ts, row_number() OVER (PARTITION BY table_id ORDER BY finished_ts) AS version, kind FROM ddl_log"
 
 
-@q(f"{DD}, v AS ({_VER}) SELECT * FROM v WHERE kind <> 'drop table'")
+@q(f"{_J}, {_EFFECT} SELECT job, kind, {_TEXT.format('created')} AS created, {_TEXT.format('dropped')} AS dropped, CASE WHEN kind IN {_WIDE} THEN 'schema' WHEN kind <> 'lock table' THEN 'single' END AS scope, CASE WHEN kind <> 'lock table' THEN kind NOT IN ('create table', 'modify schema charset', 'drop column', 'add column', 'modify column', 'add index') END AS blocks FROM f")
 def ddl_handlers(spark, d):
-    return S.versions(log(spark, d, "ddl_log"))
+    """Physical tables that each job creates and drops, its scope, whether it blocks."""
+    e = D.effects(log(spark, d, "ddl_jobs"))
+    scope, blocks, _ = D.classify(F.col("kind"))
+    return e.select("job", "kind", _text(F.col("created")).alias("created"), _text(F.col("dropped")).alias("dropped"), scope.alias("scope"), blocks.alias("blocks"))
 
 
 @q(f"WITH {ctes('ddl_log', 'ddl_dml')}, v AS ({_VER}) SELECT event_id, ddl_dml.table_id, commit_ts, version, from_ts AS schema_ts FROM ddl_dml JOIN v ON v.table_id = ddl_dml.table_id AND commit_ts >= from_ts AND (to_ts IS NULL OR commit_ts < to_ts) WHERE kind <> 'drop table'")
@@ -223,18 +246,29 @@ def src_snapshot(spark, d):
     return S.snapshot(log(spark, d, "ddl_log"), 393216000)
 
 
-_GK = "(" + ", ".join(f"'{k}'" for k in S.GLOBAL_KINDS) + ")"
+_LIVES = """a AS (SELECT schema_id, table_id, unnest(after) AS target, finished_ts FROM f), x AS (SELECT table_id, unnest(dropped) AS target, finished_ts FROM f), l AS (SELECT a.schema_id, a.target, min(a.finished_ts) AS from_ts, min(x.finished_ts) AS to_ts FROM a LEFT JOIN x ON x.table_id = a.table_id AND x.target = a.target GROUP BY a.schema_id, a.table_id, a.target)"""
 
 
-@q(f"{DD} SELECT table_id AS target, finished_ts, job FROM ddl_log UNION ALL SELECT -1, finished_ts, job FROM ddl_log WHERE kind IN {_GK}")
+@q(f"""{_J}, {_EFFECT}, {_LIVES} SELECT -1 AS target, finished_ts, job FROM f WHERE kind NOT IN ('drop column', 'modify column', 'add index', 'add column', 'lock table')
+UNION SELECT unnest(before), finished_ts, job FROM f WHERE kind IN ('drop table', 'rename table', 'truncate table', 'drop column', 'modify column', 'add index', 'add column', 'truncate partition', 'reorganize partition')
+UNION SELECT unnest(after), finished_ts, job FROM f WHERE kind IN ('create table', 'truncate table', 'add partition', 'truncate partition', 'reorganize partition')
+UNION SELECT unnest(dropped), finished_ts, job FROM f WHERE kind = 'exchange partition' UNION SELECT table_id, finished_ts, job FROM f WHERE kind = 'exchange partition'
+UNION SELECT l.target, f.finished_ts, f.job FROM f JOIN l ON l.from_ts <= f.finished_ts AND (l.to_ts IS NULL OR l.to_ts >= f.finished_ts) AND (f.kind = 'create view' OR (f.kind = 'modify schema charset' AND l.schema_id = f.schema_id))""")
 def ddl_hist(spark, d):
-    return S.history(log(spark, d, "ddl_log"))
+    """The trigger's and the tables' histories that each job enters."""
+    return D.history(log(spark, d, "ddl_jobs"))
 
 
-@q(f"{DD} SELECT job, CASE WHEN job % 2 = 0 AND job % 3 = 0 THEN 'rename' WHEN job % 2 = 0 THEN 'rename and drop' WHEN job % 3 = 0 THEN 'error' ELSE 'ignored' END AS outcome FROM ddl_log WHERE kind = 'rename table'")
+@q(f"""{_J}, r AS (SELECT job, renames % 2 = 1 AS old_kept, table_id % 2 = 0 AS new_kept, 's' || CAST(schema_id AS VARCHAR) AS os, 's' || CAST((schema_id + job % 2) % 5 AS VARCHAR) AS ns FROM ddl_jobs WHERE kind = 'rename table')
+SELECT job, CASE WHEN old_kept AND new_kept THEN 'rename' WHEN old_kept THEN 'rename and drop' WHEN new_kept THEN 'error' ELSE 'ignored' END AS outcome, CASE WHEN old_kept AND new_kept THEN os <> ns ELSE false END AS moves, CASE WHEN old_kept THEN os = 's3' ELSE true END AS not_sync FROM r""")
 def ddl_rename(spark, d):
-    r = log(spark, d, "ddl_log").where("kind = 'rename table'")
-    return r.select("job", S.rename_outcome(F.col("job") % 2 == 0, F.col("job") % 3 == 0).alias("outcome"))
+    """Renames under table rules on the old and on the new name."""
+    r = log(spark, d, "ddl_jobs").where("kind = 'rename table'").select(
+        "job", F.concat(F.lit("s"), F.col("schema_id").cast("string")).alias("os"), F.concat(F.lit("s"), ((F.col("schema_id") + F.col("job") % 2) % 5).cast("string")).alias("ns"),
+        F.concat(F.lit("old_"), (F.col("renames") % 2).cast("string")).alias("ot"), F.concat(F.lit("new_"), (F.col("table_id") % 2).cast("string")).alias("nt"))
+    kept = lambda s, t: U.table_filter(F.col(s), F.col(t), ["*.old_1", "*.new_0"])
+    outcome, moves, not_sync = D.rename_effect(kept("os", "ot"), kept("ns", "nt"), F.col("os"), F.col("ns"), F.col("os") == "s3")
+    return r.select("job", outcome.alias("outcome"), moves.alias("moves"), not_sync.alias("not_sync"))
 
 
 @q("SELECT p_partkey AS id, array_to_string(list_filter([1, 2, 3, 4], lambda x: x > 2 + p_size % 3 OR x <= p_size % 2), ',') AS dropped, CASE WHEN p_size % 3 = 2 THEN '' ELSE '' END || array_to_string(list_filter([9, 10], lambda x: x <= 9 + p_size % 2), ',') AS created FROM part")
@@ -246,10 +280,17 @@ def ddl_partition(spark, d):
     return p.select(F.col("p_partkey").alias("id"), text(dropped).alias("dropped"), text(created).alias("created"))
 
 
-@q(f"{DD}, x AS (SELECT *, lag(kind) OVER (PARTITION BY table_id ORDER BY finished_ts) AS before FROM ddl_log) SELECT job, kind, before IS NOT DISTINCT FROM kind AND kind = 'truncate table' AS skipped FROM x")
+@q(f"""{_J}, j AS (SELECT job, schema_version, kind, table_id, finished_ts, ids, 0 AS again FROM ddl_jobs UNION ALL SELECT job, schema_version, kind, table_id, finished_ts, ids, 1 FROM ddl_jobs WHERE job % 5 = 0
+UNION ALL SELECT job + 1000000, schema_version + 1000000, 'create table', table_id, finished_ts + 1000000000, ids, 0 FROM ddl_jobs WHERE job % 7 = 0),
+s AS (SELECT *, coalesce(schema_version <= max(schema_version) OVER (ORDER BY finished_ts, job, again ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS repeated FROM j),
+b AS (SELECT *, coalesce(len(lag(ids) OVER (PARTITION BY table_id ORDER BY finished_ts, job)), 0) AS had FROM s WHERE NOT repeated)
+SELECT job, kind, CASE WHEN kind = 'lock table' THEN 'unknown' WHEN kind = 'create table' AND had > 0 THEN 'exists' WHEN kind = 'drop table' AND had = 0 THEN 'missing' END AS reason FROM b
+UNION ALL SELECT job, kind, CASE WHEN kind = 'lock table' THEN 'unknown' ELSE 'repeated' END FROM s WHERE repeated""")
 def ddl_skip(spark, d):
-    w = Window.partitionBy("table_id").orderBy("finished_ts")
-    return log(spark, d, "ddl_log").select("job", "kind", (F.lag("kind").over(w).eqNullSafe(F.col("kind")) & (F.col("kind") == "truncate table")).alias("skipped"))
+    """Jobs fetched twice and tables created once more."""
+    j = log(spark, d, "ddl_jobs").select("job", "schema_version", "kind", "table_id", "finished_ts", "ids")
+    more = j.where("job % 7 = 0").select((F.col("job") + 1_000_000).alias("job"), (F.col("schema_version") + 1_000_000).alias("schema_version"), F.lit("create table").alias("kind"), "table_id", (F.col("finished_ts") + 1_000_000_000).alias("finished_ts"), "ids")
+    return D.skip_reason(j.unionByName(j.where("job % 5 = 0")).unionByName(more)).select("job", "kind", "reason")
 
 
 @q(f"{DD}, v AS ({_VER}) SELECT table_id, version, from_ts FROM v WHERE kind <> 'drop table' AND (to_ts IS NULL OR to_ts > 393216000)")
@@ -257,10 +298,9 @@ def ddl_gc(spark, d):
     return S.gc_versions(S.versions(log(spark, d, "ddl_log")), 393216000).select("table_id", "version", "from_ts")
 
 
-@q(f"{DD}, r AS (SELECT table_id, count(*) FILTER (kind = 'rename table') AS renames FROM ddl_log WHERE finished_ts <= 393216000 GROUP BY table_id) SELECT table_id, 't' || CAST(table_id AS VARCHAR) || '_' || CAST(renames AS VARCHAR) AS name FROM r")
+@q(f"{_J}, l AS (SELECT table_id, arg_max(schema_id, finished_ts) AS schema_id, arg_max(name, finished_ts) AS name, arg_max(kind, finished_ts) AS kind FROM ddl_jobs WHERE finished_ts <= 393216000 GROUP BY table_id) SELECT table_id, schema_id, name FROM l WHERE kind <> 'drop table'")
 def ddl_tablenames(spark, d):
-    r = log(spark, d, "ddl_log").where("finished_ts <= 393216000").groupBy("table_id").agg(F.count_if(F.col("kind") == "rename table").alias("renames"))
-    return r.select("table_id", F.concat(F.lit("t"), F.col("table_id").cast("string"), F.lit("_"), F.col("renames").cast("string")).alias("name"))
+    return D.names_at(log(spark, d, "ddl_jobs"), 393216000)
 
 
 @q(f"{DD}, x AS (SELECT job, 'RENAME TABLE a' || CAST(job AS VARCHAR) || ' TO b' AS part FROM ddl_log WHERE kind = 'rename table' UNION ALL SELECT job, 'RENAME TABLE c TO d' || CAST(job AS VARCHAR) FROM ddl_log WHERE kind = 'rename table') SELECT job, part FROM x")
@@ -270,9 +310,19 @@ def ddl_split_events(spark, d):
     return S.split_multi(r.withColumn("query", text), "query").select("job", "part")
 
 
-@q(f"{DD} SELECT table_id, count(*) FILTER (kind IN ('create table', 'truncate table')) AS physical_ids, 5 + count(*) FILTER (kind = 'add column') - count(*) FILTER (kind = 'drop column') AS columns, arg_max(kind, finished_ts) AS last_kind FROM ddl_log GROUP BY table_id")
+@q("""WITH t AS (SELECT p_partkey AS id, p_size FROM part) SELECT id AS table_id, p_size % 5 <> 0 AND p_size % 3 <> 0 AS splittable,
+CASE WHEN p_size % 7 = 0 THEN 'no origin_ts' WHEN p_size % 11 = 0 THEN 'no softdelete_time' WHEN p_size % 2 = 0 OR p_size % 13 = 0 THEN 'softdelete_time is no timestamp(6) null' END AS active_active FROM t""")
 def ddl_verify(spark, d):
-    return S.table_counts(log(spark, d, "ddl_log"))
+    """Tables that can be split and that can take part in active-active replication."""
+    t = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("table_id"), "p_size")
+    col = lambda n, kind, null, cond: F.when(cond, F.struct(F.lit(n).alias("column"), kind.alias("type"), null.alias("nullable")))
+    columns = t.select("table_id", F.inline(F.array_compact(F.array(
+        col("id", F.lit("bigint"), F.lit(False), F.lit(True)), col("origin_ts", F.lit("bigint"), F.lit(True), F.col("p_size") % 7 != 0),
+        col("softdelete_time", F.when(F.col("p_size") % 2 == 0, "timestamp").otherwise("timestamp(6)"), F.col("p_size") % 13 != 0, F.col("p_size") % 11 != 0)))))
+    index = lambda n, primary, unique, cond: F.when(cond, F.struct(F.lit(n).alias("index"), F.lit(primary).alias("is_primary"), F.lit(unique).alias("is_unique")))
+    indexes = t.select("table_id", F.inline(F.array_compact(F.array(
+        index("pk", True, True, F.col("p_size") % 5 != 0), index("uk", False, True, F.col("p_size") % 3 == 0), index("k", False, False, F.lit(True))))))
+    return D.verify_tables(columns, indexes, "origin_ts", "softdelete_time")
 
 
 @q(f"{DD} SELECT job, finished_ts, kind FROM ddl_log WHERE n % 3 <> 0")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeloom.functions import scalars as S
 from changeloom.functions import tso
+from changeloom.operators import ddl as D
 from changeloom.operators import ordering as O
 from changeloom.operators import rules as U
+from changeloom.operators.sequence import verify_sequence
 from changeloom.plans.logs import ctes, log
 from changeloom.queries.registry import Registry, crc32_sql, text_bytes_sql
 
@@ -149,18 +150,20 @@ def flt_row_order(spark, d):
     return _named(spark, d).where(keep).select("k", "op", "commit_ts")
 
 
-@q(f"WITH {ctes('base')}, x AS ({_DDLS}) SELECT k, kind, kind NOT IN ('create table', 'drop table', 'add column', 'truncate table') OR k % 2 = 0 AS discarded FROM x")
+@q(f"WITH {ctes('ddl_jobs')} SELECT job, kind, kind = 'lock table' OR kind LIKE '%column' OR schema_id = 3 AS discarded FROM ddl_jobs")
 def flt_discard_ddl(spark, d):
-    allowed = ["create table", "drop table", "add column", "truncate table"]
-    return _ddls(spark, d).select("k", "kind", (~F.col("kind").isin(allowed) | (F.col("k") % 2 == 0)).alias("discarded"))
+    """Jobs of unknown kinds, of ignored kinds or of tables left out go no further."""
+    schema = F.concat(F.lit("s"), F.col("schema_id").cast("string"))
+    rules = [U.EventRule(["*.*"], ["add column", "drop column", "modify column"])]
+    keep = F.col("kind").isin(list(D.KINDS)) & U.table_filter(schema, F.col("name"), ["*.*", "!s3.*"]) & U.keep_ddl(schema, F.col("name"), F.col("kind"), F.lit(""), rules)
+    return log(spark, d, "ddl_jobs").select("job", "kind", (~keep).alias("discarded"))
 
 
-@q(f"WITH {ctes('base')}, x AS ({_DDLS}) SELECT kind, count(*) AS n, CASE WHEN kind = 'rename table' THEN 'multi' ELSE 'single' END AS scope, kind IN ('drop table', 'truncate table', 'rename table') AS blocks FROM x GROUP BY kind")
+@q(f"""WITH {ctes('ddl_jobs')} SELECT kind, count(*) AS n, CASE WHEN kind IN ('create view', 'modify schema charset') THEN 'schema' WHEN kind <> 'lock table' THEN 'single' END AS scope,
+CASE WHEN kind <> 'lock table' THEN kind IN ('drop table', 'truncate table', 'rename table', 'create view') OR kind LIKE '%partition' END AS blocks, CASE WHEN kind <> 'lock table' THEN kind NOT LIKE '%column' AND kind <> 'add index' END AS for_trigger FROM ddl_jobs GROUP BY kind""")
 def flt_ddlclass(spark, d):
-    kinds = {"create table": ("single", False), "drop table": ("single", True), "add column": ("single", False), "truncate table": ("single", True), "rename table": ("multi", True)}
-    classes = spark.createDataFrame([(k, *v) for k, v in kinds.items()], "kind string, scope string, blocks boolean")
-    # five rows
-    return _ddls(spark, d).groupBy("kind").agg(F.count("*").alias("n")).join(F.broadcast(classes), "kind")
+    scope, blocks, trigger = D.classify(F.col("kind"))
+    return log(spark, d, "ddl_jobs").groupBy("kind").agg(F.count("*").alias("n")).select("kind", "n", scope.alias("scope"), blocks.alias("blocks"), trigger.alias("for_trigger"))
 
 
 @q("WITH x AS (SELECT p_partkey AS id, p_size % 3 = 0 AS has_pk, p_size % 5 = 0 AS has_uk, p_size % 7 = 0 AS is_view, p_size % 11 = 0 AS is_sequence FROM part) SELECT id, NOT is_sequence AND (is_view OR has_pk OR has_uk) AS eligible FROM x")
@@ -187,13 +190,25 @@ def flt_skipdml(spark, d):
     return df.join(starts, ["c", "commit_ts"], "left_anti").select("k", "op", "commit_ts")
 
 
-@q(f"""WITH {ctes('history_log')}, x AS (SELECT k AS dispatcher, n AS seq, commit_ts FROM history_log WHERE n % 17 <> 0 UNION ALL SELECT k, n, commit_ts FROM history_log WHERE n % 13 = 0 AND n % 17 <> 0),
-u AS (SELECT DISTINCT dispatcher, seq, commit_ts FROM x) SELECT dispatcher, seq, coalesce(seq - lag(seq) OVER (PARTITION BY dispatcher ORDER BY seq) <> 1, seq <> 1) AS reset FROM u""")
+# two epochs per dispatcher; some events lost, some repeated, some of the first epoch late
+_EVENTS = """SELECT k AS dispatcher, n * 10 AS arrival, CASE WHEN n < 12 THEN 1 ELSE 2 END AS epoch, CASE WHEN n = 1 OR n = 12 THEN 'handshake' WHEN n % 6 = 0 THEN 'ddl' WHEN n % 5 = 0 THEN 'syncpoint' ELSE 'dml' END AS kind,
+    CASE WHEN n < 12 THEN n ELSE n - 11 END AS seq, commit_ts FROM history_log WHERE NOT (k % 7 = 3 AND n = 5) AND NOT (k % 11 = 4 AND n IN (12, 20))
+  UNION ALL SELECT k, n * 10 + 5, CASE WHEN n < 12 THEN 1 ELSE 2 END, 'resolved', CASE WHEN n < 12 THEN n ELSE n - 11 END, commit_ts FROM history_log WHERE n % 4 = 0
+  UNION ALL SELECT k, n * 10 + 127, 1, 'dml', n, commit_ts FROM history_log WHERE n = 3 AND k % 2 = 0
+  UNION ALL SELECT k, 103, 1, 'ddl', 11, commit_ts - 1 FROM history_log WHERE n = 10 AND k % 5 = 1"""
+_CHECKED = f"""e AS ({_EVENTS}), s AS (SELECT *, coalesce(epoch < max(epoch) OVER (PARTITION BY dispatcher ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS stale FROM e),
+c AS (SELECT *, coalesce(sum(CASE WHEN kind <> 'resolved' THEN 1 ELSE 0 END) OVER (PARTITION BY dispatcher, epoch ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM s WHERE NOT stale),
+r AS (SELECT *, CASE WHEN n = 0 THEN kind = 'handshake' AND seq = 1 WHEN kind = 'resolved' THEN seq = n ELSE seq = n + 1 END AS good FROM c),
+w AS (SELECT *, coalesce(sum(CASE WHEN good THEN 0 ELSE 1 END) OVER (PARTITION BY dispatcher, epoch ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wrong FROM r),
+p AS (SELECT *, max(commit_ts) OVER (PARTITION BY dispatcher ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top, row_number() OVER (PARTITION BY dispatcher, kind, commit_ts ORDER BY arrival) AS again FROM w WHERE wrong = 0 AND good)"""
+
+
+@q(f"""WITH {ctes('history_log')}, {_CHECKED} SELECT dispatcher, arrival, kind, seq, CASE WHEN coalesce(commit_ts < top OR (kind IN ('ddl', 'syncpoint') AND again > 1), false) THEN 'repeated' ELSE 'forward' END AS outcome FROM p
+UNION ALL SELECT dispatcher, arrival, kind, seq, CASE WHEN wrong = 0 THEN 'reset' ELSE 'dropped' END FROM w WHERE wrong > 0 OR NOT good UNION ALL SELECT dispatcher, arrival, kind, seq, 'stale' FROM s WHERE stale""")
 def flt_dupseq(spark, d):
-    df = log(spark, d, "history_log").where("n % 17 <> 0").select(F.col("k").alias("dispatcher"), F.col("n").alias("seq"), "commit_ts")
-    rows = df.unionByName(df.where("seq % 13 = 0")).dropDuplicates(["dispatcher", "seq"])
-    w = Window.partitionBy("dispatcher").orderBy("seq")
-    return rows.select("dispatcher", "seq", F.coalesce(F.col("seq") - F.lag("seq").over(w) != 1, F.col("seq") != 1).alias("reset"))
+    history = log(spark, d, "history_log")
+    events = spark.sql(_EVENTS.replace("FROM history_log", "FROM {h}"), h=history)
+    return verify_sequence(events).select("dispatcher", "arrival", "kind", "seq", "outcome")
 
 
 @q(f"{OL} SELECT s, count(*) AS n, n_name FROM orders_log JOIN nation ON n_nationkey = c % 25 GROUP BY s, n_name")

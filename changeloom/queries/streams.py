@@ -6,9 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeloom.functions import rowimage as RI
+from changeloom.functions import scalars as FS
 from changeloom.operators import compaction as C
 from changeloom.operators import ordering as O
 from changeloom.operators import progress as P
+from changeloom.operators.sequence import scan_windows
 from changeloom.plans.changefeed import Changefeed, ChangefeedConfig
 from changeloom.plans.logs import ctes, log
 from changeloom.operators.rules import EventRule
@@ -96,14 +98,11 @@ _LAST = "SELECT *, row_number() OVER (PARTITION BY k ORDER BY commit_ts DESC, st
 
 @q(f"{OL}, l AS ({_LAST}) SELECT k, post_p, c FROM l WHERE rn = 1 AND op <> 'D'")
 def sk_db(spark, d):
-    """Applied by ``foreachBatch``; the feed of one call is one micro-batch. (A
-    feed whose batches may be out of order needs the keyed state of p5.)"""
+    """Applied as a stream of three files through the keyed state, so batches may
+    come in any order; each writes the keys it touched, once."""
     rows = log(spark, d, "orders_log").select("k", "op", "commit_ts", "start_ts", "post_p", "c")
-    path = work_path(spark, "feed")
-    rows.write.parquet(path)
-    sink = W.SnapshotSink(work_path(spark, "snapshots"), ["k"], ["post_p", "c"], [F.col("commit_ts"), F.col("start_ts"), O.op_order()], "k bigint, post_p bigint, c bigint")
-    ST.run_available(ST.stream_table(spark, path), sink)
-    return sink.table(spark)
+    _, stream = ST.replayable(rows, "feed", 3)
+    return W.apply_to_table(spark, stream, {"k": "bigint"}, {"post_p": "bigint", "c": "bigint"}, O.op_order())
 
 
 @q(f"""{OL} SELECT k, commit_ts, CASE op WHEN 'I' THEN 'REPLACE INTO `shop`.`orders` (`k`,`p`,`s`) VALUES (' || CAST(k AS VARCHAR) || ',' || CAST(post_p AS VARCHAR) || ',''' || s || ''')'
@@ -151,13 +150,18 @@ def sk_mq(spark, d):
     return SF.read_messages(spark, root, "k bigint, op string, commit_ts bigint").groupBy("topic", "part").agg(F.count("*").alias("n"), F.max("commit_ts").alias("watermark"), F.sum("k").alias("total"))
 
 
-@q(f"{OL} SELECT 'shop' AS schema, 't_' || lower(s) AS \"table\", k % 2 AS version, count(*) AS n, CAST(sum(length(op || ',' || CAST(k AS VARCHAR))) AS BIGINT) AS chars FROM orders_log GROUP BY 2, 3")
+@q(f"""{OL} SELECT 'shop' AS schema, 't_' || lower(s) AS "table", k % 2 AS version, strftime(to_timestamp((commit_ts >> 18) // 1000) AT TIME ZONE 'UTC', '%Y') AS date, count(*) AS n, CAST(sum(length(op || ',' || CAST(k AS VARCHAR))) AS BIGINT) AS chars, true AS numbered FROM orders_log GROUP BY 2, 3, 4""")
 def sk_storage(spark, d):
-    rows = log(spark, d, "orders_log").select(F.concat_ws(",", "op", "k").alias("line"), F.lit("shop").alias("schema"), F.concat(F.lit("t_"), F.lower("s")).alias("table"), (F.col("k") % 2).alias("version"))
-    root = work_path(spark, "storage")
-    W.write_storage(rows, root, "line", "schema", "table", "version", 5000)
-    back = spark.read.schema("value string, schema string, table string, version bigint").text(root)
-    return back.groupBy("schema", "table", "version").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("chars"))
+    """Change lines written in the storage layout in two batches, by year, and
+    read back through the storage reader."""
+    rows = log(spark, d, "orders_log").select(
+        F.concat_ws(",", "op", "k").alias("line"), F.lit("shop").alias("schema"), F.concat(F.lit("t_"), F.lower("s")).alias("table"), (F.col("k") % 2).alias("version"),
+        FS.date_path(F.timestamp_millis(F.shiftright("commit_ts", 18)), "year").alias("date"), "commit_ts", "k")
+    root, path = work_path(spark, "storage"), ["schema", "table", "version", "date"]
+    for cond in ("commit_ts <= 225000000000000000", "commit_ts > 225000000000000000"):
+        W.write_storage(rows.where(cond), root, "line", path, [F.col("commit_ts"), F.col("k")], 5000, "csv", checkpoint_ts=225000000000000000)
+    back = SF.read_storage(spark, root, partitioned=False)
+    return back.groupBy(*path).agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("chars"), (F.max("file_no") == F.count_distinct("file_no")).alias("numbered"))
 
 
 @q("WITH f AS (SELECT msg_id, DATE '2026-02-20' + CAST(msg_id % 40 AS INTEGER) AS day FROM sink_message) SELECT msg_id, strftime(day, '%Y-%m-%d') AS date FROM f WHERE day < DATE '2026-03-10' - 7")
@@ -194,7 +198,7 @@ def st_watermark(spark, d):
     _, stream = ST.replayable(rows, "rows", 3)
     buffer = ST.ResolvedBuffer(spark, "k bigint, n int, op string, commit_ts bigint")
     ST.run_available(stream.select("kind", "k", F.col("n").cast("int").alias("n"), "op", "commit_ts"), buffer)
-    buffer(marks.select("kind", "k", F.col("n").cast("int").alias("n"), "op", "commit_ts"), max(buffer.marks) + 1)
+    buffer(marks.select("kind", "k", F.col("n").cast("int").alias("n"), "op", "commit_ts"), buffer.last_batch() + 1)
     return buffer.released().drop("version")
 
 
@@ -225,6 +229,14 @@ def st_scanwin(spark, d):
     return u.select("event_id", P.next_interval(F.lit(5000), F.col("usage"), F.col("usage")).alias("next_ms"))
 
 
+@q()
+def st_scanwin_fold(spark, d):
+    """The interval of every user's feed after each of its samples; a fold over
+    decisions, tested against the plain rules."""
+    u = log(spark, d, "ev").select("k", (F.col("n") * 1500).alias("ms"), (F.col("v") % 100).alias("usage"))
+    return scan_windows(u, "k", "ms", "usage")
+
+
 @q(f"WITH {ctes('ev')}, f AS (SELECT k, n, CASE WHEN v % 100 >= 80 THEN 1 WHEN v % 100 < 50 THEN 0 END AS flag FROM ev), g AS (SELECT *, count(flag) OVER (PARTITION BY k ORDER BY n) AS grp FROM f) SELECT k, n, coalesce(max(flag) OVER (PARTITION BY k, grp), 0) = 1 AS paused FROM g")
 def st_memctl(spark, d):
     """A path pauses at 80 % of its quota and goes on below 50 %."""

@@ -96,6 +96,21 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return text
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file; the folder of the target is made."""
+    fs, a = _file(spark, source)
+    _, b = _file(spark, target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no such folder."""
+    fs, target = _file(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(target)] if fs.exists(target) else []
+
+
 def materialize(df, name: str):
     """Write ``df`` below the shared folder and read it again: cuts the lineage
     and survives the loss of executors."""

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeloom.functions.codecs.formats import definition_checksum
 from changeloom.operators.ordering import place_in_key
+from changeloom.session import list_names, remove_path, rename_path, write_text
+from changeloom.streaming.upsert import apply_feed, current_rows
 
 #: Kind of sink by URI scheme, fixed values.
 SCHEMES = {"mysql": "database", "mysql+ssl": "database", "kafka": "messages", "kafka+ssl": "messages", "pulsar": "messages", "pulsar+ssl": "messages",
@@ -51,10 +56,45 @@ def batched_deletes(df: DataFrame, table: str, key: str, group: list[Column], si
     return listed.select(*names, "chunk", text.alias("statement"))
 
 
-def write_storage(df: DataFrame, root: str, line: str, schema: str, table: str, version: str, max_lines: int) -> None:
-    """``schema/table/version/`` folders of text files."""
-    rows = df.select(F.col(line).alias("value"), F.col(schema).alias("schema"), F.col(table).alias("table"), F.col(version).alias("version"))
-    rows.write.option("maxRecordsPerFile", max_lines).partitionBy("schema", "table", "version").mode("overwrite").text(root)
+def write_storage(df: DataFrame, root: str, line: str, path: list[str], order: list[Column], max_lines: int, extension: str, checkpoint_ts: int | None = None, definitions: dict[tuple[str, str, int], dict] | None = None) -> int:
+    """Text files ``<path values>/CDCnnnnnn.<extension>`` with an index file
+    ``meta/CDC.index`` in each folder that names the last, schema files
+    ``schema/table/meta/schema_<version>_<checksum>.json`` and the ``metadata``
+    file of the checkpoint. Returns the number of files.
+
+    ``path`` are the columns schema, table, version and then partition and date
+    where the layout has them. Rows are written in ranges of (path, order), so a
+    hot table is many files in order. File numbers go on from those that are
+    there; a file gets its name when its batch is complete, one rename a file, as
+    the output committer does it. Readers see only named files."""
+    spark = df.sparkSession
+    staging = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
+    keys = [f"__o{i}" for i in range(len(order))]
+    rows = df.select(F.col(line).alias("value"), *path, *[c.alias(k) for c, k in zip(order, keys)])
+    placed = rows.repartitionByRange(*path, *keys).sortWithinPartitions(*path, *keys).drop(*keys)
+    placed.write.option("maxRecordsPerFile", max_lines).partitionBy(*path).text(staging)
+    n = 0
+    for folder in _leaves(spark, staging, len(path)):
+        target = f"{root}/" + "/".join(unquote(p.partition("=")[2]) for p in folder.split("/"))
+        last = max((int(m[1]) for x in list_names(spark, target) if (m := re.match(r"CDC(\d+)\.", x))), default=0)
+        for name in sorted(x for x in list_names(spark, f"{staging}/{folder}") if x.startswith("part-")):
+            last, n = last + 1, n + 1
+            rename_path(spark, f"{staging}/{folder}/{name}", f"{target}/CDC{last:06d}.{extension}")
+        write_text(spark, f"{target}/meta/CDC.index", f"CDC{last:06d}.{extension}\n")
+    remove_path(spark, staging)
+    for (schema, table, version), d in (definitions or {}).items():
+        write_text(spark, f"{root}/{schema}/{table}/meta/schema_{version}_{definition_checksum(d):010d}.json", json.dumps(d, indent=4))
+    if checkpoint_ts is not None:
+        write_text(spark, f"{root}/metadata", checkpoint_document(checkpoint_ts))
+    return n
+
+
+def _leaves(spark: SparkSession, root: str, depth: int, at: str = "") -> list[str]:
+    """Folders ``a=1/b=2/...`` of the depth below a root."""
+    if not depth:
+        return [at]
+    names = [x for x in list_names(spark, f"{root}/{at}") if "=" in x]
+    return [leaf for x in names for leaf in _leaves(spark, root, depth - 1, f"{at}/{x}" if at else x)]
 
 
 def write_messages(df: DataFrame, root: str) -> None:
@@ -84,33 +124,20 @@ def redo_garbage(df: DataFrame, checkpoint_ts: int, file: str) -> DataFrame:
     return df.groupBy(file).agg(F.max("commit_ts").alias("newest")).where(F.col("newest") <= checkpoint_ts)
 
 
-class SnapshotSink:
-    """Database apply as versioned snapshots for ``foreachBatch``.
+def apply_to_table(spark: SparkSession, stream: DataFrame, keys: dict[str, str], values: dict[str, str], rank: Column, path: str | None = None) -> DataFrame:
+    """Database apply of a streamed feed with ``op, commit_ts, start_ts``: the
+    table after all its changes. Keyed state keeps the newest change of each key,
+    so repeated and late batches change nothing, and a batch writes only the keys
+    it touched."""
+    image = F.struct(*values)
 
-    Version N holds the table after batch N: version N-1 without the keys that
-    the batch changed, plus the batch's newest images. A batch that runs again
-    starts from version N-1 and overwrites version N, so nothing is applied twice.
-    """
+    def changes(df: DataFrame) -> DataFrame:
+        seq = F.struct("commit_ts", rank.cast("int").alias("rank"), "start_ts").alias("seq")
+        return df.where("commit_ts is not null").select(*keys, seq, F.when(F.col("op") != "D", image).alias("payload"))
 
-    def __init__(self, root: str, keys: list[str], values: list[str], order: list[Column], schema: str):
-        self.root, self.keys, self.values, self.order, self.schema = root, keys, values, order, schema
-        self.last = -1
-
-    def path(self, batch_id: int) -> str:
-        return f"{self.root}/version={batch_id}"
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = batch.groupBy(*self.keys).agg(F.max_by(F.struct("op", *self.values), F.struct(*self.order)).alias("x"))
-        rows = newest.where("x.op <> 'D'").select(*self.keys, *[F.col(f"x.{v}").alias(v) for v in self.values])
-        if batch_id:
-            old = spark.read.schema(self.schema).parquet(self.path(batch_id - 1))
-            rows = old.join(newest.select(*self.keys), self.keys, "left_anti").unionByName(rows)
-        rows.write.mode("overwrite").parquet(self.path(batch_id))
-        self.last = batch_id
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path(self.last)) if self.last >= 0 else spark.createDataFrame([], self.schema)
+    versions = apply_feed(spark, stream, list(keys), changes, path)
+    shape = "struct<" + ", ".join(f"`{v}`: {t}" for v, t in values.items()) + ">"
+    return current_rows(spark, versions, keys, shape).select(*keys, "payload.*")
 
 
 def parse_uri(uri: str) -> tuple[str, dict[str, str]]:

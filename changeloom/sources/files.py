@@ -11,9 +11,12 @@ from changeloom.operators.ordering import op_order
 _PATH = r"([^/]+)/([^/]+)/(\d+)(?:/(\d+))?(?:/(\d{4}(?:-\d{2}(?:-\d{2})?)?))?/CDC(\d{6,20})\.(\w+)$"
 
 
-def path_columns(path: Column) -> list[Column]:
-    """The parts of a data file's path; null where the layout does not have one."""
-    part = lambda i: F.nullif(F.regexp_extract(path, _PATH, i), F.lit(""))
+def path_columns(path: Column, partitioned: bool = True) -> list[Column]:
+    """The parts of a data file's path; null where the layout does not have one.
+    A layout by year needs ``partitioned`` false if it has no partition folders,
+    as a year looks like one."""
+    form = _PATH if partitioned else _PATH.replace(r"(?:/(\d+))?", "()", 1)
+    part = lambda i: F.nullif(F.regexp_extract(path, form, i), F.lit(""))
     return [
         part(1).alias("schema"), part(2).alias("table"), part(3).cast("bigint").alias("version"), part(4).cast("bigint").alias("partition"),
         part(5).alias("date"), part(6).cast("bigint").alias("file_no"), part(7).alias("extension"),
@@ -34,10 +37,10 @@ def new_files(before: DataFrame, now: DataFrame) -> DataFrame:
     return j.where(F.col("last") > F.coalesce("done", F.lit(0))).select(*keys, (F.coalesce("done", F.lit(0)) + 1).alias("from_no"), F.col("last").alias("to_no"))
 
 
-def read_storage(spark: SparkSession, root: str) -> DataFrame:
+def read_storage(spark: SparkSession, root: str, partitioned: bool = True) -> DataFrame:
     """Lines of all data files with their path columns."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "CDC*").text(root)
-    return lines.select("value", *path_columns(F.col("_metadata.file_path")))
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "CDC[0-9]*").text(root)
+    return lines.select("value", *path_columns(F.col("_metadata.file_path"), partitioned))
 
 
 def read_messages(spark: SparkSession, root: str, schema: str) -> DataFrame:

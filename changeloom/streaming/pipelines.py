@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.session import work_path
+from changeloom.session import list_names, read_text, remove_path, work_path, write_text
 from changeloom.streaming.upsert import stream_files
 
 
@@ -53,29 +53,47 @@ class ResolvedBuffer:
     """Releases rows once the data's own watermark has passed them.
 
     Rows wait in ``pending/version=N`` until a batch brings a resolved ts at or
-    above their commit_ts; released ones go to ``out/version=N``. The watermark
-    never goes back and a batch that runs again overwrites its own folders. Rows
-    at or below the watermark when they arrive are late and are dropped.
+    above their commit_ts; released ones go to ``out/version=N`` and rows at or
+    below the watermark when they arrive to ``late/version=N``. The watermark of
+    batch N is stored in ``marks/N``: it never goes back, another driver goes on
+    from it, and a batch that runs again overwrites its own folders.
     """
 
     def __init__(self, spark: SparkSession, schema: str, root: str | None = None):
         self.spark, self.schema = spark, schema
         self.root = root or work_path(spark, "resolved")
-        self.marks: dict[int, int] = {-1: 0}
+
+    def mark(self, batch_id: int) -> int:
+        """The watermark after a batch, 0 before the first."""
+        return int(read_text(self.spark, f"{self.root}/marks/{batch_id}") or 0)
+
+    def last_batch(self) -> int:
+        return max((int(n) for n in list_names(self.spark, f"{self.root}/marks") if n.isdigit()), default=-1)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        before = self.marks[batch_id - 1]
+        before = self.mark(batch_id - 1)
         batch = batch.persist()
         top = batch.where("kind = 'resolved'").agg(F.max("commit_ts")).first()[0] or 0
         mark = max(before, top)
         cols = [c for c in batch.columns if c != "kind"]
-        rows = batch.where("kind = 'row'").where(F.col("commit_ts") > before).select(*cols)
-        if batch_id:
+        arrived = batch.where("kind = 'row'").select(*cols)
+        rows = arrived.where(F.col("commit_ts") > before)
+        if f"version={batch_id - 1}" in list_names(self.spark, f"{self.root}/pending"):
             rows = rows.unionByName(self.spark.read.schema(self.schema).parquet(f"{self.root}/pending/version={batch_id - 1}"))
-        rows.where(F.col("commit_ts") > mark).write.mode("overwrite").parquet(f"{self.root}/pending/version={batch_id}")
-        rows.where(F.col("commit_ts") <= mark).write.mode("overwrite").parquet(f"{self.root}/out/version={batch_id}")
+        put = lambda d, part: d.write.mode("overwrite").parquet(f"{self.root}/{part}/version={batch_id}")
+        put(rows.where(F.col("commit_ts") > mark), "pending")
+        put(rows.where(F.col("commit_ts") <= mark), "out")
+        put(arrived.where(F.col("commit_ts") <= before), "late")
         batch.unpersist()
-        self.marks[batch_id] = mark
+        write_text(self.spark, f"{self.root}/marks/{batch_id}", str(mark))
+        # a batch only reads the one before
+        remove_path(self.spark, f"{self.root}/pending/version={batch_id - 2}")
+
+    def _read(self, part: str) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, version bigint").parquet(f"{self.root}/{part}")
 
     def released(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, version bigint").parquet(f"{self.root}/out")
+        return self._read("out")
+
+    def late(self) -> DataFrame:
+        return self._read("late")

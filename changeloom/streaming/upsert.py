@@ -16,6 +16,11 @@ Sequence: (commit_ts, rank, start_ts), where within one commit_ts a delete has
 rank 0, the removal of the old key by an update 1, the write of an update 2 and
 an insert 3.
 
+:func:`compact` folds the written versions into one, without tombstones: the
+state store still knows the newest change of every key, so a later version only
+brings newer ones. The state itself keeps one row per key ever seen, tombstones
+included, since a change may arrive any time later.
+
 Defined results: rows with neither image or without commit_ts are ignored; of
 equal sequences (repeats) the greatest payload stays; an empty log gives an
 empty table; a log that holds only tombstones too.
@@ -27,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.functions import rowimage as R
-from changeloom.session import remove_path, work_path
+from changeloom.session import list_names, remove_path, work_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Set for the run: state in RocksDB, with one bound for all stores of an
@@ -109,20 +114,44 @@ def apply_feed(
     return out
 
 
-def current_rows(spark: SparkSession, versions: str, key_types: dict[str, str]) -> DataFrame:
+_SEQ = "seq struct<commit_ts: bigint, rank: int, start_ts: bigint>"
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return sorted(int(n.removeprefix(prefix)) for n in list_names(spark, path) if n.startswith(prefix))
+
+
+def _newest_rows(spark: SparkSession, versions: str, key_types: dict[str, str], payload: str) -> tuple[DataFrame, int]:
+    """Newest change per key with tombstones, and the last version in it."""
+    schema = ", ".join([*(f"`{k}` {t}" for k, t in key_types.items()), _SEQ, f"payload {payload}"])
+    done = [n for n in _numbers(spark, versions, "through=") if "_SUCCESS" in list_names(spark, f"{versions}/through={n}")]
+    after = [n for n in _numbers(spark, versions, "version=") if not done or n > done[-1]]
+    parts = [f"{versions}/through={done[-1]}"] if done else []
+    parts += [f"{versions}/version={n}" for n in after]
+    if not parts:
+        return spark.createDataFrame([], schema), -1
+    rows = spark.read.schema(schema).parquet(*parts)
+    # one batch or one compacted part has each key once
+    return (newest(rows, list(key_types)) if len(parts) > 1 else rows), (after or done)[-1]
+
+
+def current_rows(spark: SparkSession, versions: str, key_types: dict[str, str], payload: str = "string") -> DataFrame:
     """The present table: keys, ``commit_ts`` of the writing change, payload."""
-    fields = ", ".join(f"`{k}` {t}" for k, t in key_types.items())
-    seq = "seq struct<commit_ts: bigint, rank: int, start_ts: bigint>"
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(versions)
-    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
-        changes = spark.createDataFrame([], f"{fields}, {seq}, payload string")
-        many = False
-    else:
-        changes = spark.read.schema(f"{fields}, {seq}, payload string, version bigint").parquet(versions)
-        many = len(list(root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root))) > 1
-    last = newest(changes, list(key_types)) if many else changes
-    return last.where("payload is not null").select(*key_types, F.col("seq.commit_ts").alias("commit_ts"), "payload")
+    rows, _ = _newest_rows(spark, versions, key_types, payload)
+    return rows.where("payload is not null").select(*key_types, F.col("seq.commit_ts").alias("commit_ts"), "payload")
+
+
+def compact(spark: SparkSession, versions: str, key_types: dict[str, str], payload: str = "string") -> None:
+    """Fold all written versions into ``through=<last>`` and delete them. A try
+    that was cut off leaves a folder without its mark, which is not read."""
+    rows, last = _newest_rows(spark, versions, key_types, payload)
+    if last < 0 or f"through={last}" in list_names(spark, versions) and f"version={last}" not in list_names(spark, versions):
+        return
+    rows.where("payload is not null").write.mode("overwrite").parquet(f"{versions}/through={last}")
+    for prefix, ends in (("version=", last), ("through=", last - 1)):
+        for n in _numbers(spark, versions, prefix):
+            if n <= ends:
+                remove_path(spark, f"{versions}/{prefix}{n}")
 
 
 def stream_files(spark: SparkSession, reader, path: str) -> DataFrame:

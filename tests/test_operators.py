@@ -207,12 +207,6 @@ def test_spans_over_blocks(spark, monkeypatch, block):
     assert sorted(((r["t"], r["holes"]) for r in P.coverage(df, ["t"]).collect()), key=repr) == sorted(holes, key=repr)
 
 
-def test_scan_window_fold(spark):
-    rows = [(1, i, u) for i, u in enumerate([95, 75, 50, 15, 5])]
-    df = spark.createDataFrame(rows, "k int, i int, u int")
-    assert P.scan_windows(df, ["k"], "i", "u").first()["interval_ms"] == 1875  # 5000 -> 1250 -> 1000 -> 1000 -> 1250 -> 1875
-
-
 def test_resolved_buffer_over_batches(spark):
     buffer = ST.ResolvedBuffer(spark, "k int, commit_ts bigint")
     batch = lambda rows: spark.createDataFrame(rows, "kind string, k int, commit_ts bigint")
@@ -225,13 +219,64 @@ def test_resolved_buffer_over_batches(spark):
     assert got == [(0, 1), (3, 2), (3, 4)]
 
 
-def test_snapshot_sink_replays_a_batch(spark, tmp_path):
-    sink = W.SnapshotSink(str(tmp_path / "s"), ["k"], ["v"], [F.col("n")], "k int, v int")
-    batch = lambda rows: spark.createDataFrame(rows, "k int, n int, op string, v int")
-    sink(batch([(1, 1, "I", 10), (2, 1, "I", 20)]), 0)
-    for _ in range(2):
-        sink(batch([(1, 2, "U", 11), (2, 2, "D", None), (3, 1, "I", 30)]), 1)
-    assert sorted(map(tuple, sink.table(spark).collect())) == [(1, 11), (3, 30)]
+def test_resolved_buffer_goes_on_after_a_restart(spark, tmp_path):
+    batch = lambda rows: spark.createDataFrame(rows, "kind string, k int, commit_ts bigint")
+    new = lambda: ST.ResolvedBuffer(spark, "k int, commit_ts bigint", str(tmp_path / "b"))
+    new()(batch([("row", 1, 10), ("row", 2, 30), ("resolved", 0, 15)]), 0)
+    new()(batch([("row", 3, 12), ("resolved", 0, 40)]), 1)
+    assert sorted((r["version"], r["k"]) for r in new().released().collect()) == [(0, 1), (1, 2)]
+    assert [r["k"] for r in new().late().collect()] == [3] and new().last_batch() == 1
+
+
+def test_table_sink_over_batches(spark, tmp_path):
+    """Batches out of order, one of them twice; then all versions in one."""
+    from changeloom.streaming import upsert
+
+    schema = "k int, commit_ts bigint, start_ts bigint, op string, v int"
+    path, job = str(tmp_path / "in"), str(tmp_path / "job")
+    put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    run = lambda: W.apply_to_table(spark, spark.readStream.schema(schema).parquet(path), {"k": "int"}, {"v": "int"}, O.op_order(), job)
+    put([(1, 20, 1, "U", 11), (2, 20, 1, "D", None), (3, 20, 1, "I", 30)])
+    run()
+    put([(1, 10, 1, "I", 10), (2, 10, 1, "I", 20), (1, 20, 1, "U", 11)])
+    assert sorted(map(tuple, run().collect())) == [(1, 11), (3, 30)]
+    shape = "struct<v: int>"
+    upsert.compact(spark, f"{job}/versions", {"k": "int"}, shape)
+    upsert.compact(spark, f"{job}/versions", {"k": "int"}, shape)
+    now = upsert.current_rows(spark, f"{job}/versions", {"k": "int"}, shape)
+    assert sorted((r["k"], r["payload"]["v"]) for r in now.collect()) == [(1, 11), (3, 30)]
+    put([(3, 30, 1, "D", None), (4, 30, 1, "I", 40)])
+    assert sorted(map(tuple, run().collect())) == [(1, 11), (4, 40)]
+
+
+def test_changefeed_state_is_kept(spark, data, tmp_path):
+    redo = spark.read.parquet(f"{data}/redo_dml.parquet")
+    root, mid = str(tmp_path / "feed"), redo.agg(F.percentile_approx("commit_ts", 0.5)).first()[0]
+    new = lambda: Changefeed.create(spark, ChangefeedConfig("file:///x"), root)
+    assert new().run(redo, resolved_ts=mid) == mid
+    again = new()
+    assert again.checkpoint_ts == mid and again.batch == 1
+    again.batch = 0  # a run that was cut off before its state was kept
+    again.checkpoint_ts = 0
+    again.run(redo, resolved_ts=mid)
+    new().run(redo)
+    assert spark.read.parquet(root).count() == redo.count() and new().batch == 2
+
+
+def test_scan_window_rules():
+    from changeloom.operators.sequence import START_MS, ScanWindow
+
+    w = ScanWindow()
+    assert w.add(0, 95) == START_MS // 4 and w.add(1000, 5) == 1000  # the largest of the window counts
+    w = ScanWindow()
+    for t in range(0, 30_000, 1000):
+        last = w.add(t, 5)
+    assert last == START_MS * 3 // 2 and w.add(30_000, 5) == last  # grew once, then waits
+    w = ScanWindow()
+    got = [w.add(t * 1000, 31 + 4 * t) for t in range(9)]
+    assert got[:3] == [START_MS] * 3 and got[3:8] == [4500] * 5 and got[8] == 4050  # a rising usage damps every 5 s
+    w = ScanWindow(most_ms=5_500)
+    assert [w.add(t, 15) for t in range(0, 90_000, 1000)][-1] == 5_500
 
 
 def test_changefeed(spark, data, tmp_path):
@@ -261,6 +306,7 @@ def test_storage_layout(spark):
 
     paths = ["a/b/12/CDC000001.json", "x/a/b/12/3/2024-01-02/CDC000007.csv", "a/b/12/2024-01/CDC000002.json", "a/b/meta/schema_1.json"]
     got = [tuple(r) for r in spark.createDataFrame([(p,) for p in paths], "p string").select(*SF.path_columns(F.col("p"))).collect()]
+    assert [tuple(r) for r in spark.createDataFrame([("a/b/12/2024/CDC000002.csv",)], "p string").select(*SF.path_columns(F.col("p"), False)).collect()] == [("a", "b", 12, None, "2024", 2, "csv")]
     assert got == [("a", "b", 12, None, None, 1, "json"), ("a", "b", 12, 3, "2024-01-02", 7, "csv"), ("a", "b", 12, None, "2024-01", 2, "json"), (None,) * 7]
 
 
@@ -384,3 +430,36 @@ def test_hot_keys_are_ordered_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(O, "HOT_ROWS", 100)
     monkeypatch.setattr(O, "BLOCK_ROWS", 16)
     assert [sorted(map(repr, map(tuple, x.select(*sorted(x.columns)).collect()))) for x in results()] == plain
+
+
+def test_storage_files(spark, tmp_path):
+    from changeloom.sources import files as SF
+
+    root = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"r{i}", "d b", "t", 7, i) for i in range(25)], "line string, schema string, table string, version int, n int")
+    d = E.table_definition(T, "CREATE TABLE t", 3, 7)
+    assert W.write_storage(rows.where("n < 20"), root, "line", ["schema", "table", "version"], [F.col("n")], 10, "csv", 99, {("d b", "t", 7): d}) >= 2
+    W.write_storage(rows.where("n >= 20"), root, "line", ["schema", "table", "version"], [F.col("n")], 10, "csv")
+    names = sorted(p.name for p in (tmp_path / "out/d b/t/7").glob("CDC*"))
+    assert names == [f"CDC{i + 1:06d}.csv" for i in range(len(names))]
+    assert (tmp_path / "out/d b/t/7/meta/CDC.index").read_text() == names[-1] + "\n"
+    assert json.loads((tmp_path / "out/metadata").read_text()) == {"checkpoint-ts": 99}
+    schema = tmp_path / f"out/d b/t/meta/schema_7_{E.definition_checksum(d):010d}.json"
+    assert json.loads(schema.read_text()) == d and not list((tmp_path / "out").glob("_staging*"))
+    lines = [(tmp_path / "out/d b/t/7" / n).read_text().split() for n in names]
+    assert [x for part in lines for x in part] == [f"r{i}" for i in range(25)]
+    back = SF.read_storage(spark, root)
+    assert back.count() == 25 and {tuple(r) for r in back.select("schema", "table", "version").distinct().collect()} in ({("d b", "t", 7)}, {("d%20b", "t", 7)})
+
+
+def test_avro_binary_edges(spark):
+    table = Table("d", "t", (Col("id", "bigint", True, False), Col("s", "varchar"), Col("x", "bigint")))
+    values = [(0, "", None), (-1, "é𝄞" * 100, 1), (2**63 - 1, None, -(2**63)), (-(2**63), "a", 63), (64, "b", -64)]
+    df = spark.createDataFrame([("I", *v) for v in values] + [("D", 1, None, None)], "op string, post_id bigint, post_s string, post_x bigint")
+    frames = df.select(E.avro_frame(F.lit(5), E.avro_binary(table)).alias("f"))
+    got = frames.select(E.avro_decode(E.avro_schema(table))(F.col("f")).alias("x")).select("x.*").collect()
+    assert [(r["schema_id"], r["record"] and tuple(json.loads(r["record"]).values())) for r in got] == [(5, v) for v in values] + [(None, None)]
+    first = bytes(frames.first()["f"])
+    assert first.hex() == "0000000005" + "00" + "0200" + "00"
+    cut = spark.createDataFrame([(first[:6],), (b"\1" + first[1:],), (b"",)], "f binary").select(E.avro_decode(E.avro_schema(table))(F.col("f")).alias("x"))
+    assert [r["x"]["record"] for r in cut.collect()] == [None] * 3
