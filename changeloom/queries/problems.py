@@ -98,6 +98,31 @@ def p2_leftover(spark: SparkSession, d: str) -> DataFrame:
     return every.groupBy("topic").agg(F.count_if(F.col("reason") == "undeclared").alias("undeclared"), F.count_if(F.col("reason") == "not cast").alias("not_cast"))
 
 
+def p2_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Fields that have several types within one file."""
+    rows = schema_drift.conflicts(_read(spark, d, "sink_message"))
+    return rows.select("topic", "file_seq", "field", F.array_join("types", ",").alias("types"))
+
+
+def p2_unread(spark: SparkSession, d: str) -> DataFrame:
+    """Messages that give no fields, and why."""
+    return schema_drift.unread(_read(spark, d, "sink_message"))
+
+
+def p2_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Schema versions that do not stand for one field list."""
+    return schema_drift.version_mismatches(_read(spark, d, "sink_message"))
+
+
+def p2_footers(spark: SparkSession, d: str) -> DataFrame:
+    """Changes between the stored files of the change-stream tables, from their
+    footers only: the files of a table in order, then those of its copy."""
+    tables = {"redo_dml": "redo", "sink_message": "messages", "sbtest_upstream": "sbtest", "sbtest_downstream": "sbtest"}
+    files = [(topic, n, path) for topic in sorted(set(tables.values())) for n, path in enumerate(p for t, x in tables.items() if x == topic for p in sorted(_read(spark, d, t).inputFiles()))]
+    rows = schema_drift.drift_of(schema_drift.footer_fields(spark.createDataFrame(files, "topic string, file_seq int, path string")))
+    return schema_drift.catalogue(rows)
+
+
 DIFF = copy_diff.DiffPlan(
     fields=("k", "c", "pad", "balance", "score", "attrs", "updated_at"), trim=("c", "pad"), json=("attrs",), tolerance={"score": 1e-6}
 )
@@ -153,7 +178,7 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p1_batches": p1_batches, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
-    "p2_table": p2_table, "p2_leftover": p2_leftover, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
+    "p2_table": p2_table, "p2_leftover": p2_leftover, "p2_conflicts": p2_conflicts, "p2_unread": p2_unread, "p2_versions": p2_versions, "p2_footers": p2_footers, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
     "p5_found": p5_found, "p5_rows": p5_rows,
 }
 

@@ -206,6 +206,32 @@ def test_p2_every_message_and_column(spark):
     assert left == {(1, "u", "x", "undeclared"), (3, "a", "no number", "not cast")} | {(i, f, v, "undeclared") for i in (4, 5) for f, v in (("a", "1"), ("b", "2"))}
 
 
+def test_p2_reports(spark, tmp_path):
+    a, b = [("a", "int32"), ("b", "string")], [("a", "int64"), ("b", "string")]
+    version = lambda body, n: json.dumps((x := json.loads(body)) | {"schema": x["schema"] | {"version": n}})
+    msgs = drift(spark, [("t", 1, "debezium", version(debezium(a), 1)), ("t", 1, "debezium", version(debezium(b), 1)), ("t", 2, "debezium", version(debezium(b), 2)), ("u", 1, "avro", version(avro(a), 7)),
+                         ("t", 3, "bare", None), ("t", 3, "bare", "no json"), ("t", 3, "other", "{}"), ("t", 3, "bare", "{}"), (None, 3, "bare", bare({"x": 1}))])
+    assert [tuple(r) for r in schema_drift.conflicts(msgs).collect()] == [("t", 1, "a", ["int32", "int64"])]
+    assert {(r["msg_id"], r["reason"]) for r in schema_drift.unread(msgs).collect()} == {(4, "no body"), (5, "no json"), (6, "unknown codec"), (7, "no fields"), (8, "no file")}
+    assert {tuple(r) for r in schema_drift.version_mismatches(msgs).collect()} == {("t", 1, 2, 2), ("t", 2, 1, 2)}
+    # Parquet footers
+    for n, cols in enumerate(("1 AS a, 'x' AS b", "1 AS a, 'x' AS c", "2L AS a, 'x' AS c")):
+        spark.sql(f"SELECT {cols}").coalesce(1).write.parquet(str(tmp_path / str(n)))
+    paths = [(n, spark.read.parquet(str(tmp_path / str(n))).inputFiles()[0]) for n in range(3)]
+    files = spark.createDataFrame([("t", n, p) for n, p in paths] + [("t", 9, "file:///nowhere"), ("t", 9, None)], "topic string, file_seq int, path string")
+    log = schema_drift.changes(schema_drift.drift_of(schema_drift.footer_fields(files)))
+    assert {(r["file_seq"], r["change_kind"], r["field_name"], r["old_name"]) for r in log.collect()} == {(1, "renamed", "c", "b"), (2, "retyped", "a", "")}
+
+
+def test_p2_inexact_numbers_are_reported(spark):
+    msgs = drift(spark, [("t", 1, "bare", bare({"a": 2**60 + 1})), ("t", 2, "bare", bare({"a": 1.5})), ("t", 3, "bare", bare({"a": 7}))])
+    r = schema_drift.drift_rows(msgs)
+    names = schema_drift.column_names(r, schema_drift.changes(r))
+    parts = (msgs, r, names, schema_drift.unified_schema(r, names))
+    assert {x["msg_id"]: x["value"] for x in schema_drift.unified_rows(*parts).collect()} == {0: None, 1: "1.5", 2: "7.0"}
+    assert [(x["msg_id"], x["reason"]) for x in schema_drift.left_over(*parts).collect()] == [(0, "not cast")]
+
+
 def test_p2_chain_of_names(spark):
     names = ["a", "b", "c", "d", "e", "f"]
     rows = [("t", i, "bare", bare({n: 1})) for i, n in enumerate(names)] + [("t", 6, "bare", bare({"f": 1, "a": "s"}))]
