@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.operators.ordering import place_in_key
+from changeloom.operators.schemas import asof_join
 from changeloom.session import materialize
 
 #: Over-full blocks hold at least 1 / MAX_FULL of all rows each.
@@ -207,3 +208,39 @@ def diff(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> DataFram
         .otherwise(F.transform(F.array_compact(F.array(*kinds)), lambda f: F.struct(F.lit("differs").alias("kind"), f.alias("field"))))
     )
     return pairs.select(*plan.keys, F.explode(found).alias("d")).select(*plan.keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))
+
+
+def recorded_chunks(chunks: DataFrame, source: str, target: str) -> DataFrame:
+    """``schema_name, table_name, chunk_id, lo, hi, state, recorded_equal`` of an
+    earlier comparison: the newest row of each chunk and instance. A checksum is
+    written in decimal or hexadecimal digits, so two are equal if they are in any
+    reading; null if one is missing."""
+    last = chunks.groupBy("schema_name", "table_name", "chunk_id", "instance_id").agg(F.max_by(F.struct("chunk_range", "checksum", "state"), F.struct("update_time", "state", "checksum")).alias("x"))
+    bound = lambda op: F.regexp_extract("x.chunk_range", rf"`\w+` {op} (-?\d+)", 1).try_cast("bigint")
+    text = F.lower(F.trim("x.checksum"))
+    readings = F.array_compact(F.array(F.when(text.rlike("^[0-9]+$"), text.try_cast("decimal(20,0)")), F.when(text.rlike("^[0-9a-f]{1,16}$"), F.conv(text, 16, 10).try_cast("decimal(20,0)"))))
+    rows = last.select("schema_name", "table_name", "chunk_id", "instance_id", bound(">=").alias("lo"), bound("<").alias("hi"), "x.state", readings.alias("sums"))
+    of = lambda which, what: F.max(F.when(F.col("instance_id") == which, F.col(what)))
+    both = rows.groupBy("schema_name", "table_name", "chunk_id").agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"), F.coalesce(of(source, "state"), of(target, "state")).alias("state"), of(source, "sums").alias("a"), of(target, "sums").alias("b"))
+    known = (F.coalesce(F.size("a"), F.lit(0)) > 0) & (F.coalesce(F.size("b"), F.lit(0)) > 0)
+    return both.withColumn("recorded_equal", F.when(known, F.arrays_overlap("a", "b"))).drop("a", "b")
+
+
+def recheck(found: DataFrame, chunks: DataFrame, upstream: DataFrame, downstream: DataFrame, key: str) -> DataFrame:
+    """Adds to each recorded chunk its rows on both sides now, the keys in it that
+    differ now, and whether the recorded state still holds. Keys meet their chunk
+    by an as-of join on the lower bound."""
+    keys = ["schema_name", "table_name"]
+    table = F.xxhash64(*keys).alias("tbl")
+    rows = upstream.select(*keys, key, F.lit(0).alias("side")).unionByName(downstream.select(*keys, key, F.lit(1).alias("side")))
+    rows = rows.unionByName(found.select(*keys, key, F.lit(2).alias("side")).distinct()).where(F.col(key).isNotNull())
+    lowest = rows.groupBy(table).agg(F.min(key).alias("least"))
+    known = materialize(chunks.withColumn("tbl", table).join(lowest, "tbl", "left"), "recorded")
+    spans = known.select("tbl", F.coalesce("lo", F.least("least", F.col("hi") - 1), F.lit(0)).alias("from_ts"), F.col("hi").alias("to_ts"), F.col("chunk_id").alias("version"))
+    per = rows.groupBy(table, key, "side").agg(F.count("*").alias("n"))
+    placed = asof_join(per, spans, "tbl", key)
+    n = lambda side: F.sum(F.when(F.col("side") == side, F.col("n"))).alias(f"n{side}")
+    counts = placed.groupBy("tbl", F.col("version").alias("chunk_id")).agg(n(0), n(1), F.count_if(F.col("side") == 2).alias("n2"))
+    out = known.join(counts, ["tbl", "chunk_id"], "left").na.fill(0, ["n0", "n1", "n2"])
+    return out.select(*keys, "chunk_id", "state", "recorded_equal", F.col("n0").alias("rows_upstream"), F.col("n1").alias("rows_downstream"), F.col("n2").alias("keys_differ"),
+                      F.when(F.col("state").isin("success", "failed"), (F.col("state") == "success") == (F.col("n2") == 0)).alias("state_holds"))

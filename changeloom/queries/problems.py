@@ -147,6 +147,14 @@ def p3_recheck(spark: SparkSession, d: str) -> DataFrame:
     return then.join(states, ["schema_name", "table_name"], "left").join(now, ["schema_name", "table_name"], "left").na.fill(0)
 
 
+def p3_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk of the earlier check: what its checksums and state recorded,
+    and the rows and differing keys in its range now."""
+    up, down = _read(spark, d, "sbtest_upstream"), _read(spark, d, "sbtest_downstream")
+    recorded = copy_diff.recorded_chunks(_read(spark, d, "chunk"), "source-1", "target-1")
+    return copy_diff.recheck(p3_found(spark, d), recorded, up, down, "id")
+
+
 def _table_name() -> list:
     return [R.clean_name(F.col("tbl.db_name")).alias("db_name"), R.clean_name(F.col("tbl.tbl_name")).alias("tbl_name"), "commit_ts"]
 
@@ -178,7 +186,7 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p1_batches": p1_batches, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
-    "p2_table": p2_table, "p2_leftover": p2_leftover, "p2_conflicts": p2_conflicts, "p2_unread": p2_unread, "p2_versions": p2_versions, "p2_footers": p2_footers, "p3_found": p3_found, "p3_recheck": p3_recheck, "p4_found": p4_found, "p4_tables": p4_tables,
+    "p2_table": p2_table, "p2_leftover": p2_leftover, "p2_conflicts": p2_conflicts, "p2_unread": p2_unread, "p2_versions": p2_versions, "p2_footers": p2_footers, "p3_found": p3_found, "p3_recheck": p3_recheck, "p3_chunks": p3_chunks, "p4_found": p4_found, "p4_tables": p4_tables,
     "p5_found": p5_found, "p5_rows": p5_rows,
 }
 
@@ -213,6 +221,19 @@ _P5 = f"""WITH m AS (SELECT tbl.tbl_id AS tbl_id, commit_ts, start_ts, {_ROW} AS
   l AS (SELECT *, row_number() OVER (PARTITION BY tbl_id, row_key ORDER BY commit_ts DESC, rnk DESC, start_ts DESC) AS rn FROM c)
 SELECT tbl_id, row_key, commit_ts FROM l WHERE rn = 1 AND alive"""
 
+_LAST_CHUNK = "SELECT *, row_number() OVER (PARTITION BY schema_name, table_name, chunk_id, instance_id ORDER BY update_time DESC NULLS LAST, state DESC NULLS LAST, checksum DESC NULLS LAST) AS rn FROM chunk"
+_READINGS = """list_filter([CASE WHEN regexp_full_match(t, '[0-9]+') THEN CAST(t AS HUGEINT) END, CASE WHEN regexp_full_match(t, '[0-9a-f]{1,16}') THEN CAST(CAST('0x' || t AS UBIGINT) AS HUGEINT) END], lambda x: x IS NOT NULL)"""
+_P3_CHUNKS = f"""WITH l AS ({_LAST_CHUNK}), c AS (SELECT *, lower(trim(checksum)) AS t, TRY_CAST(nullif(regexp_extract(chunk_range, '`\\w+` >= (-?\\d+)', 1), '') AS BIGINT) AS lo, TRY_CAST(nullif(regexp_extract(chunk_range, '`\\w+` < (-?\\d+)', 1), '') AS BIGINT) AS hi FROM l WHERE rn = 1),
+  s AS (SELECT schema_name, table_name, chunk_id, max(lo) AS lo, min(hi) AS hi, coalesce(max(state) FILTER (instance_id = 'source-1'), max(state) FILTER (instance_id = 'target-1')) AS state,
+    max(t) FILTER (instance_id = 'source-1') AS ta, max(t) FILTER (instance_id = 'target-1') AS tb FROM c GROUP BY 1, 2, 3),
+  r AS (SELECT *, {_READINGS.replace('t ', 'ta ').replace('(t,', '(ta,').replace('|| t ', '|| ta ')} AS a, {_READINGS.replace('t ', 'tb ').replace('(t,', '(tb,').replace('|| t ', '|| tb ')} AS b FROM s),
+  f AS (SELECT DISTINCT schema_name, table_name, id FROM ({_P3})), u AS (SELECT schema_name, table_name, id, count(*) AS n FROM sbtest_upstream GROUP BY 1, 2, 3), w AS (SELECT schema_name, table_name, id, count(*) AS n FROM sbtest_downstream GROUP BY 1, 2, 3),
+  q AS (SELECT schema_name, table_name, chunk_id, state, CASE WHEN len(a) > 0 AND len(b) > 0 THEN list_has_any(a, b) END AS recorded_equal,
+  coalesce((SELECT sum(n) FROM u WHERE u.schema_name = r.schema_name AND u.table_name = r.table_name AND (lo IS NULL OR id >= lo) AND (hi IS NULL OR id < hi)), 0)::BIGINT AS rows_upstream,
+  coalesce((SELECT sum(n) FROM w WHERE w.schema_name = r.schema_name AND w.table_name = r.table_name AND (lo IS NULL OR id >= lo) AND (hi IS NULL OR id < hi)), 0)::BIGINT AS rows_downstream,
+  (SELECT count(*) FROM f WHERE f.schema_name = r.schema_name AND f.table_name = r.table_name AND (lo IS NULL OR id >= lo) AND (hi IS NULL OR id < hi)) AS keys_differ FROM r)
+SELECT *, CASE WHEN state IN ('success', 'failed') THEN (state = 'success') = (keys_differ = 0) END AS state_holds FROM q"""
+
 SQL = {
     "p1_found": f"SELECT start_ts, commit_ts, tbl_id, row_key, op FROM ({_MESSAGES}) GROUP BY ALL HAVING count(*) > 1",
     "p1_messages": f"""WITH r AS (SELECT *, row_number() OVER w AS rn, count(*) OVER (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op) AS copies FROM ({_MESSAGES}) WINDOW w AS (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op ORDER BY log_id))
@@ -221,6 +242,12 @@ SELECT log_id, log_file, delivered_at, start_ts, commit_ts, db_name, tbl_name, t
 r AS (SELECT *, row_number() OVER (PARTITION BY start_ts, commit_ts, tbl_id, row_key, op ORDER BY turn, log_id) AS rn FROM m)
 SELECT log_id, start_ts, commit_ts, tbl_id, row_key, op, turn FROM r WHERE rn = 1""",
     "p3_found": _P3,
+    "p3_chunks": _P3_CHUNKS,
+    "p3_recheck": f"""WITH d AS ({_P3}), n AS (SELECT schema_name, table_name, count(*) FILTER (diff_kind = 'missing_upstream') AS missing_upstream, count(*) FILTER (diff_kind = 'missing_downstream') AS missing_downstream,
+    count(*) FILTER (diff_kind = 'differs') AS differing_fields FROM d GROUP BY 1, 2), t AS (SELECT schema_name, table_name, max(check_failed_num) AS failed_chunks_then FROM summary GROUP BY 1, 2),
+  c AS (SELECT schema_name, table_name, count(DISTINCT CASE WHEN state = 'failed' THEN chunk_id END) AS failed_states_then FROM chunk GROUP BY 1, 2)
+SELECT t.schema_name, t.table_name, coalesce(failed_chunks_then, 0) AS failed_chunks_then, coalesce(failed_states_then, 0) AS failed_states_then, coalesce(missing_upstream, 0) AS missing_upstream, coalesce(missing_downstream, 0) AS missing_downstream,
+  coalesce(differing_fields, 0) AS differing_fields FROM t LEFT JOIN c USING (schema_name, table_name) LEFT JOIN n USING (schema_name, table_name)""",
     "p4_found": f"WITH t AS ({_NAMES}) SELECT db_name, tbl_name FROM t WHERE n_rows >= 0.03 * (SELECT sum(n_rows) FROM t)",
     "p4_tables": _NAMES,
     "p5_found": _P5,
