@@ -7,14 +7,17 @@ back. All are built-in expressions, so a codec is one projection.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from changeloom.functions import scalars as S
 from changeloom.functions.codecs.model import TYPE_CODES, Col, Table, flags, image, json
-from changeloom.operators.ordering import BLOCK_ROWS, place_in_key, same_keys
+from changeloom.operators.ordering import BLOCK_ROWS, place_in_key, same_keys, split_hot
 from changeloom.session import materialize
 
 
@@ -394,12 +397,69 @@ def definition_checksum(d: dict) -> int:
     return zlib.crc32(text.encode())
 
 
+# frames between processes
+
+#: Magic of a frame, a fixed value.
+WIRE_MAGIC = "DA7A6A6A"
+
+
+def wire_frame(kind: Column, version: Column, payload: Column) -> Column:
+    """Magic (4 bytes), kind (2), version (2), length (8) and the payload; numbers
+    are big-endian."""
+    number = lambda v, size: F.lpad(F.hex(v.cast("bigint")), size * 2, "0")
+    return F.concat(F.unhex(F.concat(F.lit(WIRE_MAGIC), number(kind, 2), number(version, 2), number(F.length(payload), 8))), payload)
+
+
+def wire_parts(frame: Column) -> Column:
+    """``kind, version, payload`` of a frame; null for a frame of another magic or
+    whose payload is not as long as it says."""
+    number = lambda at, size: F.conv(F.hex(F.substring(frame, at, size)), 16, 10).cast("bigint")
+    good = (F.length(frame) >= 16) & (F.hex(F.substring(frame, 1, 4)) == WIRE_MAGIC) & (number(9, 8) == F.length(frame) - 16)
+    return F.when(good, F.struct(number(5, 2).cast("int").alias("kind"), number(7, 2).cast("int").alias("version"), F.substring(frame, F.lit(17), F.length(frame)).alias("payload")))
+
+
+def transaction_messages(df: DataFrame, txn: list[str], order: list[Column], line: Column, max_bytes: int) -> DataFrame:
+    """One message per transaction, its lines in order and each ended by a
+    newline; a transaction above ``max_bytes`` becomes several, numbered ``part``."""
+    rows = df.withColumn("__line", F.concat(line, F.lit("\n")))
+    names = [f"__t{i}" for i in range(len(order))]
+    rows = rows.withColumns(dict(zip(names, order)))
+    cut = batch_messages(rows, txn, [F.col(n) for n in names], F.octet_length("__line"), max_bytes, 100_000)
+    lines = F.array_sort(F.collect_list(F.struct(*names, "__line")))
+    return cut.groupBy(*txn, F.col("batch").alias("part")).agg(F.array_join(F.transform(lines, lambda x: x["__line"]), "").alias("message"), F.count("*").alias("n_lines"))
+
+
 # message shapes
 
 
 def batch_messages(df: DataFrame, keys: list[str], order: list[Column], size: Column, max_bytes: int, max_rows: int) -> DataFrame:
     """Adds ``batch``, from 0 per key: greedy packing in order; a batch ends before
-    it would exceed the limits.
+    it would exceed the limits. The order decides each batch, so the rows of a key
+    stream through one task in Arrow batches; hot keys are cut in blocks."""
+    rows, hot = split_hot(df.withColumn("__size", F.coalesce(size, F.lit(0)).cast("bigint")), keys)
+    names = [f"__b{i}" for i in range(len(order))]
+    placed = rows.withColumns(dict(zip(names, order))).repartition(*keys).sortWithinPartitions(*keys, *names).drop(*names)
+    at = [df.columns.index(k) for k in keys]
+
+    def fold(batches):
+        key, batch, used, n = None, 0, 0, 0
+        for b in batches:
+            out = []
+            for *now, s in zip(*(b.column(i).to_pylist() for i in at), b.column("__size").to_pylist()):
+                if now != key:
+                    key, batch, used, n = now, 0, 0, 0
+                elif n and (used + s > max_bytes or n == max_rows):
+                    batch, used, n = batch + 1, 0, 0
+                used, n = used + s, n + 1
+                out.append(batch)
+            yield b.drop_columns(["__size"]).append_column("batch", pa.array(out, pa.int64()))
+
+    out = placed.mapInArrow(fold, T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())]))
+    return out if hot is None else out.unionByName(_batches_in_blocks(hot, keys, order, max_bytes, max_rows))
+
+
+def _batches_in_blocks(df: DataFrame, keys: list[str], order: list[Column], max_bytes: int, max_rows: int) -> DataFrame:
+    """:func:`batch_messages` of hot keys.
 
     Where a batch ends depends only on where it started, so every row points to
     the first row of the batch after one that starts there. Rows are numbered by a
@@ -409,11 +469,8 @@ def batch_messages(df: DataFrame, keys: list[str], order: list[Column], size: Co
     the block after it is entered and how many batches that takes: a table of
     ``max_rows`` rows a block. The tables are followed in order per key (one short
     step a block), then every block is cut by itself."""
-    import numpy as np
-    from pyspark.sql import types as T
-
     block = max(BLOCK_ROWS, 4 * max_rows)
-    rows = place_in_key(df.withColumn("__size", size.cast("bigint")), keys, order, "__rn")
+    rows = place_in_key(df, keys, order, "__rn")
     rows = materialize(rows.withColumn("__own", F.floor(F.col("__rn") / F.lit(block))), "sized")
     halo = F.when((F.col("__rn") % block < max_rows) & (F.col("__own") > 0), F.array(F.col("__own"), F.col("__own") - 1)).otherwise(F.array(F.col("__own")))
     spread = rows.select(*keys, "__rn", "__size", F.explode(halo).alias("__blk"))

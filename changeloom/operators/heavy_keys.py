@@ -2,8 +2,8 @@
 
 Method: two-stage salted aggregation. The first pass counts the keys (with
 map-side combine) and keeps those above ``heavy_share`` of all rows, of which
-there are at most 1 / heavy_share. Rows of these get a random salt below
-``salts``, partial results are made per (key, salt), and the partials are merged
+there are at most 1 / heavy_share. Rows of these get a random salt, one of at
+least ``salts`` and of so many that a salt has ``salt_rows`` rows; partial results are made per (key, salt), and the partials are merged
 by key. No task gets more than a salt's share of a hot key, even for aggregates
 without map-side combine (exact distinct counts, where the salt follows the
 value so that partial distinct counts add up).
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 class SaltPlan:
     heavy_share: float = 0.01
     salts: int = 64
+    salt_rows: int = 10_000_000
     seed: int = 17
 
 
@@ -85,15 +86,16 @@ def salted_aggregate(df: DataFrame, keys: list[str], aggs: list[Agg], plan: Salt
     distinct = {a.value for a in aggs if a.kind == "distinct"}
     if len(distinct) > 1:
         raise ValueError("one distinct value column per call")
-    hot = heavy_keys(df, keys, plan.heavy_share).select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+    hot = heavy_keys(df, keys, plan.heavy_share)
+    hot = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.greatest(F.lit(plan.salts), F.ceil(F.col("__n") / F.lit(plan.salt_rows))).alias("__hot"))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
     if distinct:
-        salt = F.pmod(F.xxhash64(F.col(next(iter(distinct)))), F.lit(plan.salts)).cast("int")
+        salt = F.pmod(F.xxhash64(F.col(next(iter(distinct)))), F.col("__hot"))
     else:
-        salt = F.floor(F.rand(plan.seed) * plan.salts).cast("int")
+        salt = F.floor(F.rand(plan.seed) * F.col("__hot"))
     # at most 1 / heavy_share rows
-    marked = df.join(F.broadcast(hot), same, "left").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
+    marked = df.join(F.broadcast(hot), same, "left").withColumn("__salt", F.when(F.col("__hot").isNotNull(), salt).otherwise(F.lit(0)))
     partial = marked.groupBy(*keys, "__salt").agg(*_partials(aggs))
     return partial.groupBy(*keys).agg(*_merges(aggs))

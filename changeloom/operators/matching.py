@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.operators.ordering import row_numbers
@@ -21,6 +21,15 @@ def drop_stale(commits: DataFrame, span_start_ts: int) -> DataFrame:
     return commits.where(F.col("commit_ts") > span_start_ts)
 
 
+def store_events(events: DataFrame, order: list[Column], resolved_ts: int) -> DataFrame:
+    """The stored log: events above the resolved ts (those at or below it are
+    stored already), in ranges of the order and sorted within each file, so that
+    a later scan of a range of commit ts reads few row groups."""
+    names = [f"__o{i}" for i in range(len(order))]
+    keyed = events.where(F.col("commit_ts") > resolved_ts).select("*", *[c.alias(n) for c, n in zip(order, names)])
+    return materialize(keyed.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names), "events")
+
+
 def resume_scan(df: DataFrame, start_ts: int, end_ts: int, last_start_ts: int) -> DataFrame:
     """(start, end] by commit_ts, going on inside ``start_ts`` after a start_ts."""
     ts = F.col("commit_ts")

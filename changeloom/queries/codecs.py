@@ -56,11 +56,20 @@ def cd_canal_decode(spark, d):
     return E.canal_decode(m, T, "body")
 
 
-@q(f"{_IMG} SELECT commit_ts, count(*) AS n_lines, sum(length({_CANAL}) + 1) AS n_chars FROM r GROUP BY commit_ts")
+@q(f"{_IMG}, l AS (SELECT commit_ts, id, {_CANAL} || chr(10) AS line FROM r) SELECT commit_ts, CAST(0 AS BIGINT) AS part, string_agg(line, '' ORDER BY id) AS message, count(*) AS n_lines FROM l GROUP BY commit_ts")
 def cd_canal_txn(spark, d):
-    """Newline-ended rows of a transaction in one message, by its size."""
-    rows = _rows(spark, d).select("commit_ts", F.concat(E.canal_json(T, NOW, extension="_ext"), F.lit("\n")).alias("line"))
-    return rows.groupBy("commit_ts").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+    """The newline-ended rows of a transaction in one message."""
+    rows = _rows(spark, d).select("commit_ts", "id", E.canal_json(T, NOW, extension="_ext").alias("line"))
+    return E.transaction_messages(rows, ["commit_ts"], [F.col("id")], F.col("line"), 1 << 20)
+
+
+@q(f"{_IMG} SELECT id, CAST(CASE op WHEN 'D' THEN 3 WHEN 'U' THEN 2 ELSE 1 END AS INTEGER) AS kind, 1 AS version, op || '|' || CAST(id AS VARCHAR) AS payload, 16 + length(op || '|' || CAST(id AS VARCHAR)) AS n_bytes FROM r")
+def cd_wire(spark, d):
+    """Frames between processes, and back."""
+    body = F.encode(F.concat_ws("|", "op", "id"), "UTF-8")
+    frames = _rows(spark, d).select("id", E.wire_frame(F.when(F.col("op") == "D", 3).when(F.col("op") == "U", 2).otherwise(1), F.lit(1), body).alias("frame"))
+    x = frames.withColumn("x", E.wire_parts(F.col("frame")))
+    return x.select("id", "x.kind", "x.version", F.decode("x.payload", "UTF-8").alias("payload"), F.length("frame").alias("n_bytes"))
 
 
 def _oc(t: int, h: str, f: int):

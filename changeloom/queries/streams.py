@@ -11,6 +11,7 @@ from changeloom.operators import compaction as C
 from changeloom.operators import ordering as O
 from changeloom.operators import progress as P
 from changeloom.operators.sequence import scan_windows
+from changeloom.plans import extensions as X
 from changeloom.plans.changefeed import Changefeed, ChangefeedConfig
 from changeloom.plans.logs import ctes, log
 from changeloom.operators.rules import EventRule
@@ -125,21 +126,58 @@ def sk_ddlts(spark, d):
     return log(spark, d, "ddl_log").select("table_id", "job", start.alias("start_ts"), skip.alias("skip_dml"))
 
 
-@q(f"{OL}, a AS (SELECT c % 50 AS tbl, max(commit_ts) AS ts FROM orders_log WHERE k % 2 = 0 GROUP BY 1), b AS (SELECT c % 50 AS tbl, max(commit_ts) AS ts FROM orders_log WHERE k % 2 = 1 AND c % 50 > 5 GROUP BY 1) SELECT coalesce(a.tbl, b.tbl) AS tbl, greatest(coalesce(a.ts, 0), coalesce(b.ts, 0)) AS checkpoint_ts FROM a FULL JOIN b ON a.tbl = b.tbl")
+@q(f"{OL} SELECT c % 50 AS tbl, max(commit_ts) AS checkpoint_ts FROM orders_log WHERE k % 2 = 0 OR c % 50 > 5 GROUP BY 1")
 def sk_progress(spark, d):
-    o = log(spark, d, "orders_log").withColumn("tbl", F.col("c") % 50)
-    stored = o.where("k % 2 = 0").groupBy("tbl").agg(F.max("commit_ts").alias("ts"))
-    update = o.where("k % 2 = 1 and tbl > 5").groupBy("tbl").agg(F.max("commit_ts").alias("ts"))
-    return stored.unionByName(update).groupBy("tbl").agg(F.max("ts").alias("checkpoint_ts"))
+    """The progress table over three batches, the last of them run twice."""
+    o = log(spark, d, "orders_log").select((F.col("c") % 50).alias("tbl"), F.col("commit_ts").alias("checkpoint_ts"), "k")
+    per = lambda rows: rows.groupBy("tbl").agg(F.max("checkpoint_ts").alias("checkpoint_ts"))
+    root = work_path(spark, "progress")
+    batches = [o.where("k % 4 = 0"), o.where("k % 2 = 1 and tbl > 5"), o.where("k % 4 = 2"), o.where("k % 4 = 2")]
+    for n, rows in zip((0, 1, 2, 2), batches):
+        table = W.upsert_progress(spark, root, per(rows), ["tbl"], "checkpoint_ts", n)
+    return table
 
 
-@q(f"{OL}, s AS (SELECT DISTINCT (commit_ts >> 18) // {DAY} AS day FROM orders_log) SELECT day * {DAY} * 262144 AS primary_ts, day * {DAY} * 262144 + 11 AS secondary_ts FROM s WHERE day >= (SELECT max(day) FROM s) - 30")
+@q(f"{OL}, p AS (SELECT (commit_ts >> 18) // {DAY} * {DAY} * 262144 AS primary_ts, commit_ts AS secondary_ts FROM orders_log) SELECT primary_ts, min(secondary_ts) AS secondary_ts FROM p WHERE secondary_ts >= primary_ts GROUP BY 1 ORDER BY 1 DESC LIMIT 30")
 def sk_syncpoint(spark, d):
-    days = log(spark, d, "orders_log").select(F.expr(f"shiftright(commit_ts, 18) div {DAY}").alias("day")).distinct()
-    last = days.agg(F.max("day").alias("last"))
-    # one row
-    kept = days.join(F.broadcast(last), F.col("day") >= F.col("last") - 30)
-    return kept.select((F.col("day") * DAY * 262144).alias("primary_ts"), (F.col("day") * DAY * 262144 + 11).alias("secondary_ts"))
+    """The ts map of the newest thirty daily sync points."""
+    day = F.expr(f"shiftright(commit_ts, 18) div {DAY}")
+    points = log(spark, d, "orders_log").select((day * DAY * 262144).alias("primary_ts"), F.col("commit_ts").alias("secondary_ts"))
+    return W.record_syncpoints(points, 30)
+
+
+@q(f"{OL} SELECT CASE op WHEN 'I' THEN 'REPLACE' WHEN 'U' THEN 'UPDATE' ELSE 'DELETE' END AS verb, count(*) AS n, CAST(count(*) * 2.0 AS DOUBLE) AS ms FROM orders_log GROUP BY op")
+def sk_dryrun(spark, d):
+    """The statements of sk_sql, counted instead of run."""
+    return W.dry_run(sk_sql(spark, d), "statement", 2.0).select("verb", "n", "ms")
+
+
+@q(f"""WITH RECURSIVE {ctes('ev')}, x AS (SELECT k, n, event_type AS grp, 20 + v % 50 AS size FROM ev),
+b AS (SELECT k, n, grp, size, CAST(0 AS BIGINT) AS batch, size AS used, 1 AS held FROM x WHERE n = 1 UNION ALL SELECT x.k, x.n, x.grp, x.size, CASE WHEN x.grp <> b.grp OR used + x.size > 150 OR held = 4 THEN batch + 1 ELSE batch END,
+CASE WHEN x.grp <> b.grp OR used + x.size > 150 OR held = 4 THEN x.size ELSE used + x.size END, CASE WHEN x.grp <> b.grp OR used + x.size > 150 OR held = 4 THEN 1 ELSE held + 1 END FROM b JOIN x ON x.k = b.k AND x.n = b.n + 1)
+SELECT k, min(n) AS first_n, count(*) AS n_events, CAST(sum(size) AS BIGINT) AS n_bytes FROM b GROUP BY k, batch""")
+def st_dynstream(spark, d):
+    """Batches of each path's queue: events of one data group, at most four and
+    150 bytes."""
+    x = log(spark, d, "ev").select("k", "n", F.col("event_type").alias("grp"), (F.col("v") % 50 + 20).alias("size"))
+    return ST.queue_batches(x, "k", [F.col("n")], "grp", "size", 150, 4).groupBy("k", "group_no", "batch").agg(F.min("n").alias("first_n"), F.count("*").alias("n_events"), F.sum("size").alias("n_bytes")).drop("group_no", "batch")
+
+
+@q("SELECT l_returnflag AS flag, upper(l_shipmode_) AS word, round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS weighted FROM (SELECT *, unnest(['air', 'sea']) AS l_shipmode_ FROM lineitem) GROUP BY 1, 2")
+def udf_surface(spark, d):
+    """A scalar, an aggregate and a table function in Python, used from SQL."""
+    X.register_scalar(spark, "shout", lambda v: v.str.upper(), "string")
+    X.register_table(spark, "ways", _Ways, "way string")
+    X.register_aggregate(spark, "weighted_mean", lambda v, w: float((v * w).sum() / w.sum()), "double")
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_returnflag", "l_extendedprice", "l_quantity")
+    sums = spark.sql("SELECT l_returnflag AS flag, weighted_mean(CAST(l_extendedprice AS DOUBLE), CAST(l_quantity AS DOUBLE)) AS mean FROM {l} GROUP BY 1", l=lines)
+    return spark.sql("SELECT flag, shout(way) AS word, round(mean, 4) AS weighted FROM {s}, LATERAL ways(2)", s=sums)
+
+
+class _Ways:
+    def eval(self, n: int):
+        for word in ("air", "sea")[:n]:
+            yield (word,)
 
 
 @q(_MSG)

@@ -25,9 +25,11 @@ def src_stale(spark, d):
     return M.drop_stale(log(spark, d, "commits"), 222298112000000000)
 
 
-@R.query(f"WITH {ctes('orders_log')} SELECT k, op, commit_ts, start_ts, row_number() OVER (ORDER BY commit_ts, start_ts, {_ORD}, k) AS pos FROM orders_log")
+@R.query(f"WITH {ctes('orders_log')} SELECT op, count(*) AS n, min(commit_ts) AS first_ts, max(commit_ts) AS last_ts, CAST(sum(k) AS BIGINT) AS keys FROM orders_log WHERE commit_ts > 222298112000000000 AND commit_ts <= 230000000000000000 GROUP BY op")
 def src_store(spark, d):
-    return O.row_numbers(log(spark, d, "orders_log").select("k", "op", "commit_ts", "start_ts"), O.txn_order(["k"]), "pos")
+    """Events stored in order above a resolved ts, and a range read back."""
+    stored = M.store_events(log(spark, d, "orders_log").select("k", "op", "commit_ts", "start_ts"), O.txn_order(["k"]), 222298112000000000)
+    return stored.where("commit_ts <= 230000000000000000").groupBy("op").agg(F.count("*").alias("n"), F.min("commit_ts").alias("first_ts"), F.max("commit_ts").alias("last_ts"), F.sum("k").alias("keys"))
 
 
 @R.query(f"WITH {ctes('orders_log')} SELECT k, op, commit_ts FROM orders_log WHERE commit_ts <= 230000000000000000 AND (commit_ts > 222298112000000000 OR (commit_ts = 222298112000000000 AND start_ts > 0))")

@@ -47,24 +47,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet. On a local
-    file system the folders of this process go when it ends; elsewhere
-    :func:`release` removes them."""
+    """A path below the shared folder that nothing has used yet. The folders of
+    this process go when its driver ends (its file system is told to), or
+    earlier by :func:`release`."""
     root = f"{shared_dir(spark)}/changeloom-{_RUN}"
-    local = root.removeprefix("file://")
-    if local.startswith("/") and local not in _LOCAL:
-        _LOCAL.add(local)
-        atexit.register(shutil.rmtree, local, True)
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        fs, target = _file(spark, root)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_LOCAL: set[str] = set()
+_ROOTS: set[str] = set()
 
 
 def release(spark: SparkSession) -> None:
     """Delete every work folder of this process: results that were read from
     them can no longer be used."""
-    remove_path(spark, f"{shared_dir(spark)}/changeloom-{_RUN}")
+    root = f"{shared_dir(spark)}/changeloom-{_RUN}"
+    _ROOTS.discard(root)
+    remove_path(spark, root)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -140,6 +140,34 @@ def apply_to_table(spark: SparkSession, stream: DataFrame, keys: dict[str, str],
     return current_rows(spark, versions, keys, shape).select(*keys, "payload.*")
 
 
+def dry_run(statements: DataFrame, column: str, delay_ms: float = 0.0) -> DataFrame:
+    """What a database sink would do, without doing it: per verb the number of
+    statements, their bytes and the time they would take at ``delay_ms`` each."""
+    verb = F.upper(F.regexp_extract(column, r"^\s*(\w+)", 1)).alias("verb")
+    return statements.groupBy(verb).agg(F.count("*").alias("n"), F.sum(F.octet_length(column)).alias("n_bytes"), (F.count("*") * F.lit(delay_ms)).alias("ms"))
+
+
+def upsert_progress(spark: SparkSession, root: str, update: DataFrame, keys: list[str], ts: str, batch_id: int) -> DataFrame:
+    """The progress table after a batch: the largest ts per key of the stored
+    version and the update. Versions are written whole (a row per table), a batch
+    that runs again overwrites its own, and only the last two stay."""
+    stored = [n for n in (batch_id - 1,) if f"version={n}" in list_names(spark, root)]
+    rows = update.select(*keys, ts)
+    if stored:
+        rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{root}/version={stored[0]}"))
+    rows.groupBy(*keys).agg(F.max(ts).alias(ts)).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+    remove_path(spark, f"{root}/version={batch_id - 2}")
+    return spark.read.schema(rows.schema).parquet(f"{root}/version={batch_id}")
+
+
+def record_syncpoints(points: DataFrame, keep: int) -> DataFrame:
+    """``primary_ts, secondary_ts`` of the newest ``keep`` sync points: the first
+    secondary ts that was reported at or after the primary one."""
+    last = points.where(F.col("secondary_ts") >= F.col("primary_ts")).groupBy("primary_ts").agg(F.min("secondary_ts").alias("secondary_ts"))
+    # the kept rows are the result: at most ``keep``
+    return last.orderBy(F.desc("primary_ts")).limit(keep)
+
+
 def parse_uri(uri: str) -> tuple[str, dict[str, str]]:
     """Kind and parameters of a sink URI."""
     scheme = re.match(r"^([A-Za-z0-9+]+)://", uri)

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeloom.functions.codecs.formats import batch_messages
+from changeloom.operators.ordering import runs
 from changeloom.session import list_names, read_text, remove_path, work_path, write_text
 from changeloom.streaming.upsert import stream_files
 
@@ -49,6 +51,18 @@ def latest_of_updates(stream: DataFrame, keys: list[str], schema: str) -> DataFr
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "version").alias("x")).select(*keys, *[F.col(f"x.{v}").alias(v) for v in values])
 
 
+def queue_batches(events: DataFrame, path: str, order: list, group: str, size: str, max_bytes: int, max_events: int) -> DataFrame:
+    """Adds ``group_no`` and ``batch`` to the events of each path's queue: a batch
+    holds consecutive events of one data group within the limits."""
+    changed = F.col("is_first") | ~F.col(f"prev_{group}").eqNullSafe(F.col(group))
+    parts = runs(events, [path], order, [group], changed)
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    rows = rows.withColumnRenamed("__run", "group_no").drop("is_first", f"prev_{group}")
+    return batch_messages(rows, [path, "group_no"], order, F.col(size), max_bytes, max_events)
+
+
 class ResolvedBuffer:
     """Releases rows once the data's own watermark has passed them.
 

@@ -396,6 +396,25 @@ def test_table_checksums_are_pinned(spark):
     assert got == zlib.crc32(b"1,a") ^ zlib.crc32(b"2,b") ^ zlib.crc32(b"3,")
 
 
+def test_batches_of_hot_keys(spark, monkeypatch):
+    """Blocks and the plain fold give the same greedy batches."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "a", "b", None]), i, rng.choice([1, 5, 9, 40, None])) for i in range(700)]
+    df = spark.createDataFrame(rows, "k string, i int, s int")
+    run = lambda: {(r["k"], r["i"], r["batch"]) for r in E.batch_messages(df, ["k"], [F.col("i")], F.col("s"), 30, 7).collect()}
+    want, state = set(), {}
+    for k, i, s in rows:
+        batch, used, n = state.get(k, (0, 0, 0))
+        if n and (used + (s or 0) > 30 or n == 7):
+            batch, used, n = batch + 1, 0, 0
+        state[k] = batch, used + (s or 0), n + 1
+        want.add((k, i, batch))
+    assert run() == want
+    monkeypatch.setattr(O, "HOT_ROWS", 1)
+    monkeypatch.setattr(E, "BLOCK_ROWS", 28)
+    assert run() == want
+
+
 def test_counter_mode_known_answer(spark):
     """The published example of AES-256 in counter mode (SP 800-38A, F.5.5)."""
     key, iv = "603deb1015ca71be2b73aef0857d77811f352c073b6108d72d9810a30914dff4", "f0f1f2f3f4f5f6f7f8f9fafbfcfdfeff"
