@@ -43,8 +43,12 @@ def _image_text(image: str) -> Column:
 
 def p1_messages(spark: SparkSession, d: str) -> DataFrame:
     """The messages themselves, the copy of smallest log_id of each, whole."""
-    rows = redelivery.exactly_once(_read(spark, d, "redo_dml"), _message_ids(), _TS_MS(), "log_id")
-    return rows.select("log_id", "log_file", "delivered_at", "start_ts", "commit_ts", "tbl.db_name", "tbl.tbl_name", "tbl.tbl_id", _image_text("row_columns"), _image_text("pre_columns"), "copies")
+    ids = _message_ids()
+    whole = [c for c in ids if c not in ("start_ts", "commit_ts", "tbl_id")]
+    # images as text before they are shuffled: a nested row is several times as wide
+    rows = _read(spark, d, "redo_dml").select(
+        "log_id", "log_file", "delivered_at", "start_ts", "commit_ts", "tbl.db_name", "tbl.tbl_name", "tbl.tbl_id", _image_text("row_columns"), _image_text("pre_columns"), *[ids[c].alias(c) for c in whole])
+    return redelivery.exactly_once(rows, {c: F.col(c) for c in ids}, _TS_MS(), "log_id").drop(*whole)
 
 
 def p1_batches(spark: SparkSession, d: str) -> DataFrame:
