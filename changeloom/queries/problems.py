@@ -102,20 +102,16 @@ def p2_leftover(spark: SparkSession, d: str) -> DataFrame:
     return every.groupBy("topic").agg(F.count_if(F.col("reason") == "undeclared").alias("undeclared"), F.count_if(F.col("reason") == "not cast").alias("not_cast"))
 
 
-def p2_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """Fields that have several types within one file."""
-    rows = schema_drift.conflicts(_read(spark, d, "sink_message"))
-    return rows.select("topic", "file_seq", "field", F.array_join("types", ",").alias("types"))
-
-
-def p2_unread(spark: SparkSession, d: str) -> DataFrame:
-    """Messages that give no fields, and why."""
-    return schema_drift.unread(_read(spark, d, "sink_message"))
-
-
-def p2_versions(spark: SparkSession, d: str) -> DataFrame:
-    """Schema versions that do not stand for one field list."""
-    return schema_drift.version_mismatches(_read(spark, d, "sink_message"))
+def p2_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Per topic: messages, those that give no fields, fields of several types
+    within one file, schema versions that do not stand for one field list."""
+    messages = _read(spark, d, "sink_message")
+    counts = {"unread": schema_drift.unread(messages), "conflicts": schema_drift.conflicts(messages), "version_mismatches": schema_drift.version_mismatches(messages)}
+    out = messages.groupBy("topic").agg(F.count("*").alias("messages"))
+    for name, rows in counts.items():
+        n = rows.groupBy(F.col("topic").alias("t")).agg(F.count("*").alias(name))
+        out = out.join(n, F.col("topic").eqNullSafe(F.col("t")), "left").drop("t")
+    return out.na.fill(0, list(counts))
 
 
 def p2_footers(spark: SparkSession, d: str) -> DataFrame:
@@ -190,7 +186,7 @@ def p5_rows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_messages": p1_messages, "p1_batches": p1_batches, "p2_found": p2_found, "p2_catalogue": p2_catalogue, "p2_schema": p2_schema,
-    "p2_table": p2_table, "p2_leftover": p2_leftover, "p2_conflicts": p2_conflicts, "p2_unread": p2_unread, "p2_versions": p2_versions, "p2_footers": p2_footers, "p3_found": p3_found, "p3_recheck": p3_recheck, "p3_chunks": p3_chunks, "p4_found": p4_found, "p4_tables": p4_tables,
+    "p2_table": p2_table, "p2_leftover": p2_leftover, "p2_reports": p2_reports, "p2_footers": p2_footers, "p3_found": p3_found, "p3_recheck": p3_recheck, "p3_chunks": p3_chunks, "p4_found": p4_found, "p4_tables": p4_tables,
     "p5_found": p5_found, "p5_rows": p5_rows,
 }
 
