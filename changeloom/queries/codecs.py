@@ -179,14 +179,14 @@ def cd_claim(spark, d):
     return _rows(spark, d).select("id", "op", large.alias("aside"), F.when(large, F.concat_ws("-", F.lit("file"), "id", "commit_ts")).otherwise("").alias("location"))
 
 
-@q(f"""WITH RECURSIVE {ctes('lines')}, x AS (SELECT ok, ln, rf || CAST(supp % 50 AS VARCHAR) AS g, 60 + price % 90 AS size, row_number() OVER (PARTITION BY rf || CAST(supp % 50 AS VARCHAR) ORDER BY ok, ln) AS rn FROM lines),
+@q(f"""WITH RECURSIVE {ctes('lines')}, x AS (SELECT ok, ln, rf || CAST(supp % 50 AS VARCHAR) AS g, 60 + price % 90 AS size, row_number() OVER (PARTITION BY rf || CAST(supp % 50 AS VARCHAR) ORDER BY ok, ln, price) AS rn FROM lines),
 p AS (SELECT g, rn, size, 0 AS batch, size AS used, 1 AS n FROM x WHERE rn = 1 UNION ALL SELECT x.g, x.rn, x.size, CASE WHEN used + x.size > 900 OR n = 10 THEN batch + 1 ELSE batch END,
 CASE WHEN used + x.size > 900 OR n = 10 THEN x.size ELSE used + x.size END, CASE WHEN used + x.size > 900 OR n = 10 THEN 1 ELSE n + 1 END FROM p JOIN x ON x.g = p.g AND x.rn = p.rn + 1)
 SELECT ok, ln, CAST(batch AS BIGINT) AS batch FROM p JOIN x USING (g, rn)""")
 def cd_batchlen(spark, d):
     """Greedy packing of messages of 60 to 149 bytes into at most 900 bytes and ten rows."""
-    rows = log(spark, d, "lines").select("ok", "ln", F.concat("rf", (F.col("supp") % 50).cast("string")).alias("g"), (F.col("price") % 90 + 60).alias("size"))
-    return E.batch_messages(rows, ["g"], [F.col("ok"), F.col("ln")], F.col("size"), 900, 10).select("ok", "ln", "batch")
+    rows = log(spark, d, "lines").select("ok", "ln", F.concat("rf", (F.col("supp") % 50).cast("string")).alias("g"), "price", (F.col("price") % 90 + 60).alias("size"))
+    return E.batch_messages(rows, ["g"], [F.col("ok"), F.col("ln"), F.col("price")], F.col("size"), 900, 10).select("ok", "ln", "batch")
 
 
 @q(f"WITH {ctes('history_log')} SELECT k, n, (row_number() OVER (PARTITION BY k ORDER BY commit_ts, n) - 1) % 20 = 0 AS bootstrap FROM history_log")
