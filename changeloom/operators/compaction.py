@@ -110,8 +110,9 @@ def conflict_edges(df: DataFrame, indexes: dict[str, list[str]], table_key: Colu
     ]
     usable = F.array_compact(F.array(*keys))
     all_keys = F.when(F.size(usable) > 0, usable).otherwise(F.array(table_key))
-    rows = df.select("txn", F.explode(all_keys).alias("key")).distinct()
-    before = with_previous(rows, ["key"], [F.col("txn")], ["txn"]).where("prev_txn is not null")
+    rows = df.select("txn", F.explode(all_keys).alias("key"))
+    # a key that a transaction has several times follows itself there, which is no dependency
+    before = with_previous(rows, ["key"], [F.col("txn")], ["txn"]).where("prev_txn <> txn")
     return before.select("txn", F.col("prev_txn").alias("depends_on")).distinct()
 
 
