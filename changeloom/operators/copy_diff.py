@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.operators.ordering import place_in_key
+from changeloom.operators.ordering import place_in_key, row_numbers
 from changeloom.operators.schemas import asof_join
 from changeloom.session import materialize
 
@@ -210,6 +210,33 @@ def diff(upstream: DataFrame, downstream: DataFrame, plan: DiffPlan) -> DataFram
     return pairs.select(*plan.keys, F.explode(found).alias("d")).select(*plan.keys, F.col("d.kind").alias("diff_kind"), F.col("d.field").alias("field_name"))
 
 
+def table_chunks(df: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """``chunk, n_rows, lower, upper, condition``: a table cut into chunks of
+    ``size`` rows in key order. Bounds are the key texts of the last row before and
+    the last row in a chunk; the condition selects the chunk by a composite key,
+    open at both ends of the table."""
+    rows = row_numbers(df.select(*keys), [F.col(k) for k in keys], "__no").withColumn("chunk", F.floor((F.col("__no") - 1) / F.lit(size)))
+    ends = materialize(rows.groupBy("chunk").agg(F.count("*").alias("n_rows"), F.max(F.struct(*keys)).alias("hi")), "bounds")
+    last = ends.agg(F.max("chunk").alias("last"))
+    before = ends.select((F.col("chunk") + 1).alias("chunk"), F.col("hi").alias("lo"))
+    # one row
+    out = ends.join(before, "chunk", "left").join(F.broadcast(last))
+
+    def bound(side: str, op: str, end: str) -> Column:
+        """``(a op x) OR (a = x AND b op y)``; the last column is compared by ``end``."""
+        parts = []
+        for i, k in enumerate(keys):
+            same = [F.concat(F.lit(f"`{c}` = "), F.col(f"{side}.{c}").cast("string")) for c in keys[:i]]
+            own = F.concat(F.lit(f"`{k}` {end if i == len(keys) - 1 else op} "), F.col(f"{side}.{k}").cast("string"))
+            parts.append(F.concat(F.lit("("), F.concat_ws(" AND ", *same, own), F.lit(")")))
+        return F.concat(F.lit("("), F.concat_ws(" OR ", *parts), F.lit(")"))
+
+    text = lambda side: F.concat_ws(",", *[F.col(f"{side}.{k}").cast("string") for k in keys])
+    lower = F.when(F.col("lo").isNull(), "(TRUE)").otherwise(bound("lo", ">", ">"))
+    upper = F.when(F.col("chunk") == F.col("last"), "(TRUE)").otherwise(bound("hi", "<", "<="))
+    return out.select("chunk", "n_rows", F.when(F.col("lo").isNotNull(), text("lo")).alias("lower"), text("hi").alias("upper"), F.concat_ws(" AND ", lower, upper).alias("condition"))
+
+
 def recorded_chunks(chunks: DataFrame, source: str, target: str) -> DataFrame:
     """``schema_name, table_name, chunk_id, lo, hi, state, recorded_equal`` of an
     earlier comparison: the newest row of each chunk and instance. A checksum is

@@ -9,7 +9,7 @@ import fnmatch
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Schemas of the database system itself, fixed values.
@@ -169,6 +169,12 @@ def dispatch_topic(schema: Column, table: Column, rules: list[tuple[str, str]],
     return out
 
 
+def to_partitions(df: DataFrame, parts: Column, every: Column) -> DataFrame:
+    """Adds ``part``: a schema change or checkpoint goes to each of its topic's
+    ``parts`` partitions where ``every`` is true, else to partition 0."""
+    return df.withColumn("part", F.explode(F.sequence(F.lit(0), F.when(every, parts.cast("int") - 1).otherwise(0))))
+
+
 def select_columns(columns: list[str], rules: list[str], keys: list[list[str]], used: list[str] | None = None) -> list[str]:
     """Columns kept by globs, the last match deciding. One of ``keys`` (the
     primary key or a unique key) must stay whole, and every column that a

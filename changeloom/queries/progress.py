@@ -155,9 +155,10 @@ def srt_heap(spark, d):
     return O.row_numbers(a.unionByName(b), [F.col("commit_ts"), F.col("src"), F.col("k")], "pos")
 
 
-@q(f"{RG} SELECT region_id, max(resolved_ts) AS ts FROM regions GROUP BY region_id ORDER BY ts, region_id LIMIT 20")
+@q(f"{RG} SELECT region_id, min(node % 3) AS task, max(resolved_ts) AS ts FROM regions GROUP BY region_id ORDER BY task, ts, region_id LIMIT 20")
 def srt_pq(spark, d):
-    return log(spark, d, "regions").groupBy("region_id").agg(F.max("resolved_ts").alias("ts")).orderBy("ts", "region_id").limit(20)
+    """The twenty most urgent regions: by kind of task, then the farthest behind."""
+    return log(spark, d, "regions").groupBy("region_id").agg(F.min(F.col("node") % 3).alias("task"), F.max("resolved_ts").alias("ts")).orderBy("task", "ts", "region_id").limit(20)
 
 
 @q(f"{DD} SELECT job, finished_ts, kind FROM ddl_log WHERE finished_ts > 26214400 ORDER BY finished_ts LIMIT 100")

@@ -424,9 +424,11 @@ def rt_verify(spark, d):
     return spark.createDataFrame([(n, S.index_usable(indexes, n)) for n in ("uk", "plain", "none")], "index_name string, usable boolean")
 
 
-@q(f"WITH {ctes('base')}, x AS ({_DDLS}) SELECT k, kind, p FROM x, (VALUES (0), (1), (2)) t(p)")
+@q(f"WITH {ctes('ddl_jobs')} SELECT job, kind, unnest(CASE WHEN kind = 'create view' OR kind LIKE '%table' THEN generate_series(0, CAST(schema_id AS BIGINT)) ELSE generate_series(0, 0) END)::INTEGER AS part FROM ddl_jobs")
 def rt_ddl_bcast(spark, d):
-    return _ddls(spark, d).select("k", "kind", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("p"))
+    """Changes of tables go to every partition of their topic, others to the first."""
+    every = F.col("kind").endswith("table") | (F.col("kind") == "create view")
+    return U.to_partitions(log(spark, d, "ddl_jobs"), F.col("schema_id") + 1, every).select("job", "kind", "part")
 
 
 QUERIES, SQL = R.queries, R.sql

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from changeloom.functions import rowimage as RI
 from changeloom.functions import scalars as FS
 from changeloom.operators import compaction as C
+from changeloom.operators import copy_diff as CD
 from changeloom.operators import ordering as O
 from changeloom.operators import progress as P
 from changeloom.operators.sequence import scan_windows
@@ -377,11 +378,12 @@ def st_session_user(spark, d):
 # comparison
 
 
-@q(f"WITH {ctes('pair_left')} SELECT k // 64 AS chunk, min(k) AS lower, max(k) AS upper, count(*) AS n, '((`k` > ' || CAST(min(k) - 1 AS VARCHAR) || ')) AND ((`k` <= ' || CAST(max(k) AS VARCHAR) || '))' AS condition FROM pair_left GROUP BY 1")
+@q(f"""WITH {ctes('lines')}, n AS (SELECT ok, ln, (row_number() OVER (ORDER BY ok, ln) - 1) // 64 AS chunk FROM (SELECT DISTINCT ok, ln FROM lines)), g AS (SELECT chunk, count(*) AS n_rows, max({{'a': ok, 'b': ln}}) AS hi FROM n GROUP BY chunk),
+b AS (SELECT *, lag(hi) OVER (ORDER BY chunk) AS lo, max(chunk) OVER () AS last FROM g) SELECT chunk, n_rows, CASE WHEN lo IS NOT NULL THEN lo.a || ',' || lo.b END AS lower, hi.a || ',' || hi.b AS upper,
+CASE WHEN lo IS NULL THEN '(TRUE)' ELSE '((`ok` > ' || lo.a || ') OR (`ok` = ' || lo.a || ' AND `ln` > ' || lo.b || '))' END || ' AND ' || CASE WHEN chunk = last THEN '(TRUE)' ELSE '((`ok` < ' || hi.a || ') OR (`ok` = ' || hi.a || ' AND `ln` <= ' || hi.b || '))' END AS condition FROM b""")
 def df_chunks(spark, d):
-    g = log(spark, d, "pair_left").groupBy(F.expr("k div 64").alias("chunk")).agg(F.min("k").alias("lower"), F.max("k").alias("upper"), F.count("*").alias("n"))
-    cond = F.concat(F.lit("((`k` > "), (F.col("lower") - 1).cast("string"), F.lit(")) AND ((`k` <= "), F.col("upper").cast("string"), F.lit("))"))
-    return g.withColumn("condition", cond)
+    """Chunks of a table with a composite key, with the conditions that select them."""
+    return CD.table_chunks(log(spark, d, "lines").select("ok", "ln").distinct(), ["ok", "ln"], 64)
 
 
 _DIFF = "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left_only' WHEN a.k IS NULL THEN 'right_only' ELSE 'different' END AS status FROM pair_left a FULL JOIN pair_right b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.bal IS DISTINCT FROM b.bal OR a.seg IS DISTINCT FROM b.seg"
