@@ -482,3 +482,17 @@ def test_avro_binary_edges(spark):
     assert first.hex() == "0000000005" + "00" + "0200" + "00"
     cut = spark.createDataFrame([(first[:6],), (b"\1" + first[1:],), (b"",)], "f binary").select(E.avro_decode(E.avro_schema(table))(F.col("f")).alias("x"))
     assert [r["x"]["record"] for r in cut.collect()] == [None] * 3
+
+
+def test_ddl_kinds_and_multi_table_jobs(spark):
+    from changeloom.operators import ddl
+
+    assert len(ddl.KINDS) == 40
+    schema = "job int, finished_ts bigint, schema_version int, kind string, schema_id int, table_id int, ids array<bigint>"
+    jobs = spark.createDataFrame([
+        (1, 10, 1, "create table", 1, 7, [70, 71]), (2, 20, 2, "exchange partition", 1, 7, [71, 90]), (3, 30, 3, "create table", 2, 8, [8]),
+        (4, 40, 4, "drop schema", 1, 7, None), (5, 50, 5, "create view", 2, 8, [8]), (6, 60, 6, "add column", 2, 8, [8]), (7, 70, 7, "no such kind", 2, 8, [8])], schema)
+    got = {(r["target"], r["job"]) for r in ddl.history(jobs).collect()}
+    assert got == {(-1, 1), (70, 1), (71, 1), (-1, 2), (70, 2), (7, 2), (-1, 3), (8, 3), (-1, 4), (71, 4), (90, 4), (-1, 5), (8, 5), (8, 6)}
+    assert {(r["job"], r["reason"]) for r in ddl.skip_reason(jobs.unionByName(jobs.where("job = 3"))).where("reason is not null").collect()} == {(3, "repeated"), (7, "unknown")}
+    assert ddl.history(jobs.limit(0)).count() == ddl.versions(jobs.limit(0)).count() == 0
