@@ -4,8 +4,8 @@ repeats and renames decide on it.
 
 A job has ``job, finished_ts, schema_version, kind, schema_id, table_id, ids``:
 ``ids`` are the physical ids (partitions, or the table's own) after the job,
-null if the table is gone. Jobs of one table are few, so state per table is a
-window over its jobs.
+null if the table is gone. State per table is a window over its jobs; in it ids
+are spans of consecutive numbers, as a table may have very many.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.operators.ordering import largest_before, place_in_key, with_previous
+from changeloom.session import materialize
 
 #: Id of the history that starts new tables.
 TRIGGER = -1
+_SPANS = "array<struct<lo: bigint, hi: bigint>>"
 
 
 @dataclass(frozen=True)
@@ -74,6 +76,48 @@ def classify(kind: Column) -> tuple[Column, Column, Column]:
     return scope, F.when(known, _in(kind, lambda v: v.blocks)), F.when(known, _in(kind, lambda v: "trigger" in v.targets))
 
 
+def _none() -> Column:
+    return F.array().cast(_SPANS)
+
+
+def spans(ids: Column | str) -> Column:
+    """``ids`` as runs of consecutive numbers, in their order: a table of many
+    partitions is a few numbers, not one per partition. Null stays null."""
+    ids = (F.col(ids) if isinstance(ids, str) else ids).cast("array<bigint>")
+    n, first = F.size(ids), F.get(ids, 0)
+    # each element beside the one before and the one after it
+    starts = F.zip_with(ids, F.concat(F.array(F.lit(None).cast("bigint")), ids), lambda x, p: F.when(~x.eqNullSafe(p + 1), x))
+    ends = F.zip_with(ids, F.slice(ids, F.lit(2), F.greatest(n, F.lit(0))), lambda x, q: F.when(~q.eqNullSafe(x + 1), x))
+    kept = lambda a: F.filter(a, lambda x: x.isNotNull())
+    runs = F.zip_with(kept(starts), kept(ends), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
+    last = first + n - 1
+    return F.when(ids == F.sequence(first, last), F.array(F.struct(first.alias("lo"), last.alias("hi"))).cast(_SPANS)).otherwise(runs.cast(_SPANS))
+
+
+def listed(s: Column) -> Column:
+    """The ids of spans, one by one."""
+    return F.flatten(F.transform(s, lambda x: F.sequence(x["lo"], x["hi"])))
+
+
+def without(a: Column, b: Column) -> Column:
+    """The spans of the ids in ``a`` and not in ``b``."""
+    piece = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+    beside = lambda x, y: F.array(piece(x["lo"], F.least(x["hi"], y["lo"] - 1)), piece(F.greatest(x["lo"], y["hi"] + 1), x["hi"]))
+    cut = F.aggregate(b, a, lambda left, y: F.filter(F.flatten(F.transform(left, lambda x: beside(x, y))), lambda x: x["lo"] <= x["hi"]).cast(_SPANS))
+    # lists of many spans are compared id by id
+    many = spans(F.array_except(listed(a), listed(b)))
+    return F.when(F.size(a) * F.size(b) <= 256, cut).otherwise(many)
+
+
+def _slim(jobs: DataFrame) -> DataFrame:
+    return jobs.withColumn("__ids", spans(F.col("ids"))).drop("ids")
+
+
+def _states(slim: DataFrame, *more: str) -> DataFrame:
+    rows = with_previous(slim, ["table_id"], [F.col("finished_ts"), F.col("job")], ["__ids", *more])
+    return rows.withColumn("before", F.coalesce("prev___ids", _none())).withColumn("after", F.coalesce("__ids", _none())).drop("prev___ids", "__ids")
+
+
 def states(jobs: DataFrame) -> DataFrame:
     """Adds ``before``, the table's physical ids before each job, and ``after``;
     empty arrays where the table does not exist."""
@@ -126,18 +170,21 @@ def skip_reason(jobs: DataFrame) -> DataFrame:
     ``unknown`` kind, ``repeated`` (its schema version is not above all before
     it), ``exists`` (a table is created that is there), ``missing`` (a table is
     dropped that is not there)."""
-    seen = largest_before(jobs.withColumn("__all", F.lit(0)), ["__all"], [F.col("finished_ts"), F.col("job"), F.col("schema_version")], F.col("schema_version"), "__seen")
+    slim = _slim(jobs).withColumn("__all", F.lit(0))
+    seen = largest_before(slim, ["__all"], [F.col("finished_ts"), F.col("job"), F.col("schema_version")], F.col("schema_version"), "__seen")
     repeated = F.coalesce(F.col("schema_version") <= F.col("__seen"), F.lit(False))
-    marked = seen.drop("__all").withColumn("__again", repeated)
-    first = states(marked.where("not __again"))
+    # the order of repeated jobs is taken once
+    marked = materialize(seen.drop("__all").withColumn("__again", repeated), "seen")
+    first = _states(marked.where("not __again").withColumn("__own", F.col("__ids")))
     reason = (
         F.when(~F.col("kind").isin(list(KINDS)), "unknown")
         .when((F.col("kind") == "create table") & (F.size("before") > 0), "exists")
         .when((F.col("kind") == "drop table") & (F.size("before") == 0), "missing")
     )
-    cols = [*jobs.columns, "reason"]
-    again = marked.where("__again").withColumn("reason", F.when(~F.col("kind").isin(list(KINDS)), "unknown").otherwise("repeated"))
-    return first.withColumn("reason", reason).select(*cols).unionByName(again.select(*cols))
+    again = marked.where("__again").withColumn("__own", F.col("__ids")).withColumn("reason", F.when(~F.col("kind").isin(list(KINDS)), "unknown").otherwise("repeated"))
+    cols = [*[c for c in jobs.columns if c != "ids"], "__own", "reason"]
+    out = first.withColumn("reason", reason).select(*cols).unionByName(again.select(*cols))
+    return out.withColumn("ids", listed(F.col("__own")).cast(jobs.schema["ids"].dataType)).select(*jobs.columns, "reason")
 
 
 def rename_effect(old_kept: Column, new_kept: Column, old_schema: Column, new_schema: Column, old_not_sync: Column) -> tuple[Column, Column, Column]:
