@@ -119,23 +119,30 @@ def _states(slim: DataFrame, *more: str) -> DataFrame:
 
 
 def states(jobs: DataFrame) -> DataFrame:
-    """Adds ``before``, the table's physical ids before each job, and ``after``;
-    empty arrays where the table does not exist."""
-    none = F.array().cast("array<bigint>")
-    rows = with_previous(jobs, ["table_id"], [F.col("finished_ts"), F.col("job")], ["ids"])
-    return rows.withColumn("before", F.coalesce("prev_ids", none)).withColumn("after", F.coalesce("ids", none)).drop("prev_ids", "is_first")
+    """``ids`` becomes ``before``, the spans of the table's physical ids before
+    each job, and ``after``; empty arrays where the table does not exist."""
+    return _states(_slim(jobs)).drop("is_first")
+
+
+def _effects(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("created", without(F.col("after"), F.col("before"))).withColumn("dropped", without(F.col("before"), F.col("after")))
 
 
 def effects(jobs: DataFrame) -> DataFrame:
-    """Adds ``created`` and ``dropped`` physical ids of each job."""
-    return states(jobs).withColumn("created", F.array_except("after", "before")).withColumn("dropped", F.array_except("before", "after"))
+    """Adds the spans of ``created`` and ``dropped`` physical ids of each job to
+    :func:`states`."""
+    return _effects(states(jobs))
+
+
+def _by_id(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: listed(F.col(c)) for c in ("before", "after", "created", "dropped")})
 
 
 def history(jobs: DataFrame) -> DataFrame:
     """``target, finished_ts, job``: every history that a job enters, once. The
     tables of a schema (or all) are those alive when the job runs; jobs of such
     kinds are few and meet the lifetimes by schema."""
-    rows = effects(jobs)
+    rows = _by_id(effects(jobs))
     part = lambda name, ids: F.when(_in(F.col("kind"), lambda v: name in v.targets), ids).otherwise(F.array().cast("array<bigint>"))
     own = F.array_distinct(F.concat(
         part("trigger", F.array(F.lit(TRIGGER).cast("bigint"))), part("before", F.col("before")), part("after", F.col("after")),
@@ -156,7 +163,7 @@ def history(jobs: DataFrame) -> DataFrame:
 def versions(jobs: DataFrame) -> DataFrame:
     """``target, from_ts, to_ts, version``: lifetimes of the versions of every
     physical table; one ends with its table's next version or when it is dropped."""
-    rows = effects(jobs).where(_in(F.col("kind"), lambda v: v.versions))
+    rows = _by_id(effects(jobs)).where(_in(F.col("kind"), lambda v: v.versions))
     held = rows.select(F.explode("after").alias("target"), "finished_ts", "job", F.lit(False).alias("end"))
     gone = rows.select(F.explode("dropped").alias("target"), "finished_ts", "job", F.lit(True).alias("end"))
     # the change after a version: lead by way of the reversed order

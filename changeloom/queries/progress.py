@@ -207,8 +207,8 @@ _EFFECT = f"{_STATE}, f AS (SELECT *, list_filter(after, lambda x: NOT list_cont
 _TEXT = "array_to_string(list_sort({0}), ',')"
 
 
-def _text(ids):
-    return F.array_join(F.transform(F.array_sort(ids), lambda x: x.cast("string")), ",")
+def _text(spans):
+    return F.array_join(F.transform(F.array_sort(D.listed(spans)), lambda x: x.cast("string")), ",")
 
 
 @q(f"""{_J}, {_EFFECT}, h AS (SELECT unnest(after) AS target, finished_ts, job, false AS e FROM f WHERE kind NOT IN {_WIDE} AND kind <> 'lock table' UNION ALL SELECT unnest(dropped), finished_ts, job, true FROM f WHERE kind NOT IN {_WIDE} AND kind <> 'lock table'),

@@ -69,3 +69,22 @@ def test_skip_reason_of_odd_ids(spark):
     assert {r["job"]: r["reason"] for r in got} == want and len(got) == len(rows)
     # the ids come back as they were
     assert {r["job"]: r["ids"] for r in got} == {x[0]: x[6] for x in rows}
+
+
+def test_effects_store_spans(spark, stored):
+    rows = ddl.effects(large(spark)).select("job", ddl.listed("created").alias("created"), ddl.listed("dropped").alias("dropped")).collect()
+    assert {(r["job"], len(r["created"]), len(r["dropped"])) for r in rows} == {(0, 20000, 0)} | {(j, 1, 0) for j in range(1, 100)}
+    assert stored() < 1_000_000
+
+
+def test_effects_of_odd_ids(spark):
+    jobs, rows = odd_jobs(spark)
+    got = ddl.effects(jobs).select("job", *[ddl.listed(c).alias(c) for c in ("before", "after", "created", "dropped")]).collect()
+    assert {r["job"]: [set(r[c]) for c in ("before", "after", "created", "dropped")] for r in got} == {x[0]: [b, a, a - b, b - a] for x, b, a in states(rows)}
+    assert all(len(set(r[c])) == len(r[c]) for r in got for c in ("before", "after", "created", "dropped"))
+
+
+def test_without_many_spans(spark):
+    a, b = list(range(0, 200, 2)), list(range(0, 200, 3))
+    r = spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>").select(ddl.listed(ddl.without(ddl.spans("a"), ddl.spans("b"))).alias("x"), ddl.listed(ddl.spans("b")).alias("b")).first()
+    assert r["x"] == [i for i in a if i % 3] and r["b"] == b
