@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeloom.operators.ordering import largest_before, place_in_key, with_previous
@@ -20,6 +20,8 @@ from changeloom.session import materialize
 
 #: Id of the history that starts new tables.
 TRIGGER = -1
+#: Jobs of one table that the stays of its ids meet at once.
+BLOCK_JOBS = 1024
 _SPANS = "array<struct<lo: bigint, hi: bigint>>"
 
 
@@ -109,6 +111,12 @@ def without(a: Column, b: Column) -> Column:
     return F.when(F.size(a) * F.size(b) <= 256, cut).otherwise(many)
 
 
+def _each(rows: DataFrame, s: Column, *rest) -> DataFrame:
+    """A row per id (``target``) of the spans ``s``, with the columns ``rest``."""
+    some = rows.select(F.explode(s).alias("__s"), *rest)
+    return some.select(F.explode(F.sequence("__s.lo", "__s.hi")).alias("target"), *[c for c in some.columns if c != "__s"])
+
+
 def _slim(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("__ids", spans(F.col("ids"))).drop("ids")
 
@@ -160,16 +168,68 @@ def history(jobs: DataFrame) -> DataFrame:
     return direct.unionByName(spread(in_schema)).unionByName(spread(every)).distinct()
 
 
+def _stays(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(stays, ends)`` of physical ids in the ranks ``r`` of their table's jobs.
+    A stay ``table_id, target, r1, r2`` is an unbroken row of jobs that hold the
+    id, with ``to_ts``, the next change after it, and ``earlier``, the jobs that
+    held the id before; ``odd`` says that several tables hold the id. An end
+    ``table_id, target, finished_ts, job, odd`` is a job that drops it."""
+    rows = with_previous(rows, ["table_id"], [F.col("r")], ["after"])
+    held = F.coalesce("prev_after", _none())
+    mark = lambda s, **is_: _each(rows, s, "table_id", "r", "finished_ts", "job", *[F.lit(v).alias(k) for k, v in is_.items()])
+    born, left = without(F.col("after"), held), without(held, F.col("after"))
+    marks = mark(born, born=1, gone=0, end=0).unionByName(mark(left, born=0, gone=1, end=0)).unionByName(mark(F.col("dropped"), born=0, gone=0, end=1))
+    key = ["target", "table_id", "r"]
+    marks = marks.groupBy(*key).agg(F.max("finished_ts").alias("finished_ts"), F.max("job").alias("job"), *[F.max(c).alias(c) for c in ("born", "gone", "end")])
+    of_id = Window.partitionBy("target")
+    marks = marks.withColumn("odd", F.min(F.struct("table_id")).over(of_id) != F.max(F.struct("table_id")).over(of_id))
+    w = Window.partitionBy("target", "table_id").orderBy("r")
+    later = w.rowsBetween(1, Window.unboundedFollowing)
+    marks = marks.withColumn("__left", F.first(F.when(F.col("gone") == 1, F.col("r")), ignorenulls=True).over(later)) \
+        .withColumn("to_ts", F.first(F.when(F.col("born") + F.col("end") > 0, F.col("finished_ts")), ignorenulls=True).over(later))
+    last = rows.groupBy(F.col("table_id").alias("__t")).agg(F.max("r").alias("__last"))
+    marks = materialize(marks.join(last, F.col("table_id").eqNullSafe(F.col("__t"))), "marks")
+    stays = marks.where("born = 1").withColumn("r1", F.col("r")).withColumn("r2", F.coalesce(F.col("__left") - 1, F.col("__last")))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    stays = stays.withColumn("earlier", F.coalesce(F.sum(F.col("r2") - F.col("r1") + 1).over(before), F.lit(0)))
+    return stays.select("table_id", "target", "r1", "r2", "to_ts", "earlier", "odd"), marks.where("end = 1").select("table_id", "target", "finished_ts", "job", "odd")
+
+
 def versions(jobs: DataFrame) -> DataFrame:
     """``target, from_ts, to_ts, version``: lifetimes of the versions of every
-    physical table; one ends with its table's next version or when it is dropped."""
-    rows = _by_id(effects(jobs)).where(_in(F.col("kind"), lambda v: v.versions))
-    held = rows.select(F.explode("after").alias("target"), "finished_ts", "job", F.lit(False).alias("end"))
-    gone = rows.select(F.explode("dropped").alias("target"), "finished_ts", "job", F.lit(True).alias("end"))
+    physical table; one ends with its table's next version or when it is dropped.
+
+    There is a row per job and id that it holds, far more than jobs. So rows are
+    neither shuffled nor sorted: the stays of ids meet their table's jobs in
+    blocks of :data:`BLOCK_JOBS` and are written out there. Ids that several
+    tables hold are ordered row by row."""
+    rows = effects(jobs).where(_in(F.col("kind"), lambda v: v.versions)).select("table_id", "finished_ts", "job", "after", "dropped")
+    rows = materialize(place_in_key(rows, ["table_id"], [F.col("finished_ts"), F.col("job")], "r"), "ranked")
+    stays, ends = _stays(rows)
+    # a block also has the first job of the next one
+    own = F.floor(F.col("r") / F.lit(BLOCK_JOBS))
+    at = rows.select(F.col("table_id").alias("__t"), F.struct("r", "finished_ts", "job").alias("x"), F.explode(F.when(F.col("r") % BLOCK_JOBS == 0, F.array(own, own - 1)).otherwise(F.array(own))).alias("__b"))
+    blocks = at.groupBy("__t", "__b").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    blocks = blocks.select("__t", "__b", F.col("x.finished_ts").alias("__ts"), F.col("x.job").alias("__jobs"))
+
+    def written(some: DataFrame) -> DataFrame:
+        cut = some.withColumn("__k", F.explode(F.sequence(F.floor(F.col("r1") / F.lit(BLOCK_JOBS)), F.floor(F.col("r2") / F.lit(BLOCK_JOBS)))))
+        met = cut.join(blocks, F.col("table_id").eqNullSafe(F.col("__t")) & (F.col("__k") == F.col("__b")))
+        first = F.col("__b") * BLOCK_JOBS
+        return met.select("*", F.explode(F.sequence(F.greatest("r1", first), F.least("r2", first + (BLOCK_JOBS - 1)))).alias("r")).withColumn("__i", (F.col("r") - first).cast("int"))
+
+    own_ts, next_ts = F.get("__ts", F.col("__i")), F.get("__ts", F.col("__i") + 1)
+    out = written(stays.where("not odd")).select(
+        "target", own_ts.alias("from_ts"), F.when(F.col("r") < F.col("r2"), next_ts).otherwise(F.col("to_ts")).alias("to_ts"), (F.col("earlier") + F.col("r") - F.col("r1") + 1).alias("version"))
+    odd = stays.where("odd")
+    if odd.isEmpty():
+        return out
+    held = written(odd).select("target", own_ts.alias("finished_ts"), F.get("__jobs", F.col("__i")).alias("job"), F.lit(False).alias("end"))
+    gone = ends.where("odd").select("target", "finished_ts", "job", F.lit(True).alias("end"))
     # the change after a version: lead by way of the reversed order
     later = with_previous(held.unionByName(gone), ["target"], [-F.col("finished_ts"), -F.col("job")], ["finished_ts"])
     counted = place_in_key(later.where("not end"), ["target"], [F.col("finished_ts"), F.col("job")], "version")
-    return counted.select("target", F.col("finished_ts").alias("from_ts"), F.col("prev_finished_ts").alias("to_ts"), (F.col("version") + 1).alias("version"))
+    return out.unionByName(counted.select("target", F.col("finished_ts").alias("from_ts"), F.col("prev_finished_ts").alias("to_ts"), (F.col("version") + 1).alias("version")))
 
 
 def skip_reason(jobs: DataFrame) -> DataFrame:

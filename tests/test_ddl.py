@@ -88,3 +88,30 @@ def test_without_many_spans(spark):
     a, b = list(range(0, 200, 2)), list(range(0, 200, 3))
     r = spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>").select(ddl.listed(ddl.without(ddl.spans("a"), ddl.spans("b"))).alias("x"), ddl.listed(ddl.spans("b")).alias("b")).first()
     assert r["x"] == [i for i in a if i % 3] and r["b"] == b
+
+
+def test_versions_store_spans(spark, stored):
+    v = ddl.versions(large(spark))
+    # 1 + 2 + ... of each of the ids
+    assert v.agg({"*": "count", "version": "sum"}).first()[:] == (sum(20000 + j for j in range(100)), 20000 * 5050 + sum((100 - j) * (101 - j) // 2 for j in range(1, 100)))
+    assert stored() < 5_000_000
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_versions_of_odd_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(ddl, "BLOCK_JOBS", block)
+    jobs, rows = odd_jobs(spark)
+    events = {}
+    for x, before, after in states(rows):
+        if in_kind(x, lambda k: k.versions):
+            for t in after | (before - after):
+                events.setdefault(t, []).append((x[1], x[0], t not in after))
+    want = set()
+    for t, es in events.items():
+        n = 0
+        for k, (ts, _, end) in enumerate(es):
+            n += not end
+            if not end:
+                want.add((t, ts, es[k + 1][0] if k + 1 < len(es) else None, n))
+    got = [tuple(r) for r in ddl.versions(jobs).select("target", "from_ts", "to_ts", "version").collect()]
+    assert set(got) == want and len(got) == len(want)
