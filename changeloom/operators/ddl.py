@@ -142,30 +142,37 @@ def effects(jobs: DataFrame) -> DataFrame:
     return _effects(states(jobs))
 
 
-def _by_id(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({c: listed(F.col(c)) for c in ("before", "after", "created", "dropped")})
-
-
 def history(jobs: DataFrame) -> DataFrame:
     """``target, finished_ts, job``: every history that a job enters, once. The
     tables of a schema (or all) are those alive when the job runs; jobs of such
-    kinds are few and meet the lifetimes by schema."""
-    rows = _by_id(effects(jobs))
-    part = lambda name, ids: F.when(_in(F.col("kind"), lambda v: name in v.targets), ids).otherwise(F.array().cast("array<bigint>"))
-    own = F.array_distinct(F.concat(
-        part("trigger", F.array(F.lit(TRIGGER).cast("bigint"))), part("before", F.col("before")), part("after", F.col("after")),
-        part("gone", F.col("dropped")), part("table", F.array(F.col("table_id").cast("bigint")))))
-    direct = rows.select(F.explode(own).alias("target"), "finished_ts", "job")
-    wide = rows.where(_in(F.col("kind"), lambda v: {"schema", "all"} & set(v.targets))).select(
+    kinds are few and meet the lifetimes by schema. The histories of all other
+    jobs are written out from their spans as they are returned."""
+    rows = materialize(_effects(_states(_slim(jobs), "schema_id")), "effects")
+    has = lambda *names: _in(F.col("kind"), lambda v: set(names) <= set(v.targets))
+    # disjoint parts: what is created is not in before, what is gone not in after
+    whole = F.when(has("before", "after"), F.concat("before", "created")).when(has("before"), F.col("before")).when(has("after", "gone"), F.concat("after", "dropped"))
+    rows = rows.withColumn("own", whole.when(has("after"), F.col("after")).when(has("gone"), F.col("dropped")).otherwise(_none()))
+    inside = lambda x: F.exists("own", lambda s: (s["lo"] <= x) & (s["hi"] >= x))
+    for name, x in (("table", F.col("table_id").cast("bigint")), ("trigger", F.lit(TRIGGER).cast("bigint"))):
+        new = has(name) & ~inside(x)
+        rows = rows.withColumn("own", F.when(new, F.concat("own", F.array(F.struct(x.alias("lo"), x.alias("hi"))))).otherwise(F.col("own")))
+    is_wide = _in(F.col("kind"), lambda v: {"schema", "all"} & set(v.targets))
+    entered = rows.select("finished_ts", "job", "own", F.coalesce(is_wide, F.lit(False)).alias("wide"))
+    by_job = entered.groupBy("finished_ts", "job").agg(F.flatten(F.collect_list("own")).alias("own"), F.count("*").alias("n"), F.max("wide").alias("wide"))
+    by_job = by_job.withColumn("own", F.when(F.col("n") == 1, F.col("own")).otherwise(spans(F.array_distinct(listed(F.col("own"))))))
+    direct = lambda of: _each(by_job.where(of), F.col("own"), "finished_ts", "job")
+    wide = rows.where(is_wide).select(
         F.col("schema_id").alias("of_schema"), F.col("finished_ts").alias("at"), F.col("job").alias("by"), _in(F.col("kind"), lambda v: "all" in v.targets).alias("everything"))
-    alive = rows.select("schema_id", F.explode("after").alias("target"), F.col("finished_ts").alias("from_ts"), "table_id", "job")
-    ends = rows.select("table_id", F.explode("dropped").alias("target"), F.col("finished_ts").alias("to_ts")).groupBy("table_id", "target").agg(F.min("to_ts").alias("to_ts"))
+    # ids are new to their schema in the job that creates them or that moves the table
+    fresh = F.when(~F.col("is_first") & F.col("schema_id").eqNullSafe(F.col("prev_schema_id")), F.col("created")).otherwise(F.col("after"))
+    alive = _each(rows, fresh, "schema_id", F.col("finished_ts").alias("from_ts"), "table_id")
+    ends = _each(rows, F.col("dropped"), "table_id", F.col("finished_ts").alias("to_ts")).groupBy("table_id", "target").agg(F.min("to_ts").alias("to_ts"))
     lives = alive.groupBy("schema_id", "table_id", "target").agg(F.min("from_ts").alias("from_ts")).join(ends, ["table_id", "target"], "left")
     meets = (F.col("from_ts") <= F.col("at")) & (F.col("to_ts").isNull() | (F.col("to_ts") >= F.col("at")))
     in_schema = wide.where("not everything").join(lives, (F.col("of_schema") == F.col("schema_id")) & meets)
     every = wide.where("everything").withColumn("__one", F.lit(1)).join(lives.withColumn("__1", F.lit(1)), (F.col("__one") == F.col("__1")) & meets)
     spread = lambda d: d.select("target", F.col("at").alias("finished_ts"), F.col("by").alias("job"))
-    return direct.unionByName(spread(in_schema)).unionByName(spread(every)).distinct()
+    return direct("not wide").unionByName(direct("wide").unionByName(spread(in_schema)).unionByName(spread(every)).distinct())
 
 
 def _stays(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -115,3 +115,32 @@ def test_versions_of_odd_ids(spark, monkeypatch, block):
                 want.add((t, ts, es[k + 1][0] if k + 1 < len(es) else None, n))
     got = [tuple(r) for r in ddl.versions(jobs).select("target", "from_ts", "to_ts", "version").collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_history_stores_spans(spark, stored):
+    h = ddl.history(large(spark))
+    # the trigger's of 51 jobs, before of 49 and after of 51
+    assert h.count() == 51 + sum(20000 + j - 1 for j in range(2, 100, 2)) + sum(20000 + j for j in (0, *range(1, 100, 2)))
+    assert stored() < 1_000_000
+
+
+def test_history_of_odd_ids(spark):
+    jobs, rows = odd_jobs(spark)
+    want, lives, ends = set(), {}, {}
+    for x, before, after in states(rows):
+        enters = lambda name: in_kind(x, lambda k: name in k.targets)
+        parts = (("trigger", {ddl.TRIGGER}), ("before", before), ("after", after), ("gone", before - after), ("table", {x[5]}))
+        want |= {(t, x[1], x[0]) for name, ids in parts if enters(name) for t in ids}
+        for t in after:
+            lives.setdefault((x[4], x[5], t), x[1])
+        for t in before - after:
+            ends.setdefault((x[5], t), x[1])
+    for x in rows:
+        for (schema, table, t), at in lives.items():
+            to = ends.get((table, t))
+            if at <= x[1] and (to is None or to >= x[1]) and (in_kind(x, lambda k: "all" in k.targets) or in_kind(x, lambda k: "schema" in k.targets) and schema == x[4]):
+                want.add((t, x[1], x[0]))
+    got = [tuple(r) for r in ddl.history(jobs).select("target", "finished_ts", "job").collect()]
+    assert set(got) == want and len(got) == len(want)
+    # a job that is there twice enters once
+    assert {tuple(r) for r in ddl.history(jobs.where("table_id = 3").union(jobs.where("table_id = 3"))).select("target", "finished_ts", "job").groupBy("target", "finished_ts", "job").count().where("count > 1").collect()} == set()
