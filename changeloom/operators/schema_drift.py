@@ -125,30 +125,53 @@ def version_mismatches(messages: DataFrame) -> DataFrame:
     return seen.where("n_schemas > 1 or n_versions > 1")
 
 
-def footer_fields(files: DataFrame) -> DataFrame:
-    """:func:`message_fields` of Parquet files: ``files`` has ``topic, file_seq,
-    path``. Only footers are read, each by the task that holds its path; a file
-    that cannot be read gives no fields. Nested fields count as one, with their
-    full type."""
+def read_footers(files: DataFrame) -> DataFrame:
+    """:func:`message_fields` of Parquet files with ``path`` and ``reason``:
+    ``files`` has ``topic, file_seq, path``. Only footers are read, each by the
+    task that holds its path. A file without path, that is not there or is no
+    Parquet file gives one row with a reason and no field; any other error (no
+    right to read, no connection) fails the task. Nested fields count as one, with
+    their full type."""
     import pandas as pd
 
     def run(batches):
+        import pyarrow as pa
         import pyarrow.fs as fs
         import pyarrow.parquet as pq
 
         for pdf in batches:
             out = []
             for topic, seq, path in pdf.itertuples(index=False):
+                reason = None
+                if pd.isna(path):
+                    out.append((topic, seq, None, None, None, None, "no path"))
+                    continue
+                system, at = fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
                 try:
-                    system, at = fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
                     schema = pq.read_schema(at, filesystem=system)
-                except Exception:  # noqa: BLE001 - any unreadable file
-                    continue
-                out += [(topic, seq, k, f.name, str(f.type)) for k, f in enumerate(schema)]
-            yield pd.DataFrame(out, columns=["topic", "file_seq", "pos", "field", "type"])
+                except FileNotFoundError:
+                    reason = "no file"
+                except pa.ArrowInvalid:
+                    reason = "no parquet"
+                if reason:
+                    out.append((topic, seq, None, None, None, path, reason))
+                else:
+                    out += [(topic, seq, k, f.name, str(f.type), path, None) for k, f in enumerate(schema)]
+            yield pd.DataFrame(out, columns=["topic", "file_seq", "pos", "field", "type", "path", "reason"]).astype({"pos": "Int32"})
+
+    slim = files.select("topic", F.col("file_seq").cast("int").alias("file_seq"), "path")
+    return slim.mapInPandas(run, "topic string, file_seq int, pos int, field string, type string, path string, reason string")
+
+
+def footer_fields(files: DataFrame) -> DataFrame:
+    """:func:`message_fields` of the Parquet files that can be read; the others
+    are listed by :func:`unread_footers`."""
+    return read_footers(files).where("reason is null").select("topic", "file_seq", "pos", "field", "type")
+
 
-    slim = files.select("topic", F.col("file_seq").cast("int").alias("file_seq"), "path").where("path is not null")
-    return slim.mapInPandas(run, "topic string, file_seq int, pos int, field string, type string")
+def unread_footers(files: DataFrame) -> DataFrame:
+    """``topic, file_seq, path, reason``: files that :func:`footer_fields` leaves out."""
+    return read_footers(files).where("reason is not null").select("topic", "file_seq", "path", "reason")
 
 
 def file_fields(fields: DataFrame) -> DataFrame:

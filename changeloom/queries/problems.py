@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changeloom.functions import rowimage as R
 from changeloom.operators import copy_diff, heavy_keys, redelivery, schema_drift
+from changeloom.session import materialize
 from changeloom.streaming import upsert
 
 
@@ -116,11 +117,19 @@ def p2_reports(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_footers(spark: SparkSession, d: str) -> DataFrame:
     """Changes between the stored files of the change-stream tables, from their
-    footers only: the files of a table in order, then those of its copy."""
+    footers only: the files of a table in order, then those of its copy. A footer
+    that cannot be read is an error."""
     tables = {"redo_dml": "redo", "sink_message": "messages", "sbtest_upstream": "sbtest", "sbtest_downstream": "sbtest"}
     files = [(topic, n, path) for topic in sorted(set(tables.values())) for n, path in enumerate(p for t, x in tables.items() if x == topic for p in sorted(_read(spark, d, t).inputFiles()))]
-    rows = schema_drift.drift_of(schema_drift.footer_fields(spark.createDataFrame(files, "topic string, file_seq int, path string")))
-    return schema_drift.catalogue(rows)
+    return schema_drift.catalogue(schema_drift.drift_of(_all_footers(spark.createDataFrame(files, "topic string, file_seq int, path string"))))
+
+
+def _all_footers(files: DataFrame) -> DataFrame:
+    read = materialize(schema_drift.read_footers(files), "footers")
+    bad = read.where("reason is not null")
+    if not bad.isEmpty():
+        raise ValueError(f"{bad.count()} footers cannot be read, among them {[tuple(r) for r in bad.select('path', 'reason').take(10)]}")
+    return read.drop("path", "reason")
 
 
 DIFF = copy_diff.DiffPlan(
