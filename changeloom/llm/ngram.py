@@ -51,23 +51,21 @@ class LevelModels:
         self.levels = sorted(set(levels))
         self.vocab = Vocabulary({t for x in texts for t in x})
         col = {g: i for i, g in enumerate(self.levels)}
-        encoded = [(self.vocab.encode(x), col[g]) for x, g in zip(texts, levels)]
+        encoded = [self.vocab.encode(x) for x in texts]
         k = len(self.levels)
+        column = np.repeat([col[g] for g in levels], [len(x) for x in encoded])
         self.tables = []
         for n in range(1, order + 1):
-            full: dict[int, np.ndarray] = {}
-            context: dict[int, np.ndarray] = {}
-            for ids, c in encoded:
-                grams = _grams(ids, n).tolist()
-                heads = self._contexts(ids, n).tolist()
-                for g, h in zip(grams, heads):
-                    row = full.setdefault(g, np.zeros(k))
-                    ctx = context.setdefault(h, np.zeros((2, k)))
-                    if row[c] == 0:
-                        ctx[1, c] += 1
-                    row[c] += 1
-                    ctx[0, c] += 1
-            self.tables.append((self._sorted(full, k), self._sorted(context, 2 * k)))
+            grams = np.concatenate([_grams(ids, n) for ids in encoded])
+            heads = np.concatenate([self._contexts(ids, n) for ids in encoded])
+            keys, first, at = np.unique(grams, return_index=True, return_inverse=True)
+            full = np.bincount(at * k + column, minlength=len(keys) * k).reshape(-1, k).astype(float)
+            contexts, of = np.unique(heads, return_inverse=True)
+            total = np.bincount(of * k + column, minlength=len(contexts) * k).reshape(-1, k)
+            # n-grams of a context that a level has
+            kinds = np.zeros((len(contexts), k))
+            np.add.at(kinds, of[first], full > 0)
+            self.tables.append((self._padded(keys, full), self._padded(contexts, np.hstack([total, kinds]))))
 
     @staticmethod
     def _contexts(ids: np.ndarray, n: int) -> np.ndarray:
@@ -77,12 +75,9 @@ class LevelModels:
         return _grams(shifted, n - 1) if n > 1 else shifted
 
     @staticmethod
-    def _sorted(table: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.fromiter(table, np.uint64, len(table))
-        vals = np.array([v.ravel() for v in table.values()]).reshape(len(table), width)
-        by = np.argsort(keys)
+    def _padded(keys: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # a last row of zeros stands for n-grams that were not seen
-        return keys[by], np.vstack([vals[by], np.zeros(width)])
+        return keys, np.vstack([vals, np.zeros(vals.shape[1])])
 
     @staticmethod
     def _lookup(table: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> np.ndarray:
